@@ -1,0 +1,276 @@
+"""The layered run: ingest, gate, write both sides, summarise, reprocess."""
+
+from __future__ import annotations
+
+import datetime as dt
+import logging
+from collections.abc import Sequence
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import labels as L
+from ..functions.names import resolve_column
+from ..functions.rules import RuleSet, full_rules
+from ..operators.attempts import merge_attempts
+from ..operators.gate import audit, clean, quarantine
+from ..operators.gold import top_groups
+from ..operators.ingest import with_ingest_metadata
+from ..operators.matching import without_matches, without_matches_in_large
+from ..sources.contracts import read_contracts
+from .lakehouse import Lakehouse
+
+LOG = logging.getLogger(__name__)
+
+SUMMARY_SCHEMA = (
+    "total bigint, clean bigint, quarantine bigint, reject_pct double, alert boolean, moved bigint"
+)
+
+
+@dataclass(frozen=True)
+class Rules:
+    """Which columns the gate reads, by accepted spelling."""
+
+    price: Sequence[str] = L.PRICE_SPELLINGS
+    signed_on: Sequence[str] = L.SIGNED_ON_SPELLINGS
+
+    def bind(self, df: DataFrame, as_of: dt.date) -> RuleSet:
+        price = resolve_column(df, *self.price)
+        return full_rules(df, price, resolve_column(df, *self.signed_on), as_of)
+
+
+@dataclass(frozen=True)
+class Clock:
+    """Day and instant of a run, the same for everything the run writes.
+
+    Left to each query, "today" could change between writing the clean and the
+    rejected rows, and a row dated tomorrow would be in neither table or both.
+    """
+
+    as_of: dt.date
+    run_ts: dt.datetime
+
+    @classmethod
+    def now(cls, spark: SparkSession) -> Clock:
+        return cls(*spark.sql("SELECT current_date(), current_timestamp()").first())
+
+
+@dataclass(frozen=True)
+class Refinement:
+    """A lakehouse and how to run it.
+
+    ``row_key`` names columns that identify a source row. Without it a run does
+    what it says and no more: silver becomes the clean rows of bronze, and rejects
+    are appended to quarantine on every run. With it a run may be repeated: rows
+    already quarantined are not appended again, rows moved out of quarantine stay
+    in silver, and none enters silver twice.
+    """
+
+    lake: Lakehouse
+    rules: Rules = field(default_factory=Rules)
+    pipeline_version: str = "v1"
+    mode: str = "dev"
+    alert_above_pct: float = 5.0
+    row_key: Sequence[str] | None = None
+    as_of: dt.date | None = None
+    run_ts: dt.datetime | None = None
+
+    def clock(self, spark: SparkSession) -> Clock:
+        now = Clock.now(spark)
+        return Clock(self.as_of or now.as_of, self.run_ts or now.run_ts)
+
+
+@dataclass(frozen=True)
+class Summary:
+    """Outcome of a run. ``moved`` is None unless quarantine was reprocessed."""
+
+    total: int
+    clean: int
+    quarantine: int
+    reject_pct: float
+    alert: bool
+    moved: int | None = None
+
+    def as_frame(self, spark: SparkSession) -> DataFrame:
+        row = (
+            self.total,
+            self.clean,
+            self.quarantine,
+            self.reject_pct,
+            self.alert,
+            self.moved,
+        )
+        return spark.createDataFrame([row], SUMMARY_SCHEMA)
+
+
+def ingest(spark: SparkSession, job: Refinement, input_path: str, clock: Clock | None = None) -> int:
+    """Append a delimited file to bronze with its lineage; returns the rows."""
+    clock = clock or job.clock(spark)
+    rows = read_contracts(spark, input_path, job.lake.contract)
+    rows = with_ingest_metadata(rows, input_path, clock.run_ts)
+    written = job.lake.append(spark, "bronze", rows)
+    LOG.info("%d rows of %s appended to bronze", written, input_path)
+    return written
+
+
+def refine(
+    spark: SparkSession,
+    job: Refinement,
+    input_path: str | None = None,
+    reprocess_quarantine: bool = False,
+) -> Summary | None:
+    """Gate all of bronze into silver and quarantine; None if there is no bronze."""
+    clock = job.clock(spark)
+    lake = job.lake
+    if input_path:
+        ingest(spark, job, input_path, clock)
+
+    bronze = lake.bronze.read_or_none(spark)
+    if bronze is None:
+        LOG.error("there is no bronze table at %s", lake.bronze.path)
+        return None
+    rules = job.rules.bind(bronze, clock.as_of)
+
+    if job.row_key:
+        _settle_attempts(spark, lake, clock)
+    accepted = clean(bronze, rules).withColumns(
+        {
+            L.CODE: F.lit(None).cast("string"),
+            L.QUARANTINE_ID: F.lit(None).cast("string"),
+        }
+    )
+    moved_earlier = _moved_earlier(spark, job, accepted) if job.row_key else None
+    silver_rows = accepted if moved_earlier is None else accepted.unionByName(moved_earlier)
+    silver_count = lake.overwrite(spark, "silver", silver_rows)
+
+    rejects = audit(quarantine(bronze, rules), job.pipeline_version, clock.run_ts)
+    known = lake.quarantine.read_or_none(spark) if job.row_key else None
+    if known is not None:
+        rejects = without_matches(rejects, known, job.row_key)
+    appended = lake.append(spark, "quarantine", rejects, compact=True)
+
+    if job.row_key:
+        # What was written differs from what was judged, so count the judged rows.
+        judged = bronze.agg(
+            F.count(F.lit(1)).alias("total"), F.count_if(rules.rejected).alias("rejected")
+        ).first()
+        total, rejected = judged["total"], judged["rejected"]
+    else:
+        # The two sides of the gate are complementary: what was written is all there is.
+        total, rejected = silver_count + appended, appended
+    reject_pct = 100.0 * rejected / total if total else 0.0
+    alert = job.mode == "prod" and reject_pct > job.alert_above_pct
+    LOG.info("%d rows: %d clean, %d rejected", total, total - rejected, rejected)
+    if alert:
+        LOG.warning("rejection rate %.2f%% is above %.2f%%", reject_pct, job.alert_above_pct)
+
+    moved = reprocess(spark, job, clock) if reprocess_quarantine else None
+    return Summary(total, total - rejected, rejected, reject_pct, alert, moved)
+
+
+def reprocess(spark: SparkSession, job: Refinement, clock: Clock | None = None) -> int:
+    """Move quarantined rows that pass the gate by now to silver; returns how many.
+
+    Rows moved before are left alone; moved rows stay in quarantine for audit and
+    count one attempt. Silver keeps the id of a moved row, and the attempts are
+    derived from it after the append: if a run dies in between, the next one
+    neither moves the row again nor forgets the attempt.
+    """
+    clock = clock or job.clock(spark)
+    lake = job.lake
+    held = lake.quarantine.read_or_none(spark)
+    if held is None or held.isEmpty():
+        LOG.info("nothing in quarantine at %s", lake.quarantine.path)
+        return 0
+    if lake.fmt == "delta" and L.REPROCESSED_AT in held.columns:
+        held = held.filter(F.col(L.REPROCESSED_AT).isNull())
+
+    movable = held.filter(job.rules.bind(held, clock.as_of).passed)
+    settled = _settled_ids(spark, lake)
+    if settled is not None:
+        movable = movable.join(settled, L.QUARANTINE_ID, "left_anti")
+    silver = lake.silver.read_or_none(spark)
+    if job.row_key and silver is not None:
+        movable = without_matches_in_large(movable, silver, job.row_key)
+    moved = lake.append(spark, "silver", _as_silver(spark, lake, movable), compact=True)
+    _settle_attempts(spark, lake, clock)
+    LOG.info("%d rows moved from quarantine to silver", moved)
+    return moved
+
+
+def refresh_gold(
+    spark: SparkSession, job: Refinement, group: str = L.DEPARTMENT, n: int = 10
+) -> int:
+    """Write the groups with the largest totals over silver."""
+    silver = job.lake.silver.read(spark)
+    price = resolve_column(silver, *job.rules.price)
+    return job.lake.overwrite(spark, "gold", top_groups(silver, group, price, n))
+
+
+def _as_silver(spark: SparkSession, lake: Lakehouse, rows: DataFrame) -> DataFrame:
+    """Quarantined rows in the columns of silver."""
+    rows = rows.withColumn(L.CODE, F.lit(None).cast("string"))
+    schema = lake.silver.schema
+    if schema is None:
+        present = lake.silver.read_or_none(spark)
+        bronze = lake.bronze.read_or_none(spark)
+        layout = present if present is not None else bronze
+        names = [] if layout is None else layout.columns
+        names += [c for c in (L.CODE, L.QUARANTINE_ID) if c not in names]
+    else:
+        names = schema.names
+    return rows.select(*(F.col(f"`{c}`") for c in names if c in rows.columns))
+
+
+def _ids_in_silver(spark: SparkSession, lake: Lakehouse) -> DataFrame | None:
+    """Ids of moved rows; files that hold none are skipped by their statistics."""
+    silver = lake.silver.read_or_none(spark)
+    if silver is None or L.QUARANTINE_ID not in silver.columns:
+        return None
+    return silver.filter(F.col(L.QUARANTINE_ID).isNotNull()).select(L.QUARANTINE_ID)
+
+
+def _settled_ids(spark: SparkSession, lake: Lakehouse) -> DataFrame | None:
+    """Ids that have been moved, by the attempts or by silver itself."""
+    logged = None if lake.fmt == "delta" else lake.attempts.read_or_none(spark)
+    in_silver = _ids_in_silver(spark, lake)
+    known = [d.select(L.QUARANTINE_ID) for d in (logged, in_silver) if d is not None]
+    if not known:
+        return None
+    return known[0] if len(known) == 1 else known[0].union(known[1])
+
+
+def _settle_attempts(spark: SparkSession, lake: Lakehouse, clock: Clock) -> None:
+    """Log one attempt for every moved row that has none yet."""
+    moved = _ids_in_silver(spark, lake)
+    if moved is None:
+        return
+    if lake.fmt == "delta":
+        held = lake.quarantine.read(spark)
+        if L.REPROCESSED_AT in held.columns:
+            done = held.filter(F.col(L.REPROCESSED_AT).isNotNull())
+            moved = moved.join(done.select(L.QUARANTINE_ID), L.QUARANTINE_ID, "left_anti")
+        merge_attempts(lake.quarantine.path, moved, clock.run_ts)
+        return
+    logged = lake.attempts.read_or_none(spark)
+    if logged is not None:
+        moved = moved.join(logged.select(L.QUARANTINE_ID), L.QUARANTINE_ID, "left_anti")
+    if moved.isEmpty():
+        return
+    lake.attempts.append(
+        moved.distinct().withColumn(L.REPROCESSED_AT, F.lit(clock.run_ts)), compact=True
+    )
+
+
+def _moved_earlier(
+    spark: SparkSession, job: Refinement, accepted: DataFrame
+) -> DataFrame | None:
+    """Moved rows that the clean rows of bronze do not already hold."""
+    lake = job.lake
+    held = lake.read_quarantine(spark)
+    if held is None:
+        return None
+    moved = held.filter(F.col(L.REPROCESSED_AT).isNotNull())
+    moved = without_matches_in_large(moved, accepted, job.row_key)
+    return moved.withColumn(L.CODE, F.lit(None).cast("string")).select(*accepted.columns)
