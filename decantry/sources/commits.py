@@ -18,10 +18,14 @@ from pyspark.sql import types as T
 
 # Only these members are parsed out of a commit file. The names
 # are those of Delta commit files, metrics are stored as text there.
-COMMIT_SCHEMA = T.StructType.fromDDL(
-    "commitInfo struct<timestamp: bigint, operation: string,"
-    " operationParameters: struct<mode: string>,"
-    " operationMetrics: struct<numOutputRows: string, numOutputBytes: string>>"
+_METRICS = T.StructType().add("numOutputRows", "string").add("numOutputBytes", "string")
+COMMIT_SCHEMA = T.StructType().add(
+    "commitInfo",
+    T.StructType()
+    .add("timestamp", "long")
+    .add("operation", "string")
+    .add("operationParameters", T.StructType().add("mode", "string"))
+    .add("operationMetrics", _METRICS),
 )
 
 
