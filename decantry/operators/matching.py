@@ -1,4 +1,4 @@
-"""Row matching on caller-given key columns."""
+"""Row matching on caller-given key columns. NULL matches NULL."""
 
 from __future__ import annotations
 
@@ -11,36 +11,68 @@ from ..functions.typed import column_ref
 
 _KEY = "__match_key"
 
+# Keys up to this many bytes are sent to every executor instead of shuffling the
+# rows they are matched with. The size is measured, never assumed.
+BROADCAST_BYTES = 64 << 20
+
 
 def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     # Members of a struct compare as equal where both are NULL.
     return df.withColumn(_KEY, F.struct(*(column_ref(k).alias(k) for k in keys)))
 
 
-def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.select(*(column_ref(k) for k in keys)).distinct()
+def _distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key. Copies of a key collapse within tasks before they are shuffled.
 
+    The grouping is on the columns but the result is a struct of them, so a join
+    on it shuffles again. That is cheap, as keys are unique by then, and it is what
+    lets adaptive execution split a hot key on the other side of the join.
+    """
+    return _keyed(df.select(*(column_ref(k) for k in keys)).distinct(), keys).select(_KEY)
 
-def without_matches(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key does not occur in ``other``; NULL equals NULL.
 
-    ``other``'s copies of a key collapse before they are shuffled. They are
-    grouped on the columns but joined on a struct of them, so the join shuffles
-    both sides itself; only then can adaptive execution see a hot key of ``df``
-    and spread its rows over several tasks.
-    """
-    found = _keyed(distinct_keys(other, keys), keys).select(_KEY)
+def _fits(found: DataFrame, keys: Sequence[str], limit: int) -> bool:
+    per_row = sum(
+        (
+            F.coalesce(F.octet_length(F.col(_KEY)[k].cast("string")), F.lit(0)) + F.lit(16)
+            for k in keys
+        ),
+        F.lit(0),
+    )
+    size = found.agg(F.sum(per_row.cast("bigint")).alias("n")).first()["n"] or 0
+    return size <= limit
+
+
+def _without(df: DataFrame, found: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
+    if small:
+        found = F.broadcast(found)
     return _keyed(df, keys).join(found, _KEY, "left_anti").drop(_KEY)
 
 
-def without_matches_in_large(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+def without_matches(
+    df: DataFrame, other: DataFrame, keys: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Rows of ``df`` whose key does not occur in ``other``.
+
+    Few keys are broadcast. Many are shuffled with ``df``, and a key that holds
+    a large share of ``df``'s rows is spread over several tasks.
+    """
+    found = _distinct_keys(other, keys)
+    return _without(df, found, keys, _fits(found, keys, broadcast_bytes))
+
+
+def without_matches_in_large(
+    df: DataFrame, other: DataFrame, keys: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """``without_matches`` for an ``other`` far larger than ``df``.
 
-    ``other`` is first cut down to the keys ``df`` has. Where ``df``'s keys turn
-    out to be few, Spark broadcasts them and ``other`` is only scanned.
+    ``other`` is first cut down to the keys ``df`` has. If those are few, they are
+    broadcast and ``other`` is scanned without being shuffled; what it has of them
+    is no larger, so it is broadcast in turn.
     """
-    wanted = _keyed(distinct_keys(df, keys), keys).select(_KEY)
+    wanted = _distinct_keys(df, keys)
+    small = _fits(wanted, keys, broadcast_bytes)
     present = _keyed(other.select(*(column_ref(k) for k in keys)), keys).join(
-        wanted, _KEY, "left_semi"
+        F.broadcast(wanted) if small else wanted, _KEY, "left_semi"
     )
-    return without_matches(df, present, keys)
+    return _without(df, _distinct_keys(present, keys), keys, small)

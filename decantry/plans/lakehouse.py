@@ -113,16 +113,16 @@ class Lakehouse:
     def commit_logs(self) -> list[CommitLog]:
         return [self.commit_log(layer) for layer in ("bronze", "silver", "quarantine")]
 
-    def append(self, spark: SparkSession, layer: str, df: DataFrame, compact: bool = False) -> int:
+    def append(self, spark: SparkSession, layer: str, df: DataFrame, compact: bool | str = False) -> int:
         return self._commit(spark, layer, df, "append", compact)
 
     def overwrite(
-        self, spark: SparkSession, layer: str, df: DataFrame, compact: bool = False
+        self, spark: SparkSession, layer: str, df: DataFrame, compact: bool | str = False
     ) -> int:
         return self._commit(spark, layer, df, "overwrite", compact)
 
     def _commit(
-        self, spark: SparkSession, layer: str, df: DataFrame, mode: str, compact: bool
+        self, spark: SparkSession, layer: str, df: DataFrame, mode: str, compact: bool | str
     ) -> int:
         table: Table = getattr(self, layer)
         if self.fmt == "delta":

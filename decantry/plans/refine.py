@@ -18,16 +18,12 @@ from ..operators.gate import audit, clean, quarantine
 from ..operators.gold import top_groups
 from ..operators.ingest import with_ingest_metadata
 from ..operators.matching import without_matches, without_matches_in_large
+from ..session import one_row
 from ..sources.contracts import read_contracts
 from .lakehouse import Lakehouse
 
 LOG = logging.getLogger(__name__)
 
-SUMMARY_SCHEMA = (
-    "total bigint, clean bigint, quarantine bigint, reject_pct double, alert boolean, moved bigint"
-)
-
-
 @dataclass(frozen=True)
 class Rules:
     """Which columns the gate reads, by accepted spelling."""
@@ -93,15 +89,15 @@ class Summary:
     moved: int | None = None
 
     def as_frame(self, spark: SparkSession) -> DataFrame:
-        row = (
-            self.total,
-            self.clean,
-            self.quarantine,
-            self.reject_pct,
-            self.alert,
-            self.moved,
+        return one_row(
+            spark,
+            total=F.lit(self.total).cast("bigint"),
+            clean=F.lit(self.clean).cast("bigint"),
+            quarantine=F.lit(self.quarantine).cast("bigint"),
+            reject_pct=F.lit(self.reject_pct).cast("double"),
+            alert=F.lit(self.alert),
+            moved=F.lit(self.moved).cast("bigint"),
         )
-        return spark.createDataFrame([row], SUMMARY_SCHEMA)
 
 
 def ingest(spark: SparkSession, job: Refinement, input_path: str, clock: Clock | None = None) -> int:
@@ -148,7 +144,7 @@ def refine(
     known = lake.quarantine.read_or_none(spark) if job.row_key else None
     if known is not None:
         rejects = without_matches(rejects, known, job.row_key)
-    appended = lake.append(spark, "quarantine", rejects, compact=True)
+    appended = lake.append(spark, "quarantine", rejects, compact=L.QUARANTINE_ID)
 
     if job.row_key:
         # What was written differs from what was judged, so count the judged rows.
@@ -193,7 +189,7 @@ def reprocess(spark: SparkSession, job: Refinement, clock: Clock | None = None)
     silver = lake.silver.read_or_none(spark)
     if job.row_key and silver is not None:
         movable = without_matches_in_large(movable, silver, job.row_key)
-    moved = lake.append(spark, "silver", _as_silver(spark, lake, movable), compact=True)
+    moved = lake.append(spark, "silver", _as_silver(spark, lake, movable), L.QUARANTINE_ID)
     _settle_attempts(spark, lake, clock)
     LOG.info("%d rows moved from quarantine to silver", moved)
     return moved
@@ -258,9 +254,7 @@ def _settle_attempts(spark: SparkSession, lake: Lakehouse, clock: Clock) -> None
         moved = moved.join(logged.select(L.QUARANTINE_ID), L.QUARANTINE_ID, "left_anti")
     if moved.isEmpty():
         return
-    lake.attempts.append(
-        moved.distinct().withColumn(L.REPROCESSED_AT, F.lit(clock.run_ts)), compact=True
-    )
+    lake.attempts.append(moved.distinct().withColumn(L.REPROCESSED_AT, F.lit(clock.run_ts)))
 
 
 def _moved_earlier(

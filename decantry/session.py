@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 # Settings the plans count on. Partition numbers are left to adaptive execution,
 # which starts from many small shuffle partitions and merges them by size.
@@ -62,3 +62,8 @@ def work_folder(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="decantry-")
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def one_row(spark: SparkSession, **columns: Column) -> DataFrame:
+    """A frame of one row that needs neither a job nor a Python worker to make."""
+    return spark.sql("SELECT 1").select(*(c.alias(name) for name, c in columns.items()))

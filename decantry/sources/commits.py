@@ -10,12 +10,15 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import one_row
+
 # Only these members are parsed out of a commit file. The names
 # are those of Delta commit files, metrics are stored as text there.
 _METRICS = T.StructType().add("numOutputRows", "string").add("numOutputBytes", "string")
@@ -56,10 +59,16 @@ class CommitLog:
         self, spark: SparkSession, mode: str, rows: int, size: int, at: dt.datetime | None = None
     ) -> None:
         at = at or dt.datetime.now(dt.timezone.utc)
-        info = (int(at.timestamp() * 1000), "WRITE", (mode,), (str(rows), str(size)))
-        spark.createDataFrame([(info,)], COMMIT_SCHEMA).coalesce(1).write.mode("append").json(
-            self.path
+        metrics = F.struct(
+            F.lit(str(rows)).alias("numOutputRows"), F.lit(str(size)).alias("numOutputBytes")
+        )
+        info = F.struct(
+            F.lit(int(at.timestamp() * 1000)).alias("timestamp"),
+            F.lit("WRITE").alias("operation"),
+            F.struct(F.lit(mode).alias("mode")).alias("operationParameters"),
+            metrics.alias("operationMetrics"),
         )
+        one_row(spark, commitInfo=info).write.mode("append").json(self.path)
 
     def read(self, spark: SparkSession) -> DataFrame | None:
         try:
@@ -82,27 +91,20 @@ def commit_metrics(spark: SparkSession, logs: Sequence[CommitLog]) -> DataFrame:
     by their time. A table without log, or whose last commit carries no
     metrics, has zeros.
     """
-    labels = "table_set string, layer string, commitInfo {}, file_name string"
-    frames = [
-        spark.createDataFrame(
-            [(log.table_set, log.layer, None, None) for log in logs],
-            labels.format(COMMIT_SCHEMA["commitInfo"].dataType.simpleString()),
-        )
-    ]
+    info_type = COMMIT_SCHEMA["commitInfo"].dataType
+    frames = []
     for log in logs:
+        labels = {"table_set": F.lit(log.table_set), "layer": F.lit(log.layer)}
+        # A row without commit keeps tables in the result that have no log.
+        nothing = {
+            "commitInfo": F.lit(None).cast(info_type),
+            "file_name": F.lit(None).cast("string"),
+        }
+        frames.append(one_row(spark, **labels, **nothing))
         entries = log.read(spark)
         if entries is not None:
-            frames.append(
-                entries.select(
-                    F.lit(log.table_set).alias("table_set"),
-                    F.lit(log.layer).alias("layer"),
-                    "commitInfo",
-                    "file_name",
-                )
-            )
-    entries = frames[0]
-    for frame in frames[1:]:
-        entries = entries.unionByName(frame)
+            frames.append(entries.withColumns(labels))
+    entries = reduce(DataFrame.unionByName, frames)
 
     version = F.regexp_extract("file_name", r"^(\d+)\.json$", 1).try_cast("bigint")
     order = F.struct(

@@ -109,7 +109,7 @@ class Table:
             LOG.info("no table at %s (%s)", self.path, condition)
             return None
 
-    def append(self, df: DataFrame, compact: bool = False) -> int:
+    def append(self, df: DataFrame, compact: bool | str = False) -> int:
         """Append, aligned to the table's columns; returns the rows written."""
         if self.schema is not None:
             return self._write(self._declared(df), "append", compact)
@@ -117,7 +117,7 @@ class Table:
         target = T.StructType() if present is None else present.schema
         return self._write(align_to(df, target), "append", compact)
 
-    def overwrite(self, df: DataFrame, compact: bool = False) -> int:
+    def overwrite(self, df: DataFrame, compact: bool | str = False) -> int:
         """Replace the table; ``df`` must not be derived from its present files."""
         shaped = align_to(df, T.StructType()) if self.schema is None else self._declared(df)
         return self._write(shaped, "overwrite", compact)
@@ -129,13 +129,15 @@ class Table:
             raise SchemaConflict(f"{self.path} declares no columns {unknown}")
         return align_to(df, self.schema)
 
-    def _write(self, df: DataFrame, mode: str, compact: bool) -> int:
+    def _write(self, df: DataFrame, mode: str, compact: bool | str) -> int:
         # Rows that survive a selective filter leave every task with a sliver.
         # Rebalancing gathers them into files of the advisory size and splits
-        # what is larger. The count is observed after that shuffle, in the
-        # writing stage, where the rows of a task run twice are counted once.
+        # what is larger. By a column of unique values that takes no sort, which
+        # it otherwise does to deal rows out the same way when a task is redone.
+        # The count is observed after that shuffle, in the writing stage, where
+        # the rows of a task that ran twice count once.
         if compact:
-            df = df.hint("rebalance")
+            df = df.hint("rebalance", *([compact] if isinstance(compact, str) else []))
         written = Observation()
         df = df.observe(written, F.count(F.lit(1)).alias("rows"))
         writer = df.write.format(self.fmt).mode(mode)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import os
 from pathlib import Path
 
 import duckdb
@@ -9,7 +10,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 
-SF_DIR = Path("/root/testdata/sf0.001")
+SF_DIR = Path(os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"))
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="no test tables here")
 
 
