@@ -57,10 +57,10 @@ class Refinement:
     """A lakehouse and how to run it.
 
     ``row_key`` names columns that identify a source row. Without it a run does
-    what it says and no more: silver becomes the clean rows of bronze, and rejects
-    are appended to quarantine on every run. With it a run may be repeated: rows
-    already quarantined are not appended again, rows moved out of quarantine stay
-    in silver, and none enters silver twice.
+    what it says and no more: the input is appended to bronze, silver becomes the
+    clean rows of bronze, and its rejects are appended to quarantine. With it a run
+    may be repeated: a row enters bronze, silver and quarantine once, and rows
+    moved out of quarantine stay in silver.
     """
 
     lake: Lakehouse
@@ -101,10 +101,13 @@ class Summary:
 
 
 def ingest(spark: SparkSession, job: Refinement, input_path: str, clock: Clock | None = None) -> int:
-    """Append a delimited file to bronze with its lineage; returns the rows."""
+    """Append a delimited file to bronze with its lineage; returns the rows written."""
     clock = clock or job.clock(spark)
     rows = read_contracts(spark, input_path, job.lake.contract)
     rows = with_ingest_metadata(rows, input_path, clock.run_ts)
+    known = job.lake.bronze.read_or_none(spark) if job.row_key else None
+    if known is not None:
+        rows = without_matches(rows, known, job.row_key)
     written = job.lake.append(spark, "bronze", rows)
     LOG.info("%d rows of %s appended to bronze", written, input_path)
     return written

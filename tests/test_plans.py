@@ -23,8 +23,13 @@ from conftest import HEADER, contract_line
 DAY1 = dt.date(2024, 6, 1)
 
 
+@pytest.fixture
+def lake(tmp_path):
+    return Lakehouse(str(tmp_path / "lake"), contract=CONTRACT_SCHEMA, measure_bytes=True)
+
+
 @pytest.fixture(params=["declared", "inferred"])
-def lake(request, tmp_path):
+def any_lake(request, tmp_path):
     contract = CONTRACT_SCHEMA if request.param == "declared" else None
     return Lakehouse(str(tmp_path / "lake"), contract=contract, measure_bytes=True)
 
@@ -54,7 +59,8 @@ def entities(df):
     return sorted(r["Entidad"] for r in df.collect())
 
 
-def test_golden_run(spark, lake, contracts_csv):
+def test_golden_run(spark, any_lake, contracts_csv):
+    lake = any_lake
     out = refine(spark, job(lake, mode="prod"), contracts_csv)
     assert (out.total, out.clean, out.quarantine) == (10, 6, 4)
     assert out.reject_pct == 40.0 and out.alert and out.moved is None
@@ -105,10 +111,11 @@ def test_golden_run(spark, lake, contracts_csv):
     assert tuple(layer_comparison(metrics).first()) == ("contracts", 6, 4)
 
 
-def test_simple_golden_run(spark, lake, contracts_csv):
+def test_simple_golden_run(spark, any_lake, contracts_csv):
+    lake = any_lake
     assert ingest_snapshot(spark, lake, contracts_csv) == 10
     assert ingest_snapshot(spark, lake, contracts_csv) == 10
-    assert refine_simple(spark, lake) == (6, 4)
+    assert refine_simple(spark, any_lake) == (6, 4)
     assert refine_simple(spark, lake) == (6, 4)
     held = spark.read.parquet(lake.quarantine.path)
     assert held.columns == [*CONTRACT_SCHEMA.names, L.REJECT_REASON]
@@ -118,7 +125,8 @@ def test_simple_golden_run(spark, lake, contracts_csv):
     }
 
 
-def test_missing_bronze(spark, lake):
+def test_missing_bronze(spark, any_lake):
+    lake = any_lake
     assert refine(spark, job(lake)) is None
     assert reprocess(spark, job(lake)) == 0
 
@@ -173,8 +181,9 @@ def test_reprocess_survives_a_crash_before_the_attempts_are_logged(spark, lake,
 def test_repeated_runs_with_a_row_key(spark, lake, mixed_csv):
     key = ["Entidad", "Fecha_de_Firma"]
     refine(spark, job(lake, row_key=key), mixed_csv)
-    out = refine(spark, job(lake, row_key=key))
+    out = refine(spark, job(lake, row_key=key), mixed_csv)
     assert (out.total, out.clean, out.quarantine) == (5, 1, 4)
+    assert lake.bronze.read(spark).count() == 5
     assert lake.quarantine.read(spark).count() == 4
 
     # Tomorrow's row enters silver from bronze and is not moved a second time.
@@ -184,7 +193,8 @@ def test_repeated_runs_with_a_row_key(spark, lake, mixed_csv):
     assert entities(lake.silver.read(spark)) == ["sound", "tomorrow"]
 
 
-def test_moved_corrections_outlive_the_next_run(spark, lake, mixed_csv):
+def test_moved_corrections_outlive_the_next_run(spark, any_lake, mixed_csv):
+    lake = any_lake
     key = ["Entidad"]
     refine(spark, job(lake, row_key=key), mixed_csv)
     # Someone corrects a price in quarantine.
