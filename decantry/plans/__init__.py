@@ -1,5 +1,5 @@
 from .lakehouse import Lakehouse
-from .refine import Refinement, Rules, ingest, refine, refresh_gold, reprocess
+from .runs import Refinement, Rules, ingest, refine, refresh_gold, reprocess
 from .simple import ingest_snapshot, refine_simple
 
 __all__ = [

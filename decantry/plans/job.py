@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from decantry.plans import Lakehouse, Refinement, refine, refresh_gold
-from decantry.plans.refine import Summary
+from decantry.plans.runs import Summary
 from decantry.session import cluster_session
 from decantry.sources import CONTRACT_SCHEMA
 

@@ -67,3 +67,14 @@ def work_folder(spark: SparkSession) -> str:
 def one_row(spark: SparkSession, **columns: Column) -> DataFrame:
     """A frame of one row that needs neither a job nor a Python worker to make."""
     return spark.sql("SELECT 1").select(*(c.alias(name) for name, c in columns.items()))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the file system has ``path``; nothing is listed or read.
+
+    Asking the reader instead would do, but a failed read also fails the listener
+    that serves row counts of writes, which then logs a stack trace.
+    """
+    context = spark.sparkContext
+    location = context._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(context._jsc.hadoopConfiguration()).exists(location)

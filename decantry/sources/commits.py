@@ -12,12 +12,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import one_row
+from ..session import one_row, path_exists
 
 # Only these members are parsed out of a commit file. The names
 # are those of Delta commit files, metrics are stored as text there.
@@ -34,17 +33,15 @@ COMMIT_SCHEMA = T.StructType().add(
 
 def stored_bytes(spark: SparkSession, path: str, pattern: str = "*.parquet") -> int:
     """Size of a table's files, from their listing alone (no file is opened)."""
+    if not path_exists(spark, path):
+        return 0
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
+        .load(path)
     )
-    try:
-        return files.load(path).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return 0
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
 
 
 @dataclass(frozen=True)
@@ -71,17 +68,14 @@ class CommitLog:
         one_row(spark, commitInfo=info).write.mode("append").json(self.path)
 
     def read(self, spark: SparkSession) -> DataFrame | None:
-        try:
-            return (
-                spark.read.schema(COMMIT_SCHEMA)
-                .option("pathGlobFilter", "*.json")
-                .json(self.path)
-                .select("commitInfo", F.col("_metadata.file_name").alias("file_name"))
-            )
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not path_exists(spark, self.path):
             return None
+        return (
+            spark.read.schema(COMMIT_SCHEMA)
+            .option("pathGlobFilter", "*.json")
+            .json(self.path)
+            .select("commitInfo", F.col("_metadata.file_name").alias("file_name"))
+        )
 
 
 def commit_metrics(spark: SparkSession, logs: Sequence[CommitLog]) -> DataFrame:

@@ -33,14 +33,16 @@ CONTRACT_SCHEMA = T.StructType(
 MALFORMED = "_corrupt_record"
 
 
-def _file_schema(header: list[str], contract: T.StructType) -> T.StructType:
-    """Read schema in the order of the file; columns outside the contract are text."""
+def _file_schema(labels: list[str], contract: T.StructType) -> T.StructType:
+    """Read schema under the file's own labels; columns outside the contract are text."""
     known = {f.name: f.dataType for f in contract}
-    names = [storage_name(c) for c in header]
+    names = [storage_name(label) for label in labels]
     missing = [n for n in known if n not in names]
     if missing:
         raise ValueError(f"the file lacks the contract columns {missing}")
-    return T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in names])
+    return T.StructType(
+        [T.StructField(label, known.get(n, T.StringType())) for label, n in zip(labels, names)]
+    )
 
 
 def read_contracts(
@@ -56,9 +58,10 @@ def read_contracts(
     dropped. ``keep_malformed`` adds a column with the raw line of such rows
     (and of rows with a value that does not parse).
 
-    With a contract only the header line is looked at before the scan.
-    ``contract=None`` infers the types, which reads the whole input once more
-    and makes the schema depend on the data.
+    With a contract only the header line is looked at before the scan. A file
+    with other labels, or the same in another order, then fails the scan instead of
+    ending up in the wrong columns. ``contract=None`` infers the types, which
+    reads the whole input once more and makes the schema depend on the data.
     """
     reader = spark.read.option("header", True).option("sep", delimiter).option("mode", "PERMISSIVE")
     if contract is None:
@@ -66,8 +69,8 @@ def read_contracts(
             raise ValueError("keep_malformed needs a contract")
         return normalize_columns(reader.option("inferSchema", True).csv(path))
 
-    header = normalize_columns(reader.csv(path)).columns
-    schema = _file_schema(header, contract)
+    schema = _file_schema(reader.csv(path).columns, contract)
+    reader = reader.option("enforceSchema", False)
     if keep_malformed:
         # The parser must split whole lines: with only some columns requested it
         # would not notice that a row has too few or too many tokens.
@@ -75,4 +78,4 @@ def read_contracts(
         reader = reader.option("columnNameOfCorruptRecord", MALFORMED).option(
             "columnPruning", False
         )
-    return reader.schema(schema).csv(path)
+    return normalize_columns(reader.schema(schema).csv(path))

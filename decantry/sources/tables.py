@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.typed import column_ref
+from ..session import path_exists
 
 LOG = logging.getLogger(__name__)
 
-_ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_TABLE_NOT_FOUND"}
+# A folder without a file of the format in it.
+_EMPTY = {"UNABLE_TO_INFER_SCHEMA", "DELTA_TABLE_NOT_FOUND"}
 
 _INTEGRAL = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
 
@@ -100,14 +102,14 @@ class Table:
 
     def read_or_none(self, spark: SparkSession) -> DataFrame | None:
         """The table, or None where there is none; other errors surface."""
-        try:
-            return self.read(spark)
-        except AnalysisException as e:
-            condition = (e.getCondition() or "").split(".")[0]
-            if condition not in _ABSENT:
-                raise
-            LOG.info("no table at %s (%s)", self.path, condition)
-            return None
+        if path_exists(spark, self.path):
+            try:
+                return self.read(spark)
+            except AnalysisException as e:
+                if (e.getCondition() or "").split(".")[0] not in _EMPTY:
+                    raise
+        LOG.info("no table at %s", self.path)
+        return None
 
     def append(self, df: DataFrame, compact: bool | str = False) -> int:
         """Append, aligned to the table's columns; returns the rows written."""

@@ -8,15 +8,18 @@ in the future enter silver by reprocessing once their day has come.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import labels as L
 from ..operators.gate import audit, clean, quarantine
 from ..operators.ingest import with_ingest_metadata
 from ..operators.matching import without_matches
-from ..plans.refine import Clock, Refinement
+from ..plans.runs import Clock, Refinement
 
 
 def refine_new_files(
@@ -24,24 +27,33 @@ def refine_new_files(
     job: Refinement,
     input_dir: str,
     checkpoint: str,
+    labels: Sequence[str] | None = None,
     max_files: int = 1000,
     delimiter: str = ",",
 ) -> StreamingQuery:
     """Process the files of ``input_dir`` that are new, then stop.
 
-    Files have the contract's columns in its order, and a header row. A batch
-    that failed half-way is delivered again with the same files; with a row key
-    what was stored of it the first time is not stored twice.
+    Files have the contract's columns in its order, and a header row, which is
+    compared with ``labels`` where they are given. A batch that failed half-way is
+    delivered again with the same files; with a row key what was stored of it the
+    first time is not stored twice.
     """
     contract = job.lake.contract
     if contract is None:
         raise ValueError("a stream needs a contract: its schema cannot follow the data")
+    schema = contract
+    if labels is not None:
+        schema = T.StructType(
+            [T.StructField(label, f.dataType) for label, f in zip(labels, contract, strict=True)]
+        )
     arriving = (
-        spark.readStream.schema(contract)
+        spark.readStream.schema(schema)
         .option("header", True)
+        .option("enforceSchema", labels is None)
         .option("sep", delimiter)
         .option("maxFilesPerTrigger", max_files)
         .csv(input_dir)
+        .toDF(*contract.names)
         .withColumn(L.SOURCE_FILE, F.col("_metadata.file_path"))
     )
     return (

@@ -66,3 +66,13 @@ def test_ingest_metadata(spark, contracts_csv):
         read_contracts(spark, contracts_csv), F.col("_metadata.file_path"), at
     )
     assert each.first()[L.SOURCE_FILE].endswith("contracts.csv")
+
+
+def test_a_file_in_another_order_is_not_read_into_the_wrong_columns(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.csv").write_text("who,amount\na,1\n")
+    contract = T.StructType().add("who", "string").add("amount", "double")
+    assert read_contracts(spark, str(tmp_path / "in"), contract).count() == 1
+    (tmp_path / "in" / "2.csv").write_text("amount,who\n1,a\n")
+    with pytest.raises(Exception, match="header"):
+        read_contracts(spark, str(tmp_path / "in"), contract).collect()

@@ -15,7 +15,7 @@ from decantry.plans import (
     refresh_gold,
     reprocess,
 )
-from decantry.plans.refine import _as_silver, _settled_ids
+from decantry.plans.runs import _as_silver, _settled_ids
 from decantry.sources import CONTRACT_SCHEMA, commit_metrics
 
 from conftest import HEADER, contract_line

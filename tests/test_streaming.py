@@ -41,7 +41,7 @@ def test_new_files_only_and_same_result_as_a_full_run(spark, tmp_path):
     refine_new_files(spark, streamed, str(inbox), checkpoint).awaitTermination(120)
     write(inbox, "2.csv", ("c", "Y", "2024-02-01", "2"), ("d", "Y", "2025-01-01", "3"))
     for _ in range(2):
-        refine_new_files(spark, streamed, str(inbox), checkpoint).awaitTermination(120)
+        refine_new_files(spark, streamed, str(inbox), checkpoint, HEADER).awaitTermination(120)
     got = layers(spark, streamed.lake)
     assert got == {
         "bronze": ["a", "b", "c", "d"],
