@@ -31,15 +31,19 @@ def _distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return _keyed(df.select(*(column_ref(k) for k in keys)).distinct(), keys).select(_KEY)
 
 
-def _fits(found: DataFrame, keys: Sequence[str], limit: int) -> bool:
-    per_row = sum(
-        (
-            F.coalesce(F.octet_length(F.col(_KEY)[k].cast("string")), F.lit(0)) + F.lit(16)
-            for k in keys
-        ),
-        F.lit(0),
-    )
-    size = found.agg(F.sum(per_row.cast("bigint")).alias("n")).first()["n"] or 0
+def _fits(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
+    """Whether all keys of ``df``, copies included, are within ``limit`` bytes.
+
+    The row count of a stored table is in its footers, so a large one is ruled out
+    without reading a key.
+    """
+    overhead = 16 * len(keys)
+    if df.count() > limit // overhead:
+        return False
+    per_row = F.lit(overhead)
+    for k in keys:
+        per_row += F.coalesce(F.octet_length(column_ref(k).cast("string")), F.lit(0))
+    size = df.agg(F.sum(per_row.cast("bigint")).alias("n")).first()["n"] or 0
     return size <= limit
 
 
@@ -57,8 +61,8 @@ def without_matches(
     Few keys are broadcast. Many are shuffled with ``df``, and a key that holds
     a large share of ``df``'s rows is spread over several tasks.
     """
-    found = _distinct_keys(other, keys)
-    return _without(df, found, keys, _fits(found, keys, broadcast_bytes))
+    small = _fits(other, keys, broadcast_bytes)
+    return _without(df, _distinct_keys(other, keys), keys, small)
 
 
 def without_matches_in_large(
@@ -71,7 +75,7 @@ def without_matches_in_large(
     is no larger, so it is broadcast in turn.
     """
     wanted = _distinct_keys(df, keys)
-    small = _fits(wanted, keys, broadcast_bytes)
+    small = _fits(df, keys, broadcast_bytes)
     present = _keyed(other.select(*(column_ref(k) for k in keys)), keys).join(
         F.broadcast(wanted) if small else wanted, _KEY, "left_semi"
     )

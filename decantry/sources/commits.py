@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,71 +55,66 @@ class CommitLog:
     def record(
         self, spark: SparkSession, mode: str, rows: int, size: int, at: dt.datetime | None = None
     ) -> None:
-        at = at or dt.datetime.now(dt.timezone.utc)
+        millis = int((at or dt.datetime.now(dt.timezone.utc)).timestamp() * 1000)
         metrics = F.struct(
             F.lit(str(rows)).alias("numOutputRows"), F.lit(str(size)).alias("numOutputBytes")
         )
         info = F.struct(
-            F.lit(int(at.timestamp() * 1000)).alias("timestamp"),
+            F.lit(millis).alias("timestamp"),
             F.lit("WRITE").alias("operation"),
             F.struct(F.lit(mode).alias("mode")).alias("operationParameters"),
             metrics.alias("operationMetrics"),
         )
-        one_row(spark, commitInfo=info).write.mode("append").json(self.path)
+        # The folder's name puts the record in order, as a commit's number does.
+        one_row(spark, commitInfo=info).write.mode("append").json(f"{self.path}/{millis:020d}")
 
-    def read(self, spark: SparkSession) -> DataFrame | None:
+    def files(self, spark: SparkSession) -> DataFrame | None:
+        """Paths of the commit files, from their listing alone."""
         if not path_exists(spark, self.path):
             return None
         return (
-            spark.read.schema(COMMIT_SCHEMA)
+            spark.read.format("binaryFile")
             .option("pathGlobFilter", "*.json")
-            .json(self.path)
-            .select("commitInfo", F.col("_metadata.file_name").alias("file_name"))
+            .option("recursiveFileLookup", True)
+            .load(self.path)
+            .select("path")
         )
 
 
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _last_files(spark: SparkSession, logs: Sequence[CommitLog]) -> dict[int, str]:
+    """Path of the last commit file of each log that has one, found in one job."""
+    listed = [(i, log.files(spark)) for i, log in enumerate(logs)]
+    frames = [f.withColumn("log", F.lit(i)) for i, f in listed if f is not None]
+    if not frames:
+        return {}
+    last = _union(frames).groupBy("log").agg(F.max("path").alias("path"))
+    return {r["log"]: r["path"] for r in last.collect()}
+
+
 def commit_metrics(spark: SparkSession, logs: Sequence[CommitLog]) -> DataFrame:
-    """Rows and bytes of the last commit of every table, in one job.
+    """Rows and bytes of the last commit of every table.
 
-    Delta numbers its commit files; records written by ``CommitLog`` are ordered
-    by their time. A table without log, or whose last commit carries no
-    metrics, has zeros.
+    Only the last file of each log is read, however long the history. A table without
+    log, or whose last commit carries no metrics, has zeros.
     """
-    info_type = COMMIT_SCHEMA["commitInfo"].dataType
+    last = _last_files(spark, logs)
     frames = []
-    for log in logs:
+    for i, log in enumerate(logs):
         labels = {"table_set": F.lit(log.table_set), "layer": F.lit(log.layer)}
         # A row without commit keeps tables in the result that have no log.
-        nothing = {
-            "commitInfo": F.lit(None).cast(info_type),
-            "file_name": F.lit(None).cast("string"),
-        }
-        frames.append(one_row(spark, **labels, **nothing))
-        entries = log.read(spark)
-        if entries is not None:
-            frames.append(entries.withColumns(labels))
-    entries = reduce(DataFrame.unionByName, frames)
-
-    version = F.regexp_extract("file_name", r"^(\d+)\.json$", 1).try_cast("bigint")
-    order = F.struct(
-        F.coalesce(version, F.col("commitInfo.timestamp"), F.lit(-1)),
-        F.col("commitInfo").isNotNull(),
-    )
-    metrics = F.col("commitInfo.operationMetrics")
-    last = F.max_by(
-        F.struct(
-            metrics["numOutputRows"].try_cast("bigint").alias("rows"),
-            metrics["numOutputBytes"].try_cast("bigint").alias("bytes"),
-        ),
-        order,
-    )
-    return (
-        entries.groupBy("table_set", "layer")
-        .agg(last.alias("last"))
-        .select(
-            "table_set",
-            "layer",
-            F.coalesce("last.rows", F.lit(0)).alias("rows"),
-            F.coalesce("last.bytes", F.lit(0)).alias("bytes"),
-        )
+        nothing = F.lit(None).cast(COMMIT_SCHEMA["commitInfo"].dataType)
+        frames.append(one_row(spark, commitInfo=nothing, **labels))
+        if i in last:
+            frames.append(spark.read.schema(COMMIT_SCHEMA).json(last[i]).withColumns(labels))
+
+    def metric(name: str) -> Column:
+        value = F.col(f"commitInfo.operationMetrics.{name}").try_cast("bigint")
+        return F.coalesce(F.max(value), F.lit(0))
+
+    return _union(frames).groupBy("table_set", "layer").agg(
+        metric("numOutputRows").alias("rows"), metric("numOutputBytes").alias("bytes")
     )
