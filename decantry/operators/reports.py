@@ -104,12 +104,14 @@ def sample_rejects(
     ).limit(n)
 
 
+def _of_layer(layer: str, metric: str) -> Column:
+    value = F.sum(F.when(F.col("layer") == layer, F.col(metric)))
+    return F.coalesce(value, F.lit(0)).alias(f"{layer}_{metric}")
+
+
 def layer_balance(metrics: DataFrame) -> DataFrame:
     """Rows per layer and the valid and rejected shares, one row per table set."""
 
-    def rows_of(layer: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("layer") == layer, F.col("rows"))), F.lit(0))
-
     def share(part: str) -> Column:
         pct = F.lit(Decimal("100.0")) * F.col(part) / F.col("total_rows")
         return (
@@ -120,9 +122,11 @@ def layer_balance(metrics: DataFrame) -> DataFrame:
     return (
         metrics.groupBy("table_set")
         .agg(
-            rows_of("bronze").alias("bronze_rows"),
-            rows_of("silver").alias("silver_rows"),
-            rows_of("quarantine").alias("quarantine_rows"),
+            _of_layer("bronze", "rows"),
+            _of_layer("silver", "rows"),
+            _of_layer("quarantine", "rows"),
+            _of_layer("silver", "bytes"),
+            _of_layer("quarantine", "bytes"),
         )
         .withColumn("total_rows", F.col("silver_rows") + F.col("quarantine_rows"))
         .withColumn("valid_pct", share("silver_rows"))
@@ -133,10 +137,5 @@ def layer_balance(metrics: DataFrame) -> DataFrame:
 def layer_comparison(metrics: DataFrame, layers: tuple[str, ...] = ("silver", "quarantine")) -> DataFrame:
     """Rows per layer, with one column per layer and one row per table set."""
     return metrics.groupBy("table_set").agg(
-        *(
-            F.coalesce(F.sum(F.when(F.col("layer") == layer, F.col("rows"))), F.lit(0)).alias(
-                f"{layer}_rows"
-            )
-            for layer in layers
-        )
+        *(_of_layer(layer, "rows") for layer in layers)
     )

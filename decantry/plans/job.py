@@ -9,7 +9,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from decantry.plans import Lakehouse, Refinement, refine, refresh_gold
+from decantry.plans import (
+    Lakehouse,
+    Refinement,
+    ingest_snapshot,
+    refine,
+    refine_simple,
+    refresh_gold,
+)
 from decantry.plans.runs import Summary
 from decantry.session import cluster_session
 from decantry.sources import CONTRACT_SCHEMA
@@ -27,6 +34,7 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     p.add_argument("--gold-table", help="also write the largest groups to this gold table")
     p.add_argument("--row-key", help="comma-separated columns that identify a row")
     p.add_argument("--as-of", type=dt.date.fromisoformat, help="day to judge dates by")
+    p.add_argument("--snapshot", action="store_true", help="replace all layers, simple rules")
     p.add_argument("--infer-schema", action="store_true", help="no contract: types by the data")
     return p.parse_args(argv)
 
@@ -46,12 +54,22 @@ def run(spark: SparkSession, args: argparse.Namespace) -> Summary | None:
         row_key=args.row_key.split(",") if args.row_key else None,
         as_of=args.as_of,
     )
-    summary = refine(spark, job, args.input_path, args.run_reprocess)
+    if args.snapshot:
+        summary = _snapshot(spark, lake, args.input_path)
+    else:
+        summary = refine(spark, job, args.input_path, args.run_reprocess)
     if summary is not None and args.gold_table:
         refresh_gold(spark, job)
     return summary
 
 
+def _snapshot(spark: SparkSession, lake: Lakehouse, input_path: str | None) -> Summary:
+    if input_path:
+        ingest_snapshot(spark, lake, input_path)
+    kept, rejected = refine_simple(spark, lake)
+    return Summary.of(kept + rejected, kept)
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO)
     args = parse_args(argv)

@@ -50,7 +50,8 @@ class Lakehouse:
     """Paths and schemas of the layers.
 
     With a ``contract`` (the columns of the source) every layer has a declared
-    schema. Without one schemas follow the data. ``measure_bytes`` lists a table's
+    schema. Without one schemas follow the data. A ``snapshot`` lakehouse has no
+    lineage and of the audit columns only the reason. ``measure_bytes`` lists a table's
     files after each write to record their size as well as the rows; Delta does
     both by itself.
     """
@@ -60,6 +61,7 @@ class Lakehouse:
     fmt: str = "parquet"
     contract: T.StructType | None = None
     gold_table: str = "top_groups"
+    snapshot: bool = False
     measure_bytes: bool = False
 
     def _table(self, path: str, *extra: list[T.StructField]) -> Table:
@@ -68,23 +70,30 @@ class Lakehouse:
             schema = T.StructType([*self.contract.fields, *(f for part in extra for f in part)])
         return Table(f"{self.root}/{path}", self.fmt, schema)
 
+    @property
+    def _lineage(self) -> list[T.StructField]:
+        return [] if self.snapshot else _INGESTION
+
     @property
     def bronze(self) -> Table:
-        return self._table(f"bronze/{self.table}", _INGESTION)
+        return self._table(f"bronze/{self.table}", self._lineage)
 
     @property
     def silver(self) -> Table:
         # The code column is there for consumers that select it and is always
         # NULL; the id is set on rows that came out of quarantine.
-        lineage = [
+        origin = [
             T.StructField(L.CODE, T.StringType()),
             T.StructField(L.QUARANTINE_ID, T.StringType()),
         ]
-        return self._table(f"silver/{self.table}", _INGESTION, lineage)
+        return self._table(f"silver/{self.table}", self._lineage, [] if self.snapshot else origin)
 
     @property
     def quarantine(self) -> Table:
-        return self._table(f"quarantine/{self.table}_errors", _INGESTION, _VERDICT, _AUDIT)
+        path = f"quarantine/{self.table}_errors"
+        if self.snapshot:
+            return self._table(path, _AUDIT[:1])
+        return self._table(path, self._lineage, _VERDICT, _AUDIT)
 
     @property
     def attempts(self) -> Table:

@@ -5,14 +5,14 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import labels as L
 from ..functions.names import resolve_column
-from ..functions.rules import RuleSet, full_rules
+from ..functions.rules import RuleSet, full_rules, simple_rules
 from ..operators.attempts import merge_attempts
 from ..operators.gate import audit, clean, quarantine
 from ..operators.gold import top_groups
@@ -31,9 +31,14 @@ class Rules:
     price: Sequence[str] = L.PRICE_SPELLINGS
     signed_on: Sequence[str] = L.SIGNED_ON_SPELLINGS
 
-    def bind(self, df: DataFrame, as_of: dt.date) -> RuleSet:
-        price = resolve_column(df, *self.price)
-        return full_rules(df, price, resolve_column(df, *self.signed_on), as_of)
+    def resolve(self, df: DataFrame) -> tuple[str, str]:
+        return resolve_column(df, *self.price), resolve_column(df, *self.signed_on)
+
+    def full(self, df: DataFrame, as_of: dt.date) -> RuleSet:
+        return full_rules(df, *self.resolve(df), as_of)
+
+    def simple(self, df: DataFrame) -> RuleSet:
+        return simple_rules(df, *self.resolve(df))
 
 
 @dataclass(frozen=True)
@@ -88,6 +93,13 @@ class Summary:
     alert: bool
     moved: int | None = None
 
+    @classmethod
+    def of(cls, total: int, clean: int, alert_above_pct: float | None = None) -> Summary:
+        rejected = total - clean
+        reject_pct = 100.0 * rejected / total if total else 0.0
+        alert = alert_above_pct is not None and reject_pct > alert_above_pct
+        return cls(total, clean, rejected, reject_pct, alert)
+
     def as_frame(self, spark: SparkSession) -> DataFrame:
         return one_row(
             spark,
@@ -129,7 +141,7 @@ def refine(
     if bronze is None:
         LOG.error("there is no bronze table at %s", lake.bronze.path)
         return None
-    rules = job.rules.bind(bronze, clock.as_of)
+    rules = job.rules.full(bronze, clock.as_of)
 
     if job.row_key:
         _settle_attempts(spark, lake, clock)
@@ -157,15 +169,14 @@ def refine(
         kept = lake.silver.read(spark).filter(F.col(L.QUARANTINE_ID).isNull()).count()
     else:
         kept, total = silver_count, silver_count + appended
-    rejected = total - kept
-    reject_pct = 100.0 * rejected / total if total else 0.0
-    alert = job.mode == "prod" and reject_pct > job.alert_above_pct
-    LOG.info("%d rows: %d clean, %d rejected", total, kept, rejected)
-    if alert:
-        LOG.warning("rejection rate %.2f%% is above %.2f%%", reject_pct, job.alert_above_pct)
-
-    moved = reprocess(spark, job, clock) if reprocess_quarantine else None
-    return Summary(total, kept, rejected, reject_pct, alert, moved)
+    limit = job.alert_above_pct if job.mode == "prod" else None
+    summary = Summary.of(total, kept, limit)
+    LOG.info("%d rows: %d clean, %d rejected", total, kept, summary.quarantine)
+    if summary.alert:
+        LOG.warning("rejection rate %.2f%% is above %.2f%%", summary.reject_pct, limit)
+    if reprocess_quarantine:
+        summary = replace(summary, moved=reprocess(spark, job, clock))
+    return summary
 
 
 def reprocess(spark: SparkSession, job: Refinement, clock: Clock | None = None) -> int:
@@ -185,7 +196,7 @@ def reprocess(spark: SparkSession, job: Refinement, clock: Clock | None = None)
     if lake.fmt == "delta" and L.REPROCESSED_AT in held.columns:
         held = held.filter(F.col(L.REPROCESSED_AT).isNull())
 
-    movable = held.filter(job.rules.bind(held, clock.as_of).passed)
+    movable = held.filter(job.rules.full(held, clock.as_of).passed)
     settled = _settled_ids(spark, lake)
     if settled is not None:
         movable = movable.join(settled, L.QUARANTINE_ID, "left_anti")

@@ -2,37 +2,33 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import SparkSession
 
-from .. import labels as L
-from ..functions.names import resolve_column
-from ..functions.rules import simple_rules
 from ..operators.gate import clean, with_reason
 from ..sources.contracts import read_contracts
-from ..sources.tables import Table
 from .lakehouse import Lakehouse
+from .runs import Rules
 
 
 def ingest_snapshot(spark: SparkSession, lake: Lakehouse, input_path: str) -> int:
     """Replace bronze by the file as it is, without lineage columns."""
     rows = read_contracts(spark, input_path, lake.contract)
-    return Table(lake.bronze.path, lake.fmt).overwrite(rows)
+    return replace(lake, snapshot=True).overwrite(spark, "bronze", rows)
 
 
-def refine_simple(spark: SparkSession, lake: Lakehouse) -> tuple[int, int]:
+def refine_simple(
+    spark: SparkSession, lake: Lakehouse, rules: Rules | None = None
+) -> tuple[int, int]:
     """Replace silver and quarantine; returns the rows of each.
 
     A date after today is accepted here.
     """
-    bronze = Table(lake.bronze.path, lake.fmt, lake.contract).read(spark)
-    rules = simple_rules(
-        bronze,
-        resolve_column(bronze, *L.PRICE_SPELLINGS),
-        resolve_column(bronze, *L.SIGNED_ON_SPELLINGS),
-    )
-    silver = Table(lake.silver.path, lake.fmt)
-    quarantine = Table(lake.quarantine.path, lake.fmt)
+    lake = replace(lake, snapshot=True)
+    bronze = lake.bronze.read(spark)
+    checks = (rules or Rules()).simple(bronze)
     return (
-        silver.overwrite(clean(bronze, rules)),
-        quarantine.overwrite(with_reason(bronze, rules), compact=True),
+        lake.overwrite(spark, "silver", clean(bronze, checks)),
+        lake.overwrite(spark, "quarantine", with_reason(bronze, checks), compact=True),
     )

@@ -78,7 +78,7 @@ def append_batch(rows: DataFrame, job: Refinement) -> None:
 
 def _append(rows: DataFrame, job: Refinement, clock: Clock) -> None:
     spark, lake = rows.sparkSession, job.lake
-    rules = job.rules.bind(rows, clock.as_of)
+    rules = job.rules.full(rows, clock.as_of)
     rejects = audit(quarantine(rows, rules), job.pipeline_version, clock.run_ts)
     for layer, part, spread in (
         ("bronze", rows, False),

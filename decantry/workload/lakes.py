@@ -9,12 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import labels as L
-from ..functions import simple_rules
 from ..operators import audit, clean, quarantine, with_attempts, with_ingest_metadata
 from ..operators import layer_balance as balance
 from ..operators import layer_comparison as comparison
-from ..operators.gate import with_reason
-from ..plans import Lakehouse, Refinement, Rules, refine, reprocess
+from ..plans import Lakehouse, Refinement, Rules, refine, refine_simple, reprocess
 from ..session import work_folder
 from ..sources import Table
 from ..sources import commit_metrics as last_commits
@@ -148,7 +146,8 @@ from v
 def layer_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _filled_lake(spark, sf_dir)
     refine(spark, _job(lake))
-    return balance(last_commits(spark, lake.commit_logs()))
+    shares = balance(last_commits(spark, lake.commit_logs()))
+    return shares.drop("silver_bytes", "quarantine_bytes")
 
 
 @query(
@@ -166,11 +165,9 @@ def layer_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full and the simple gate over the same orders."""
     full = _filled_lake(spark, sf_dir)
     refine(spark, _job(full))
-    simple = Lakehouse(full.root, "orders_simple")
-    bronze = full.bronze.read(spark)
-    few = simple_rules(bronze, "price", "sdate")
-    simple.overwrite(spark, "silver", clean(bronze, few))
-    simple.overwrite(spark, "quarantine", with_reason(bronze, few), compact=True)
+    simple = Lakehouse(full.root, "orders_simple", contract=full.contract, snapshot=True)
+    simple.overwrite(spark, "bronze", corrupt_orders(spark, sf_dir).drop("o_orderdate"))
+    refine_simple(spark, simple, _RULES)
     return comparison(last_commits(spark, [*full.commit_logs(), *simple.commit_logs()]))
 
 

@@ -36,3 +36,11 @@ def test_work_folders_are_new_and_follow_the_checkpoint_setting(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         assert first.startswith(shared.rstrip("/"))
+
+
+def test_snapshot_from_options(spark, tmp_path, contracts_csv):
+    options = ["--lakehouse-root", str(tmp_path), "--snapshot", "--input-path", contracts_csv]
+    for _ in range(2):
+        summary = run(spark, parse_args(options))
+        assert (summary.total, summary.clean, summary.quarantine) == (10, 6, 4)
+        assert not summary.alert

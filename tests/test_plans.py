@@ -104,6 +104,8 @@ def test_golden_run(spark, any_lake, contracts_csv):
         "bronze_rows": 10,
         "silver_rows": 6,
         "quarantine_rows": 4,
+        "silver_bytes": got["silver"]["bytes"],
+        "quarantine_bytes": got["quarantine"]["bytes"],
         "total_rows": 10,
         "valid_pct": 60.0,
         "rejected_pct": 40.0,
@@ -115,8 +117,11 @@ def test_simple_golden_run(spark, any_lake, contracts_csv):
     lake = any_lake
     assert ingest_snapshot(spark, lake, contracts_csv) == 10
     assert ingest_snapshot(spark, lake, contracts_csv) == 10
-    assert refine_simple(spark, any_lake) == (6, 4)
     assert refine_simple(spark, lake) == (6, 4)
+    assert refine_simple(spark, lake) == (6, 4)
+    rows = {r["layer"]: r["rows"] for r in commit_metrics(spark, lake.commit_logs()).collect()}
+    assert rows == {"bronze": 10, "silver": 6, "quarantine": 4}
+    assert refresh_gold(spark, job(lake)) == 6
     held = spark.read.parquet(lake.quarantine.path)
     assert held.columns == [*CONTRACT_SCHEMA.names, L.REJECT_REASON]
     assert {tuple(r) for r in reason_counts(held).collect()} == {
@@ -168,7 +173,7 @@ def test_reprocess_survives_a_crash_before_the_attempts_are_logged(spark, lake,
     refine(spark, job(lake), mixed_csv)
     day2 = job(lake, dt.date(2024, 6, 2))
     held = lake.quarantine.read(spark)
-    movable = held.filter(day2.rules.bind(held, day2.as_of).passed)
+    movable = held.filter(day2.rules.full(held, day2.as_of).passed)
     lake.silver.append(_as_silver(spark, lake, movable))
     assert lake.attempts.read_or_none(spark) is None
     assert reprocess(spark, day2) == 0

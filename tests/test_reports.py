@@ -78,6 +78,7 @@ def test_recent_invalid_breaks_ties_by_id(rejects):
     out = recent_invalid(rejects, n=3)
     assert out.columns == [L.ENTITY, L.PRICE, L.SIGNED_ON, L.REJECT_REASON, L.VALIDATED_AT]
     assert [r[L.REJECT_REASON] for r in out.collect()] == ["r1", "r1", "r2"]
+    assert recent_invalid(rejects, entity="entidad").count() == 6  # names ignore case
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan and "Exchange" not in plan
 
@@ -125,6 +126,7 @@ def test_balance_of_empty_layers(spark):
     balance = {r["table_set"]: r for r in layer_balance(metrics).collect()}
     assert (balance["t"]["valid_pct"], balance["t"]["rejected_pct"]) == (0.0, 0.0)
     assert (balance["u"]["valid_pct"], balance["u"]["rejected_pct"]) == (66.7, 33.3)
+    assert (balance["u"]["silver_bytes"], balance["u"]["quarantine_bytes"]) == (1, 1)
     assert sorted(tuples(layer_comparison(metrics))) == [("t", 0, 0), ("u", 2, 1)]
 
 
