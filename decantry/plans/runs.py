@@ -203,6 +203,9 @@ def reprocess(spark: SparkSession, job: Refinement, clock: Clock | None = None)
     silver = lake.silver.read_or_none(spark)
     if job.row_key and silver is not None:
         movable = without_matches_in_large(movable, silver, job.row_key)
+    if job.row_key:
+        # Earlier runs without a key may have quarantined a row several times.
+        movable = movable.dropDuplicates(list(job.row_key))
     moved = lake.append(spark, "silver", _as_silver(spark, lake, movable), L.QUARANTINE_ID)
     _settle_attempts(spark, lake, clock)
     LOG.info("%d rows moved from quarantine to silver", moved)

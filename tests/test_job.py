@@ -17,10 +17,10 @@ def test_options():
 
 def test_run_from_options(spark, tmp_path, contracts_csv):
     options = ["--lakehouse-root", str(tmp_path), "--mode", "prod", "--run-reprocess",
-               "--gold-table", "top_deptos", "--pipeline-version", "v9"]
+               "--gold-table", "best", "--pipeline-version", "v9"]
     summary = run(spark, parse_args([*options, "--input-path", contracts_csv]))
     assert (summary.total, summary.clean, summary.alert, summary.moved) == (10, 6, True, 0)
-    lake = Lakehouse(str(tmp_path), gold_table="top_deptos")
+    lake = Lakehouse(str(tmp_path), gold_table="best")
     assert lake.gold.read(spark).count() == 6
     versions = lake.quarantine.read(spark).select("_pipeline_version").distinct().collect()
     assert [r[0] for r in versions] == ["v9"]

@@ -198,6 +198,15 @@ def test_repeated_runs_with_a_row_key(spark, lake, mixed_csv):
     assert entities(lake.silver.read(spark)) == ["sound", "tomorrow"]
 
 
+def test_a_key_given_later_moves_one_of_several_copies(spark, lake, mixed_csv):
+    refine(spark, job(lake), mixed_csv)
+    refine(spark, job(lake))
+    assert lake.quarantine.read(spark).count() == 8
+    day2 = job(lake, dt.date(2024, 6, 2), row_key=["Entidad"])
+    assert [reprocess(spark, day2) for _ in range(2)] == [1, 0]
+    assert entities(lake.silver.read(spark)) == ["sound", "tomorrow"]
+
+
 def test_moved_corrections_outlive_the_next_run(spark, any_lake, mixed_csv):
     lake = any_lake
     key = ["Entidad"]
