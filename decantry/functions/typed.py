@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 
 def column_ref(name: str) -> Column:
-    """Reference to a top-level column whatever characters its name has."""
+    """A top-level column, whatever characters its name has."""
     return F.col("`" + name.replace("`", "``") + "`")
 
 

@@ -1,8 +1,4 @@
 from . import gating, lakes, reporting  # noqa: F401  (they fill the registry)
 from .registry import QUERIES, SQL
 
-# A function of this name is imported where the query is defined.
-QUERIES["normalize_columns"] = QUERIES.pop("normalize_columns_")
-SQL["normalize_columns"] = SQL.pop("normalize_columns_")
-
 __all__ = ["QUERIES", "SQL"]

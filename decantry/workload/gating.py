@@ -84,9 +84,10 @@ def table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "select o_orderkey as Nit_Entidad, o_totalprice as Precio_Base_COP,"
-    " o_orderpriority as Justificacin, o_orderstatus as ab from orders"
+    " o_orderpriority as Justificacin, o_orderstatus as ab from orders",
+    name="normalize_columns",
 )
-def normalize_columns_(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stored_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias(" Nit  Entidad "),
         F.col("o_totalprice").alias("Precio Base (COP);"),
@@ -192,7 +193,10 @@ def gate_simple_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(GATED + "select o_orderkey, o_custkey, o_orderpriority, o_orderdate, price, sdate from v where ok")
+@query(
+    GATED + "select o_orderkey, o_custkey, o_orderpriority, o_orderdate, price, sdate from v"
+    " where ok"
+)
 def split_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = corrupt_orders(spark, sf_dir)
     return clean(df, rules(df))

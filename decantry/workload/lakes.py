@@ -171,7 +171,10 @@ def layer_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparison(last_commits(spark, [*full.commit_logs(), *simple.commit_logs()]))
 
 
-@query(GATED + f"select o_orderkey, price, sdate from v where code = 'E002' and price > 0 and sdate <= date '{LATER}'")
+@query(
+    GATED + "select o_orderkey, price, sdate from v"
+    f" where code = 'E002' and price > 0 and sdate <= date '{LATER}'"
+)
 def reprocess_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a second look months later moves; a third one moves nothing more."""
     lake = _filled_lake(spark, sf_dir)

@@ -12,13 +12,14 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register the decorated function under its own name."""
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register the decorated function under ``name``, or else its own name."""
 
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
+        key = name or fn.__name__
+        QUERIES[key] = fn
         if sql is not None:
-            SQL[fn.__name__] = sql
+            SQL[key] = sql
         return fn
 
     return register

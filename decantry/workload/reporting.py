@@ -30,10 +30,10 @@ def reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     _REJECTED
     + """
 select cast(o_orderdate as date) as day, count(*) as total_quarantined,
-       cast(sum(case when code = 'E001' then 1 else 0 end) as bigint) as e001_fecha_nula,
-       cast(sum(case when code = 'E002' then 1 else 0 end) as bigint) as e002_fecha_futura,
-       cast(sum(case when code = 'E003' then 1 else 0 end) as bigint) as e003_precio_nulo,
-       cast(sum(case when code = 'E004' then 1 else 0 end) as bigint) as e004_precio_no_positivo
+       count(*) filter (where code = 'E001') as e001_fecha_nula,
+       count(*) filter (where code = 'E002') as e002_fecha_futura,
+       count(*) filter (where code = 'E003') as e003_precio_nulo,
+       count(*) filter (where code = 'E004') as e004_precio_no_positivo
 from q group by 1 order by day desc
 """
 )
@@ -42,13 +42,14 @@ def report_daily_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    _REJECTED
+    GATED
     + """
-, d as (select cast(o_orderdate as date) as day, count(*) as q_count from q group by 1),
-s as (select cast(o_orderdate as date) as day, count(*) as s_count from v where ok group by 1)
-select d.day, q_count, coalesce(s_count, 0) as s_count,
-       cast(round(100.0 * q_count / (q_count + coalesce(s_count, 0)), 2) as double) as reject_pct
-from d left join s on d.day = s.day order by day desc
+select cast(o_orderdate as date) as day,
+       count(*) filter (where not coalesce(ok, false)) as q_count,
+       count(*) filter (where ok) as s_count,
+       cast(round(count(*) filter (where not coalesce(ok, false)) * 100.0 / count(*), 2) as double)
+         as reject_pct
+from v group by 1 having count(*) filter (where not coalesce(ok, false)) > 0
 """
 )
 def report_reject_pct(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from decantry.plans import (
     refresh_gold,
     reprocess,
 )
-from decantry.plans.runs import _as_silver, _settled_ids
+from decantry.plans.runs import Summary, _as_silver, _settled_ids
 from decantry.sources import CONTRACT_SCHEMA, commit_metrics
 
 from conftest import HEADER, contract_line
@@ -130,6 +130,20 @@ def test_simple_golden_run(spark, any_lake, contracts_csv):
     }
 
 
+@pytest.mark.parametrize(
+    ("total", "clean", "limit", "pct", "alert"),
+    [
+        (100, 95, 5.0, 5.0, False),
+        (1000, 949, 5.0, 5.1, True),
+        (10, 0, None, 100.0, False),
+        (0, 0, 5.0, 0.0, False),
+    ],
+)
+def test_alert_is_for_more_than_the_limit(total, clean, limit, pct, alert):
+    out = Summary.of(total, clean, limit)
+    assert (out.quarantine, out.reject_pct, out.alert) == (total - clean, pct, alert)
+
+
 def test_missing_bronze(spark, any_lake):
     lake = any_lake
     assert refine(spark, job(lake)) is None
