@@ -134,7 +134,9 @@ def layer_balance(metrics: DataFrame) -> DataFrame:
     )
 
 
-def layer_comparison(metrics: DataFrame, layers: tuple[str, ...] = ("silver", "quarantine")) -> DataFrame:
+def layer_comparison(
+    metrics: DataFrame, layers: tuple[str, ...] = ("silver", "quarantine")
+) -> DataFrame:
     """Rows per layer, with one column per layer and one row per table set."""
     return metrics.groupBy("table_set").agg(
         *(_of_layer(layer, "rows") for layer in layers)

@@ -122,7 +122,9 @@ class Lakehouse:
     def commit_logs(self) -> list[CommitLog]:
         return [self.commit_log(layer) for layer in ("bronze", "silver", "quarantine")]
 
-    def append(self, spark: SparkSession, layer: str, df: DataFrame, compact: bool | str = False) -> int:
+    def append(
+        self, spark: SparkSession, layer: str, df: DataFrame, compact: bool | str = False
+    ) -> int:
         return self._commit(spark, layer, df, "append", compact)
 
     def overwrite(

@@ -78,8 +78,10 @@ class Refinement:
     run_ts: dt.datetime | None = None
 
     def clock(self, spark: SparkSession) -> Clock:
+        """Given times, or else now; a run at a given instant judges by its day."""
         now = Clock.now(spark)
-        return Clock(self.as_of or now.as_of, self.run_ts or now.run_ts)
+        day = self.run_ts.date() if self.run_ts else now.as_of
+        return Clock(self.as_of or day, self.run_ts or now.run_ts)
 
 
 @dataclass(frozen=True)
@@ -112,7 +114,9 @@ class Summary:
         )
 
 
-def ingest(spark: SparkSession, job: Refinement, input_path: str, clock: Clock | None = None) -> int:
+def ingest(
+    spark: SparkSession, job: Refinement, input_path: str, clock: Clock | None = None
+) -> int:
     """Append a delimited file to bronze with its lineage; returns the rows written."""
     clock = clock or job.clock(spark)
     rows = read_contracts(spark, input_path, job.lake.contract)

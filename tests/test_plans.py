@@ -144,6 +144,15 @@ def test_alert_is_for_more_than_the_limit(total, clean, limit, pct, alert):
     assert (out.quarantine, out.reject_pct, out.alert) == (total - clean, pct, alert)
 
 
+def test_a_run_at_a_given_instant_judges_by_its_day(spark, lake):
+    at = dt.datetime(2020, 2, 29, 23)
+    clock = Refinement(lake, run_ts=at).clock(spark)
+    assert (clock.as_of, clock.run_ts) == (dt.date(2020, 2, 29), at)
+    assert Refinement(lake, as_of=DAY1, run_ts=at).clock(spark).as_of == DAY1
+    now = Refinement(lake).clock(spark)
+    assert now.as_of == spark.sql("select current_date()").first()[0]
+
+
 def test_missing_bronze(spark, any_lake):
     lake = any_lake
     assert refine(spark, job(lake)) is None
@@ -212,6 +221,25 @@ def test_repeated_runs_with_a_row_key(spark, lake, mixed_csv):
     assert entities(lake.silver.read(spark)) == ["sound", "tomorrow"]
 
 
+def test_a_run_that_died_is_repeated_whole_with_a_row_key(spark, lake, mixed_csv, monkeypatch):
+    keyed = job(lake, row_key=["Entidad"])
+    append = Lakehouse.append
+
+    def dies(self, spark, layer, *args, **options):
+        if layer == "quarantine":
+            raise OSError("driver lost")
+        return append(self, spark, layer, *args, **options)
+
+    monkeypatch.setattr(Lakehouse, "append", dies)
+    with pytest.raises(OSError, match="driver lost"):
+        refine(spark, keyed, mixed_csv)
+    monkeypatch.undo()
+    out = refine(spark, keyed, mixed_csv)
+    assert (out.total, out.clean, out.quarantine) == (5, 1, 4)
+    assert lake.bronze.read(spark).count() == 5
+    assert lake.quarantine.read(spark).count() == 4
+
+
 def test_a_key_given_later_moves_one_of_several_copies(spark, lake, mixed_csv):
     refine(spark, job(lake), mixed_csv)
     refine(spark, job(lake))

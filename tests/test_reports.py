@@ -143,3 +143,27 @@ def test_attempts_fold_in(spark):
     out = with_attempts(held, log)
     assert out.columns == [L.QUARANTINE_ID, L.ATTEMPTS, L.REPROCESSED_AT]
     assert sorted(tuples(out)) == [("q1", 2, dt.datetime(2024, 1, 2)), ("q2", 3, None)]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_reports_prune_and_shuffle_aggregates_only(spark, rejects, tmp_path):
+    path = str(tmp_path / "quarantine")
+    rejects.write.parquet(path)
+    stored = spark.read.parquet(path)
+
+    daily = plan_of(daily_rejects(stored))
+    assert f"ReadSchema: struct<{L.CODE}:string,{L.VALIDATED_AT}:timestamp>" in daily
+    # One shuffle of per-task counts, one to order the days.
+    assert daily.count("Exchange ") == 2 and "partial_count" in daily
+
+    reasons = plan_of(top_reasons(stored, AS_OF))
+    assert f"GreaterThanOrEqual({L.VALIDATED_AT},2024-05-31" in reasons
+    assert reasons.count("Exchange ") == 1 and "TakeOrderedAndProject" in reasons
+
+    pct = plan_of(reject_pct_by_day(stored, stored.withColumnRenamed(L.VALIDATED_AT, L.INGESTED_AT)))
+    assert pct.count("partial_count") == 2 and pct.count("FileScan") == 2
+    assert pct.count(f"ReadSchema: struct<{L.VALIDATED_AT}:timestamp>") == 2
+
