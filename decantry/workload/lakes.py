@@ -77,22 +77,22 @@ def sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     GATED
     + """
 select o_orderkey,
-       cast(case when code <> 'E002' then 0 when o_custkey % 2 = 0 then 2 else 1 end as integer)
+       cast(case when code <> 'E002' then 0 when o_orderpriority = '1-URGENT' then 2 else 1 end as integer)
          as _reprocess_attempts,
-       case when code <> 'E002' then null when o_custkey % 2 = 0 then '2001-06-02 00:00:00'
+       case when code <> 'E002' then null when o_orderpriority = '1-URGENT' then '2001-06-02 00:00:00'
             else '2001-06-01 00:00:00' end as reprocessed_at
 from v where not coalesce(ok, false)
 """
 )
 def merge_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One attempt for every order dated too late, a second one for some."""
+    """One attempt for every order dated too late, a second one for the urgent."""
     df = corrupt_orders(spark, sf_dir)
     held = audit(quarantine(df, rules(df)), "v1", instant(RUN_TEXT), key=["o_orderkey"])
     moved = held.filter(F.col(L.CODE) == "E002")
     attempts = Table(work_folder(spark))
     for rows, at in (
         (moved, "2001-06-01 00:00:00"),
-        (moved.filter("o_custkey % 2 = 0"), "2001-06-02 00:00:00"),
+        (moved.filter("o_orderpriority = '1-URGENT'"), "2001-06-02 00:00:00"),
     ):
         attempts.append(
             rows.select(L.QUARANTINE_ID, instant(at).alias(L.REPROCESSED_AT)), compact=True
