@@ -47,6 +47,14 @@ def stored(df: DataFrame, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder, with its partitions and their order."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(work_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 def free_name(name: str, *frames: DataFrame) -> str:
     """``name``, with underscores before it while one of the frames has it."""
     taken = {c.lower() for df in frames for c in df.columns}

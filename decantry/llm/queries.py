@@ -8,11 +8,11 @@ from collections.abc import Callable
 from functools import wraps
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, packing
-from .common import table
+from . import boosted_trees, byte_bpe, line_dedup, packing, prefix_hash
+from .common import table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,49 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def held_out(modulus: int, remainder: int) -> Column:
+    """Whether an id is in the fold that no label is learnt from; a NULL id is not."""
+    return F.coalesce(
+        F.crc32(F.col("doc_id").cast("string")) % modulus == remainder, F.lit(False)
+    )
+
+
+LINE_DEDUP_SQL = r"""
+with lines as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as i
+  from documents
+),
+keyed as (
+  select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from lines
+),
+common as (
+  select key, max(doc_id) as latest from keyed where length(key) >= 20
+  group by key having count(distinct doc_id) >= 3
+)
+select k.doc_id, count(*) as n_lines,
+       count(*) filter (where c.key is not null and k.doc_id <> c.latest) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by i)
+              filter (where c.key is null or k.doc_id = c.latest), '')) as kept_sha256
+from keyed k left join common c on k.key = c.key
+group by k.doc_id
+"""
+
+
+@query(LINE_DEDUP_SQL)
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = line_dedup.drop_lines(docs, line_dedup.line_keeps(docs))
+    return left.select(
+        "doc_id",
+        "n_lines",
+        "n_dropped",
+        F.sha2(text_of("text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 @query()
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -79,3 +122,21 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.decode(tokens, path, ranked=True).select(
         "doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256")
     )
+
+
+@query()
+def op8_prefix_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_hash.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    out = held_out(4, 2)
+    model = boosted_trees.train(docs, labels, "quality", ~out)
+    return boosted_trees.score(docs, model).select(
+        "doc_id",
+        out.alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
