@@ -11,8 +11,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boosted_trees, byte_bpe, line_dedup, packing, prefix_hash
-from .common import table, text_of
+from . import boosted_trees, byte_bpe, line_dedup, packing, prefix_hash, substring
+from .common import SPACE_CLASS, table, text_of, words_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -140,3 +140,17 @@ def op9_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query()
+def op10_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = substring.drop_windows(docs, substring.repeated_windows(docs))
+    trimmed = F.regexp_replace(text_of("text"), f"^{SPACE_CLASS}+|{SPACE_CLASS}+$", "")
+    one_space = F.regexp_replace(trimmed, f"{SPACE_CLASS}+", " ")
+    return left.select(
+        "doc_id",
+        (F.size(words_of(text_of("text"))) + F.col("n_removed")).cast("long").alias("n_words"),
+        "n_removed",
+        F.sha2(one_space.cast("binary"), 256).alias("kept_sha256"),
+    )
