@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boosted_trees, byte_bpe, line_dedup, packing, prefix_hash, substring
+from . import boosted_trees, byte_bpe, line_dedup, line_quality, packing, prefix_hash, substring
 from .common import SPACE_CLASS, table, text_of, words_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,76 @@ def held_out(modulus: int, remainder: int) -> Column:
     )
 
 
+QUALITY_SQL = r"""
+with docs as (select doc_id, coalesce(source, '') as host, coalesce(text, '') as body from documents),
+words as (
+  select doc_id, unnest(ws) as w, unnest(range(len(ws))) as i
+  from (select doc_id, list_filter(regexp_split_to_array(body, '[\x20\x09-\x0D]+'),
+                                   lambda x: x <> '') as ws from docs)
+),
+windows as (
+  select doc_id, i, w as w1, lead(w) over o as w2, lead(w, 2) over o as w3
+  from words window o as (partition by doc_id order by i)
+),
+places as (
+  select doc_id, i, count(*) over (partition by doc_id, w1, w2, w3) as n
+  from windows where w3 is not null
+),
+repeats as (
+  select doc_id, sum(step) as n from (
+    select doc_id, least(3, i - coalesce(lag(i) over (partition by doc_id order by i), -3)) as step
+    from places where n > 1
+  ) group by doc_id
+),
+counts as (select doc_id, count(*) as n_words, sum(length(w)) as word_chars from words group by doc_id),
+lines as (
+  select doc_id, host, body,
+         trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as stripped, line
+  from (select *, unnest(string_split(body, chr(10))) as line from docs)
+),
+full_lines as (
+  select *, translate(translate(stripped, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                'abcdefghijklmnopqrstuvwxyz'), '123456789', '000000000') as norm
+  from lines where stripped <> ''
+),
+dups as (select doc_id, count(*) - count(distinct line) as n from full_lines group by doc_id),
+sizes as (select host, count(distinct body) as docs from docs group by host),
+common as (
+  select host, norm, count(distinct body) as n from full_lines group by host, norm
+),
+boilerplate as (
+  select c.host, c.norm from common c join sizes s on c.host = s.host
+  where c.n > 20 and c.n > 0.01 * s.docs
+),
+removed as (
+  select l.doc_id, sum(len(list_filter(regexp_split_to_array(l.line, '[\x20\x09-\x0D]+'),
+                                       lambda x: x <> ''))) as n
+  from full_lines l join boilerplate b on l.host = b.host and l.norm = b.norm group by l.doc_id
+),
+base as (
+  select d.doc_id, coalesce(c.n_words, 0) as n_words, coalesce(c.word_chars, 0) as word_chars,
+         length(regexp_replace(d.body, '[^#*$%&|<>]', '', 'g')) as n_symbols,
+         coalesce(u.n, 0) as n_dup_lines, coalesce(r.n, 0) as n_repeat_words,
+         coalesce(m.n, 0) as n_boilerplate_words
+  from docs d left join counts c on d.doc_id = c.doc_id left join dups u on d.doc_id = u.doc_id
+  left join repeats r on d.doc_id = r.doc_id left join removed m on d.doc_id = m.doc_id
+),
+judged as (
+  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from base
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and n_words - n_boilerplate_words >= 50
+       and n_words - n_boilerplate_words >= 0.5 * n_words as kept, n_boilerplate_words
+from judged
+"""
+
+
+@query(QUALITY_SQL)
+def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_quality.judge(docs).select(F.col("row.doc_id").alias("doc_id"), "*").drop("row")
+
+
 LINE_DEDUP_SQL = r"""
 with lines as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
