@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boosted_trees, byte_bpe, line_dedup, line_quality, packing, prefix_hash, substring
+from . import boosted_trees, byte_bpe, line_dedup, line_quality, ngram_join, packing, prefix_hash, substring
 from .common import SPACE_CLASS, table, text_of, words_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,6 +135,47 @@ def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.judge(docs).select(F.col("row.doc_id").alias("doc_id"), "*").drop("row")
 
 
+JACCARD_SQL = r"""
+with recursive words as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                             lambda x: x <> '') as ws
+  from documents
+),
+grams as (
+  select distinct doc_id, unnest(case
+    when len(ws) = 0 then []
+    when len(ws) < 5 then [array_to_string(ws, ' ')]
+    else list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+    end) as gram
+  from words
+),
+sizes as (select doc_id, count(*) as n from grams group by doc_id),
+common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as n
+  from grams a join grams b on a.gram = b.gram and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id
+),
+links as (
+  select c.a, c.b from common c join sizes s on c.a = s.doc_id join sizes t on c.b = t.doc_id
+  where 5 * c.n >= 4 * (s.n + t.n - c.n)
+),
+reach as (
+  select doc_id as a, doc_id as b from documents
+  union
+  select r.a, l.b from reach r join links l on r.b = l.a
+)
+select d.doc_id, (select min(b) from reach r where r.a = d.doc_id) as class_id,
+       (select count(*) from links l where l.a = d.doc_id) as n_links
+from documents d
+"""
+
+
+@query(JACCARD_SQL)
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.near_duplicates(docs).select("doc_id", "class_id", "n_links")
+
+
 LINE_DEDUP_SQL = r"""
 with lines as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
