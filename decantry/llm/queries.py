@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boosted_trees, byte_bpe, line_dedup, line_quality, ngram_join, packing, prefix_hash, substring
+from . import boosted_trees, byte_bpe, kneser_ney, line_dedup, line_quality, ngram_join, packing, prefix_hash, substring
 from .common import SPACE_CLASS, table, text_of, words_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -176,6 +176,19 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(docs).select("doc_id", "class_id", "n_links")
 
 
+@query()
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    out = held_out(5, 0)
+    model = kneser_ney.train(docs, labels, "toxic", ~out)
+    return kneser_ney.score(docs, model).select(
+        "doc_id",
+        out.alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 LINE_DEDUP_SQL = r"""
 with lines as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
