@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boosted_trees, byte_bpe, kneser_ney, line_dedup, line_quality, ngram_join, packing, prefix_hash, substring
+from . import boosted_trees, byte_bpe, kneser_ney, line_dedup, line_quality, ngram_join, packing, prefix_hash, substring, url_rules
 from .common import SPACE_CLASS, table, text_of, words_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,90 @@ def held_out(modulus: int, remainder: int) -> Column:
     )
 
 
+URL_RULES = [
+    url_rules.Rule.read("allow", "com/"),
+    url_rules.Rule.read("block", "example.com/en/"),
+    url_rules.Rule.read("allow", "www.example.com/en/"),
+    url_rules.Rule.read("block", "net/es/"),
+    url_rules.Rule.read("block", "net/fr/"),
+]
+
+URL_SQL = r"""
+with parts as (
+  select page_id, url,
+    coalesce(case when contains(url, '://') then substr(url, instr(url, '://') + 3) else '' end, '') as rest,
+    coalesce(regexp_extract(url, '\?([^#]*)', 1), '') as query
+  from pages
+),
+split as (
+  select *, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                      'abcdefghijklmnopqrstuvwxyz') as host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+  from parts
+),
+tokens as (
+  select page_id, url, host, path, list_sort(list_distinct(
+    list_transform(list_filter(string_split(host, '.'), lambda x: x <> ''),
+                   lambda x: 'host:' || regexp_replace(x, '[0-9]+', '#', 'g'))
+    || list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''),
+                      lambda x: 'path:' || regexp_replace(x, '[0-9]+', '#', 'g'))
+    || list_transform(list_filter(list_transform(string_split(query, '&'),
+                                                 lambda x: string_split(x, '=')[1]), lambda x: x <> ''),
+                      lambda x: 'name:' || regexp_replace(x, '[0-9]+', '#', 'g')))) as has
+  from split
+),
+known as (
+  select doc_id, max(case when quality = 0 or toxic = 1 then 1 else 0 end) as bad
+  from labels group by doc_id
+),
+learnt as (
+  select t.has, k.bad from tokens t join known k on t.page_id = k.doc_id where t.url is not null
+),
+limits as (select greatest(ceil(0.01 * count(*)), 20) as least from learnt),
+learnt_sets as (
+  select bad, list_filter(has, lambda x, i: (mask >> (i - 1)) % 2 = 1) as s
+  from (select *, unnest(range(1, 1 << len(has))) as mask from learnt)
+),
+rules as (
+  select s from learnt_sets, limits group by s, least
+  having sum(bad) >= least and sum(bad) * 2 >= count(*)
+),
+fitted as (
+  select distinct url from tokens t join rules r on len(list_intersect(t.has, r.s)) = len(r.s)
+),
+judged as (
+  select page_id, host, path, url in (select url from fitted) as mined,
+    case when (host = 'www.example.com' or host like '%.www.example.com') and path like '/en/%'
+           then 'www.example.com/en/'
+         when (host = 'example.com' or host like '%.example.com') and path like '/en/%'
+           then 'example.com/en/'
+         when (host = 'net' or host like '%.net') and path like '/es/%' then 'net/es/'
+         when (host = 'net' or host like '%.net') and path like '/fr/%' then 'net/fr/'
+         when (host = 'com' or host like '%.com') and path like '/%' then 'com/' end as rule
+  from tokens
+)
+select page_id, host, path, rule,
+       case when rule in ('www.example.com/en/', 'com/') then 'allow'
+            when rule is not null then 'block'
+            when mined then 'block' else 'allow' end as verdict
+from judged
+"""
+
+
+@query(URL_SQL)
+def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of a document are taken for the page with the same id."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    known = (
+        table(spark, sf_dir, "labels")
+        .groupBy("doc_id")
+        .agg(F.max(F.coalesce(bad, F.lit(False))).alias("block"))
+    )
+    labelled = pages.join(known, F.col("page_id") == F.col("doc_id")).select("url", "block")
+    return url_rules.judge(pages, URL_RULES, url_rules.mine(labelled))
+
+
 QUALITY_SQL = r"""
 with docs as (select doc_id, coalesce(source, '') as host, coalesce(text, '') as body from documents),
 words as (
