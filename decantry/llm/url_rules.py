@@ -74,14 +74,12 @@ def tokens_of(url: Column) -> Column:
         (F.split(path_of(url), "/"), "path:"),
         (F.transform(F.split(query, "&"), lambda x: F.substring_index(x, "=", 1)), "name:"),
     ]
-    tagged = [
-        F.transform(
-            F.filter(found, lambda x: x != ""),
-            lambda x, tag=tag: F.concat(F.lit(tag), F.regexp_replace(x, "[0-9]+", "#")),
-        )
-        for found, tag in parts
-    ]
-    return F.array_distinct(F.concat(*tagged))
+
+    def tagged(found: Column, tag: str) -> Column:
+        full = F.filter(found, lambda x: x != "")
+        return F.transform(full, lambda x: F.concat(F.lit(tag), F.regexp_replace(x, "[0-9]+", "#")))
+
+    return F.array_distinct(F.concat(*(tagged(found, tag) for found, tag in parts)))
 
 
 def given_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:

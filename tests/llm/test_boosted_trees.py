@@ -1,0 +1,66 @@
+import numpy as np
+from decantry.llm import boosted_trees as T
+from helpers import corpus, docs
+from pyspark.sql import functions as F
+
+
+def walk(model, row):
+    total = model.start
+    for feature, threshold, leaf in zip(model.feature, model.threshold, model.leaf, strict=True):
+        node = 0
+        while node < len(feature):
+            node = 2 * node + 1 + int(row[feature[node]] > threshold[node])
+        total += leaf[node - len(feature)]
+    return 1 / (1 + np.exp(-total))
+
+
+def test_trees_learn_what_no_single_feature_tells():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(3000, 5))
+    y = ((x[:, 0] > 0) ^ (x[:, 3] > 0.3)).astype(float)
+    model = T.fit(x[:2000], y[:2000])
+    scores = model.score(x[2000:])
+    assert ((scores >= 0.5) == y[2000:]).mean() > 0.95
+    assert np.allclose(scores[:200], [walk(model, r) for r in x[2000:2200]])
+    assert model.feature.shape == (T.TREES, 15) and model.leaf.shape == (T.TREES, 16)
+
+
+def test_one_label_or_no_rows_give_a_constant():
+    x = np.zeros((4, len(T.FEATURES)))
+    assert T.fit(x, np.ones(4)).score(x).tolist() == [T.fit(x, np.ones(4)).score(x[:1])[0]] * 4
+    assert T.fit(x[:0], np.zeros(0)).score(x).tolist() == [0.5] * 4
+    assert T.fit(x, np.array([0, 1, 0, 1.0])).score(x[:0]).shape == (0,)
+
+
+def test_statistics_are_finite():
+    for text in ["", " ", "\n\n", "a", "A! B! C!", "é" * 50, "x | y | z\n" * 9, "The " * 5000, "\ud800"]:
+        found = T.statistics(text)
+        assert len(found) == len(T.FEATURES) and np.isfinite(found).all()
+    named = dict(zip(T.FEATURES, T.statistics("THE THE THE\nok ok #"), strict=True))
+    assert np.isclose(named["loud_lines"], 0.5) and np.isclose(named["longest_repeat"], np.log1p(3))
+
+
+def quality(i):
+    return f"Plain text number {i} of some words, and one more. " * 4 if i % 3 else f"BUY!!! | {i} | NOW!!! $$$ " * 4
+
+
+def test_held_out_rows(spark):
+    rows = [(i, quality(i)) for i in range(600)]
+    table = docs(spark, rows, clashing=True)
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(600)], "doc_id long, quality int")
+    model = T.train(table, labels, "quality", F.col("doc_id") < 400)
+    got = {r.doc_id: r.score for r in T.score(table, model).collect()}
+    assert all((got[i] >= 0.7) == (i % 3 > 0) for i in range(400, 600))
+    assert {r.doc_id: r.score for r in T.score(table, T.train(table, labels, "quality", F.col("doc_id") < 400)).collect()} == got
+
+
+def test_the_sample_is_bounded_and_odd_rows_pass(spark):
+    labels = spark.createDataFrame([(i % 50, i % 2) for i in range(200)] + [(None, 1), (60, None)], "doc_id long, quality int")
+    sample = T.labelled_sample(labels, "quality", F.lit(True), 20)
+    assert sample.count() == 20 and sample.select("doc_id").distinct().count() == 20
+    table = docs(spark, corpus(3) + [(None, "x"), (4, "again"), (4, "again")])
+    model = T.train(table, labels, "quality", F.lit(True))
+    assert T.score(table, model).count() == table.count()
+    assert T.score(table.limit(0), model).count() == 0
+    assert T.train(table, labels.limit(0), "quality", F.lit(True)).start == 0
+    assert T.train(table.limit(0), labels, "quality", F.lit(True)).start == 0

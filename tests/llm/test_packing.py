@@ -1,0 +1,100 @@
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pandas as pd
+import pytest
+from decantry.llm.packing import pack, pack_shard, place
+from decantry.llm.queries import BPE_JSON, vocabulary
+from helpers import corpus, docs
+
+
+def brute_place(lengths, size):
+    """The same rule with the whole sum computed for every choice."""
+    fill, placed = [], []
+    for n in lengths:
+        def total(level):
+            after = [f for f in fill]
+            if level:
+                after[after.index(level)] = level + n
+            else:
+                after.append(n)
+            return sum(after.count(x) ** 2 for x in set(after) if x < size)
+
+        levels = sorted({0} | {f for f in fill if f + n <= size}, reverse=True)
+        best = min(levels, key=total)
+        placed.append((best, best + n))
+        if best:
+            fill[fill.index(best)] = best + n
+        else:
+            fill.append(n)
+        fill = [f for f in fill if f < size]
+    return placed
+
+
+def test_each_placement_is_the_least_sum_of_squares():
+    rng = random.Random(4)
+    for _ in range(30):
+        size = rng.randrange(4, 24)
+        lengths = [rng.randrange(1, size) for _ in range(60)]
+        windows, _ = place(lengths, size)
+        fill = defaultdict(int)
+        got = []
+        for w, n in zip(windows, lengths, strict=True):
+            got.append((fill[w], fill[w] + n))
+            fill[w] += n
+        assert got == brute_place(lengths, size)
+        assert max(fill.values()) <= size
+
+
+def tokens(rows):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(vocabulary(BPE_JSON))
+    t.encode_special_tokens = True
+    return sorted((r[0], [*t.encode(r[1] or "", add_special_tokens=False).ids, 0]) for r in rows)
+
+
+@pytest.mark.parametrize("size, shard_rows", [(64, 1000), (64, 7), (1024, 4096)])
+def test_every_id_is_in_one_place(spark, size, shard_rows):
+    rows = [r for r in corpus(9)] + [(900, "<|endoftext|> é 漢字 " * 40, "a")]
+    table = docs(spark, rows, clashing=True)
+    got = pack(table, vocabulary(BPE_JSON), size=size, shard_rows=shard_rows).toPandas()
+    ids = [np.frombuffer(x, "<u4") for x in got["ids"]]
+    assert [zlib.crc32(x) for x in got["ids"]] == got["ids_crc32"].tolist()
+    assert [len(x) for x in ids] == got["length"].tolist()
+    whole = defaultdict(list)
+    for i in got.sort_values(["doc_id", "start"]).index:
+        assert got["start"][i] == len(whole[got["doc_id"][i]])
+        whole[got["doc_id"][i]] += ids[i].tolist()
+    assert sorted(whole.items()) == tokens(rows)
+    padding = 0
+    for _, own in got.sort_values("offset").groupby("sequence_id"):
+        ends = own["offset"] + own["length"]
+        assert own["offset"].tolist() == [0, *ends.tolist()[:-1]] and ends.max() <= size
+        padding += size - ends.max()
+    shards = max(1, -(-len(rows) // shard_rows))
+    assert padding <= size * shards + 8 * got["sequence_id"].nunique()
+
+
+def test_repeated_and_unnamed_rows_and_empty_tables(spark):
+    rows = [(1, "a b c")] * 3 + [(None, "x"), (2, None), (3, "")]
+    got = pack(docs(spark, rows), vocabulary(BPE_JSON), size=64)
+    assert got.agg({"length": "sum"}).first()[0] == sum(len(t) for _, t in [
+        (0, x) for _, x in sorted((str(r[0]), tokens([(0, r[1])])[0][1]) for r in rows)])
+    assert got.filter("doc_id is null").count() == 1
+    assert pack(docs(spark, []), vocabulary(BPE_JSON)).count() == 0
+
+
+def test_a_shard_does_not_depend_on_the_order_of_its_rows():
+    rows = pd.DataFrame(
+        {
+            "doc_id": range(50), "start": 0, "length": [1 + i % 13 for i in range(50)],
+            "ids_crc32": range(50), "doc_tokens": 1,
+            "ids": [b"\1\0\0\0" * (1 + i % 13) for i in range(50)],
+        }
+    )
+    a = pack_shard(rows, 16, 1)
+    b = pack_shard(rows.sample(frac=1, random_state=1), 16, 1)
+    assert a.sort_values(["sequence_id", "offset"]).values.tolist() == b.sort_values(["sequence_id", "offset"]).values.tolist()
