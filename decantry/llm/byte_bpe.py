@@ -1,11 +1,9 @@
 """Byte-level BPE: encoding with the ``tokenizers`` library, decoding by its byte table.
 
 The vocabulary writes each of the 256 bytes as one printable character. Texts are cut
-where a single space stands between two other characters: no match of the usual
-splitting patterns reaches over such a place, since a space belongs to the match that
-follows it. Each distinct part goes through the library once per worker, and its ids
-and character offsets are kept; a text with other white space next to a space goes
-through the library whole.
+before each run of white space: no match of the splitting pattern begins with something
+else and goes on into white space. Each distinct part goes through the library once per
+worker, and its ids and character offsets are kept.
 """
 
 from __future__ import annotations
@@ -25,8 +23,28 @@ from pyspark.sql import functions as F
 
 from .common import in_chunks
 
-KEPT_PARTS = 500_000  # parts a worker keeps before it starts anew; bounds its memory
-_UNSAFE = re.compile(r" \s|\s |^ | $")
+KEPT_PARTS = 800_000  # parts a worker keeps before it starts anew; bounds its memory
+# What the pattern takes for white space: Python's, but for four control characters.
+_PARTS = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
+
+
+def parts_of(text: str) -> list[str]:
+    """The parts of a text: all join to it, but each lacks one leading space if it can.
+
+    The first has none to lack. A part that begins with other white space, or with more
+    than one space, has all of it.
+    """
+    parts = text.replace("\n", " \n").split(" ")
+    words = text.split()
+    if len(words) == len(parts) and len("".join(words)) + len(parts) - 1 == len(text):
+        return parts  # there is nothing but single spaces and line ends between words
+    first, *rest = _PARTS.findall(text) or [""]
+    return [first, *(x[1:] if x[0] == " " and not x[1:2].isspace() else x for x in rest)]
+
+
+def _whole(part: str) -> str:
+    """A part with its leading space."""
+    return part if part[:1].isspace() and part[0] not in "\x1c\x1d\x1e\x1f" else " " + part
 
 
 @lru_cache(1)
@@ -101,43 +119,51 @@ class Encoder:
     def __init__(self, path: str, pattern: str | None, offsets: bool) -> None:
         self.tokenizer = _tokenizer(path, pattern)
         self.offsets = offsets
+        # Ids of parts, and characters from each token's start to the next one's.
+        self.first_ids: dict[str, bytes] = {}
+        self.first_steps: dict[str, bytes] = {}
         self.ids: dict[str, bytes] = {}
         self.steps: dict[str, bytes] = {}
 
-    def _through_library(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
-        """Ids, and characters from each token's start to the next one's."""
-        if not self.offsets:
-            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            return [array("i", x.ids).tobytes() for x in found], []
-        ids, steps = [], []
-        for text, x in zip(
-            texts, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True
-        ):
-            ids.append(array("i", x.ids).tobytes())
-            starts = [start for start, _ in x.offsets]
-            ends = [*starts[1:], len(text)] if starts else []
-            steps.append(array("i", map(sub, ends, starts)).tobytes())
-        return ids, steps
+    def _learn(self, parts: list[str], wholes: list[str], ids: dict, steps: dict) -> None:
+        for start, end in in_chunks(wholes):
+            texts, of = wholes[start:end], parts[start:end]
+            if not self.offsets:
+                found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+                ids.update(zip(of, [array("i", x.ids).tobytes() for x in found], strict=True))
+                continue
+            found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+            for part, text, x in zip(of, texts, found, strict=True):
+                starts = [start for start, _ in x.offsets]
+                ends = [*starts[1:], len(text)] if starts else []
+                ids[part] = array("i", x.ids).tobytes()
+                steps[part] = array("i", map(sub, ends, starts)).tobytes()
 
     def __call__(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """For each text its ids and, with offsets, the character each token starts at."""
-        if len(self.ids) > KEPT_PARTS:
-            self.ids.clear()
-            self.steps.clear()
-        cut = [None if _UNSAFE.search(t) else t.split(" ") for t in texts]
-        missing = list({p: 0 for parts in cut if parts for p in parts[1:] if p not in self.ids})
-        spaced = [" " + p for p in missing]
-        for start, end in in_chunks(spaced):
-            ids, steps = self._through_library(spaced[start:end])
-            self.ids.update(zip(missing[start:end], ids, strict=True))
-            self.steps.update(zip(missing[start:end], steps, strict=False))
-        alone = [t if parts is None else parts[0] for t, parts in zip(texts, cut, strict=True)]
-        out = []
-        for first, known in zip(self._through_library(alone), (self.ids, self.steps), strict=True):
-            rest = (b"".join([known[p] for p in parts[1:]]) if parts else b"" for parts in cut)
-            out.append([np.frombuffer(a + b, np.int32) for a, b in zip(first, rest, strict=False)])
-        ids, steps = out
-        return ids, [np.cumsum(x, dtype=np.int32) - x for x in steps]
+        if len(self.ids) + len(self.first_ids) > KEPT_PARTS:
+            for kept in (self.first_ids, self.first_steps, self.ids, self.steps):
+                kept.clear()
+        cut = [parts_of(t) for t in texts]
+        firsts = [parts.pop(0) for parts in cut]
+        new = list(set(firsts).difference(self.first_ids))
+        self._learn(new, new, self.first_ids, self.first_steps)
+        distinct: set[str] = set()
+        for parts in cut:
+            distinct.update(parts)
+        new = list(distinct.difference(self.ids))
+        self._learn(new, [_whole(p) for p in new], self.ids, self.steps)
+
+        def joined(first: dict[str, bytes], later: dict[str, bytes]) -> list[np.ndarray]:
+            return [
+                np.frombuffer(first[a] + b"".join(map(later.__getitem__, parts)), np.int32)
+                for a, parts in zip(firsts, cut, strict=True)
+            ]
+
+        if not self.offsets:
+            return joined(self.first_ids, self.ids), []
+        steps = joined(self.first_steps, self.steps)
+        return joined(self.first_ids, self.ids), [np.cumsum(x, dtype=np.int32) - x for x in steps]
 
 
 @lru_cache(4)
