@@ -5,10 +5,11 @@ hash of its runs of ``run`` words, the first one on a tie; equal windows have eq
 minimisers at equal places. Consecutive windows that share their minimiser's place are
 one super-k-mer: a stretch of at most ``2 * window - run`` words.
 
-1. Every super-k-mer's minimiser, document and place are noted, without text. Only those
-   whose minimiser is in several documents can hold repeated windows.
-2. These travel as one packed string each to the bucket of their minimiser, where equal
-   strings are one row with their smallest document.
+1. Every super-k-mer's minimiser, document and place are noted, without text. Of documents
+   with the same words the smallest stands for all: the others lose all their windows.
+   Only super-k-mers whose minimiser is in several other documents can hold repeats.
+2. These travel as one packed string each to the bucket of their minimiser. Equal strings
+   become one, with their smallest document, before and after they travel.
 3. A bucket sorts its windows by hash (128 bits) and document: the first of equal ones
    is in the smallest document that has them.
 4. Each place asks its string which windows a smaller document has, and each document
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, mix64, row_key, stored, text_of
+from .common import mix64, stored, text_of
 
 WINDOW = 50
 RUN = 8
@@ -53,7 +54,7 @@ class WordHashes:
     def __call__(self, words: list[bytes]) -> np.ndarray:
         if len(self.known) > self.most:
             self.known.clear()
-        for w in {*words} - self.known.keys():
+        for w in {*words}.difference(self.known):
             self.known[w] = hashlib.blake2b(w, digest_size=16).digest()
         return np.frombuffer(b"".join([self.known[w] for w in words]), np.uint64).reshape(-1, 2).T
 
@@ -102,78 +103,108 @@ def _bytes_of(texts: pa.Array) -> Iterator[bytes | None]:
     return (x.as_py() for x in texts.cast(pa.binary()))
 
 
-def _noted(docs: DataFrame, doc_id: str, text: str, window: int, run: int) -> DataFrame:
+def _noted(rows: DataFrame, window: int, run: int) -> DataFrame:
+    """A row per row with windows: the hash of all its words, and its super-k-mers."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = []
-            for row, raw in enumerate(_bytes_of(batch.column("text"))):
+            at, same, minimisers, starts = [], [], [], []
+            for i, raw in enumerate(_bytes_of(batch.column("text"))):
                 words = (raw or b"").split()
-                if len(words) >= window:
-                    found = super_kmers(_SHARED(words), window, run)
-                    parts.append((np.full(len(found[0]), row), *found))
-            if not parts:
-                continue
-            row, minimiser, start, count = (np.concatenate(x) for x in zip(*parts, strict=True))
-            at = pa.array(row)
+                if len(words) < window:
+                    continue
+                found, first, _ = super_kmers(_SHARED(words), window, run)
+                at.append(i)
+                same.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
+                minimisers.append(found)
+                starts.append(np.append(first, len(words) - window + 1).astype(np.int32))
+            taken = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(minimiser),
-                    batch.column("doc_id").take(at),
-                    batch.column("text_hash").take(at),
-                    pa.array(start.astype(np.int32)),
-                    pa.array(count.astype(np.int32)),
+                    batch.column("doc_id").take(taken),
+                    batch.column("text_hash").take(taken),
+                    pa.array(same, pa.binary()),
+                    pa.array(minimisers, pa.list_(pa.int64())),
+                    pa.array(starts, pa.list_(pa.int32())),
                 ],
-                names=["minimiser", "doc_id", "text_hash", "start", "n_windows"],
+                names=["doc_id", "text_hash", "same", "minimisers", "starts"],
             )
 
-    rows = docs.filter(F.col(doc_id).isNotNull()).select(
-        F.col(doc_id).cast("long").alias("doc_id"),
-        F.xxhash64(text_of(text)).alias("text_hash"),
-        F.col(text).alias("text"),
-    )
     return rows.mapInArrow(
-        work, "minimiser long, doc_id long, text_hash long, start int, n_windows int"
+        work,
+        "doc_id long, text_hash long, same binary, minimisers array<long>, starts array<int>",
     )
 
 
-def _travelling(rows: DataFrame, window: int) -> DataFrame:
-    """Packed strings of the places in ``rows``, which have a text and its places."""
+def _strings_of(batch: pa.RecordBatch, window: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """Row, bucket, first window and packed string of all that travels of a batch."""
+    places = batch.column("places").to_pylist()
+    for i, row in enumerate(batch.column("row").to_pylist()):
+        words = row["text"].encode().split()
+        for place in places[i]:
+            first, n = place["start"], place["n_windows"]
+            if place["hot"]:
+                own = rolling(_SHARED(words[first : first + n + window - 1]), window)[0]
+                for k, h in enumerate(own.astype(np.int64).tolist()):
+                    yield i, h, first + k, b" ".join(words[first + k : first + k + window])
+            else:
+                yield i, place["minimiser"], first, b" ".join(words[first : first + n + window - 1])
+
+
+def _id_of(bucket: int, packed: bytes) -> bytes:
+    return hashlib.blake2b(packed, digest_size=16, salt=bucket.to_bytes(8, "little", signed=True)).digest()
+
+
+def _travelling(rows: DataFrame, window: int, kept: int = 100_000) -> DataFrame:
+    """Distinct strings with their smallest document, as far as a task has room to tell."""
+
+    def flush(known: dict[tuple[int, bytes], int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([b for b, _ in known], pa.int64()),
+                pa.array([p for _, p in known], pa.binary()),
+                pa.array(list(known.values()), pa.int64()),
+            ],
+            names=["bucket", "packed", "least"],
+        )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[tuple[int, bytes], int] = {}
         for batch in batches:
-            bucket, row, start, packed = [], [], [], []
-            places = batch.column("places").to_pylist()
-            for i, raw in enumerate(_bytes_of(batch.column("text"))):
-                words = raw.split()
-                for place in places[i]:
-                    first, n = place["start"], place["n_windows"]
-                    if place["hot"]:
-                        own = rolling(_SHARED(words[first : first + n + window - 1]), window)[0]
-                        for k, h in enumerate(own.astype(np.int64).tolist()):
-                            bucket.append(h)
-                            start.append(first + k)
-                            packed.append(b" ".join(words[first + k : first + k + window]))
-                        row += [i] * n
-                    else:
-                        bucket.append(place["minimiser"])
-                        row.append(i)
-                        start.append(first)
-                        packed.append(b" ".join(words[first : first + n + window - 1]))
+            ids = batch.column("doc_id").to_pylist()
+            for i, bucket, _, packed in _strings_of(batch, window):
+                key = (bucket, packed)
+                known[key] = min(ids[i], known.get(key, ids[i]))
+                if len(known) >= kept:
+                    yield flush(known)
+                    known = {}
+        yield flush(known)
+
+    return rows.mapInArrow(work, "bucket long, packed binary, least long")
+
+
+def _asking(rows: DataFrame, window: int) -> DataFrame:
+    """The place of each string that travels, with the string's id."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, ids, start = [], [], []
+            for i, bucket, first, packed in _strings_of(batch, window):
+                row.append(i)
+                ids.append(_id_of(bucket, packed))
+                start.append(first)
             at = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(bucket, pa.int64()),
+                    pa.array(ids, pa.binary()),
                     batch.column("doc_id").take(at),
                     batch.column("text_hash").take(at),
                     pa.array(start, pa.int32()),
-                    pa.array(packed, pa.binary()),
                 ],
-                names=["bucket", "doc_id", "text_hash", "start", "packed"],
+                names=["id", "doc_id", "text_hash", "start"],
             )
 
-    return rows.mapInArrow(
-        work, "bucket long, doc_id long, text_hash long, start int, packed binary"
-    )
+    return rows.mapInArrow(work, "id binary, doc_id long, text_hash long, start int")
 
 
 def first_documents(packed: list[bytes], documents: np.ndarray, window: int) -> list[np.ndarray]:
@@ -193,32 +224,48 @@ def first_documents(packed: list[bytes], documents: np.ndarray, window: int) ->
 
 
 def _counted(strings: DataFrame, window: int) -> DataFrame:
-    """``id1``, ``id2`` and per window the smallest document, bucket by bucket."""
+    """Of each string its id and, per window, the smallest document, bucket by bucket."""
 
-    def finish(rows: list[tuple]) -> pa.RecordBatch:
-        found = first_documents([r[1] for r in rows], np.array([r[2] for r in rows]), window)
+    def finish(bucket: int, least: dict[bytes, int]) -> pa.RecordBatch:
+        packed = list(least)
+        found = first_documents(packed, np.array(list(least.values())), window)
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([r[3] for r in rows], pa.int64()),
-                pa.array([r[4] for r in rows], pa.int64()),
+                pa.array([_id_of(bucket, p) for p in packed], pa.binary()),
                 pa.array([x.tolist() for x in found], pa.list_(pa.int64())),
             ],
-            names=["id1", "id2", "firsts"],
+            names=["id", "firsts"],
         )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket: list[tuple] = []
+        at, least = None, {}
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if bucket and row[0] != bucket[0][0]:
-                    yield finish(bucket)
-                    bucket = []
-                bucket.append(row)
-        if bucket:
-            yield finish(bucket)
+            for bucket, packed, doc in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if least and bucket != at:
+                    yield finish(at, least)
+                    least = {}
+                at = bucket
+                least[packed] = min(doc, least.get(packed, doc))
+        if least:
+            yield finish(at, least)
 
     dealt = strings.repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(work, "id1 long, id2 long, firsts array<long>")
+    return dealt.mapInArrow(work, "id binary, firsts array<long>")
+
+
+def _keyed_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """All columns as ``row``, next to the key. Both joins with texts read this frame alike,
+    so that Spark shuffles the texts once for the two of them."""
+    columns = [
+        F.col(f"`{c}`").alias("text" if c == text else c)
+        for c in docs.columns
+        if c == text or c.lower() != "text"
+    ]
+    return docs.select(
+        F.struct(*columns).alias("row"),
+        F.col(doc_id).cast("long").alias("row_id"),
+        F.xxhash64(text_of(text)).alias("row_hash"),
+    )
 
 
 def repeated_windows(
@@ -231,13 +278,40 @@ def repeated_windows(
 ) -> DataFrame:
     """``doc_id``, ``text_hash`` and ``starts``: the windows a smaller document has.
 
-    Rows with repeated windows only. Rows of one id count as one document, and repeated
-    rows are the same there. Rows with a NULL id take no part; NULL texts and texts of
-    fewer than ``window`` words have no windows.
+    Rows with repeated windows only; ``starts`` is NULL where all windows are repeated.
+    Rows of one id count as one document, and repeated rows are the same there. Rows with
+    a NULL id take no part; NULL texts and texts of fewer than ``window`` words have no
+    windows.
     """
-    noted = stored(_noted(docs, doc_id, text, window, run))
+    noted = stored(
+        _noted(
+            docs.filter(F.col(doc_id).isNotNull()).select(
+                F.col(doc_id).cast("long").alias("doc_id"),
+                F.xxhash64(text_of(text)).alias("text_hash"),
+                F.col(text).alias("text"),
+            ),
+            window,
+            run,
+        )
+    )
+    leaders = noted.groupBy("same").agg(F.min("doc_id").alias("leader"))
+    marked = noted.join(leaders, "same")
+    copies = marked.filter(F.col("doc_id") > F.col("leader")).select(
+        "doc_id", "text_hash", F.lit(None).cast("array<int>").alias("starts")
+    )
+    places = (
+        marked.filter(F.col("doc_id") == F.col("leader"))
+        .select("doc_id", "text_hash", "starts", F.posexplode("minimisers").alias("k", "minimiser"))
+        .select(
+            "minimiser",
+            "doc_id",
+            "text_hash",
+            F.get("starts", F.col("k")).alias("start"),
+            (F.get("starts", F.col("k") + 1) - F.get("starts", F.col("k"))).alias("n_windows"),
+        )
+    )
     shared = (
-        noted.groupBy("minimiser")
+        places.groupBy("minimiser")
         .agg(
             F.min("doc_id").alias("least"),
             F.max("doc_id").alias("most"),
@@ -246,36 +320,24 @@ def repeated_windows(
         .filter("least < most")
         .select("minimiser", (F.col("places") > hot).alias("hot"))
     )
-    wanted = (
-        noted.join(shared, "minimiser")
+    wanted = stored(
+        places.join(shared, "minimiser")
         .groupBy("doc_id", "text_hash")
         .agg(F.collect_set(F.struct("start", "n_windows", "minimiser", "hot")).alias("places"))
     )
-    key = [c.alias(f"row_{c_name}") for c, c_name in zip(row_key(doc_id, text), ("id", "hash"), strict=True)]
     with_text = (
-        docs.select(*key, F.col(text).alias("text"))
+        _keyed_rows(docs, doc_id, text)
         .join(
             wanted,
-            (F.col("row_id") == F.col("doc_id")) & (F.col("row_hash") == F.col("text_hash")),
-        )
-        .select("doc_id", "text_hash", "text", "places")
-    )
-    travelling = stored(
-        _travelling(with_text, window).withColumns(
-            {
-                "id1": F.xxhash64("bucket", "packed"),
-                "id2": F.xxhash64(F.lit("second"), "packed", "bucket"),
-            }
+            F.col("row_id").eqNullSafe(F.col("doc_id"))
+            & F.col("row_hash").eqNullSafe(F.col("text_hash")),
         )
+        .select("doc_id", "text_hash", "row", "places")
     )
-    strings = travelling.groupBy("bucket", "packed").agg(
-        F.min("doc_id").alias("least"), F.first("id1").alias("id1"), F.first("id2").alias("id2")
-    )
-    return (
-        travelling.select("id1", "id2", "doc_id", "text_hash", "start")
-        .join(_counted(strings, window), ["id1", "id2"])
-        .withColumn("at", F.array_position(F.transform("firsts", lambda d: d < F.col("doc_id")), True))
-        .filter("at > 0")
+    counted = _counted(_travelling(with_text, window), window)
+    found = (
+        _asking(with_text, window)
+        .join(counted, "id")
         .select(
             "doc_id",
             "text_hash",
@@ -287,9 +349,11 @@ def repeated_windows(
                 lambda i: i.isNotNull(),
             ).alias("starts"),
         )
+        .filter(F.size("starts") > 0)
         .groupBy("doc_id", "text_hash")
-        .agg(F.array_sort(F.flatten(F.collect_list("starts"))).alias("starts"))
+        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("starts")))).alias("starts"))
     )
+    return found.unionByName(copies.distinct())
 
 
 def cover(starts: np.ndarray, n_words: int, window: int) -> np.ndarray:
@@ -313,42 +377,41 @@ def drop_windows(
     The words that stay are joined by one space; the text of a row that loses none is
     as it was, NULL included.
     """
-    key, digest, starts, both = (
-        free_name(c, docs) for c in ("gone_id", "gone_hash", "gone_starts", "gone_result")
-    )
-
     @F.pandas_udf("text string, n long")
     def without(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
         kept, count = [], []
         for body, at in zip(texts, found, strict=True):
-            if at is None:
+            if body is None:
                 kept.append(None)
                 count.append(0)
                 continue
             words = body.encode().split()
-            gone = cover(np.asarray(at), len(words), window)
+            every = range(len(words) - window + 1)
+            gone = cover(np.asarray(every if at is None else at), len(words), window)
             kept.append(b" ".join([w for w, g in zip(words, gone, strict=True) if not g]).decode())
             count.append(int(gone.sum()))
         return pd.DataFrame({"text": kept, "n": count})
 
-    joined = docs.join(
+    joined = _keyed_rows(docs, doc_id, text).join(
         windows.select(
-            F.col("doc_id").alias(key),
-            F.col("text_hash").alias(digest),
-            F.col("starts").alias(starts),
+            F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), "starts"
         ),
-        (F.col(doc_id) == F.col(key)) & (F.xxhash64(text_of(text)) == F.col(digest)),
+        F.col("row_id").eqNullSafe(F.col("gone_id"))
+        & F.col("row_hash").eqNullSafe(F.col("gone_hash")),
         "left",
     )
     # Only texts that lose words go through Python.
-    body = F.when(F.col(starts).isNotNull(), F.col(text))
-    return (
-        joined.withColumn(both, without(body, F.col(starts)))
-        .withColumns(
-            {
-                text: F.coalesce(F.col(f"{both}.text"), F.col(text)),
-                n_removed: F.col(f"{both}.n"),
-            }
-        )
-        .drop(key, digest, starts, both)
+    hit = F.col("gone_id").isNotNull()
+    done = joined.select(
+        "row", "starts", F.when(hit, F.col("row.text")).alias("body")
+    ).withColumn("left", without("body", "starts"))
+    return done.select(
+        *(
+            F.coalesce("left.text", "row.text").alias(c)
+            if c == text
+            else F.col(f"row.`{c}`").alias(c)
+            for c in docs.columns
+            if c != n_removed
+        ),
+        F.col("left.n").alias(n_removed),
     )
