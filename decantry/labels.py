@@ -19,6 +19,9 @@ INGESTED_AT = "_ingestion_time"
 SOURCE_FILE = "_source_file"
 INGESTED_ON = "_ingestion_date"
 
+# Identity of a row by its content.
+ROW_DIGEST = "_row_digest"
+
 # Verdict of the gate.
 CHECKS = "_quality_checks"
 IS_VALID = "_is_valid"
@@ -61,3 +64,11 @@ REPORT_CODES = {
 
 # Gold measure.
 TOTAL_CONTRACTED = "total_contratado"
+
+# Columns that a run adds to those of the source.
+ADDED_COLUMNS = frozenset(
+    {
+        INGESTED_AT, SOURCE_FILE, INGESTED_ON, ROW_DIGEST, CHECKS, IS_VALID, REASONS, CODE,
+        REJECT_REASON, VALIDATED_AT, PIPELINE_VERSION, QUARANTINE_ID, ATTEMPTS, REPROCESSED_AT,
+    }
+)

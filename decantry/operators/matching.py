@@ -1,4 +1,8 @@
-"""Row matching on caller-given key columns. NULL matches NULL."""
+"""Row matching on caller-given columns. NULL matches NULL.
+
+A pipeline matches rows on the digest of their content, never on columns that several
+different rows may share.
+"""
 
 from __future__ import annotations
 
@@ -34,13 +38,9 @@ def _distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def _fits(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
     """Whether all keys of ``df``, copies included, are within ``limit`` bytes.
 
-    The row count of a stored table is in its footers, so a large one is ruled out
-    without reading a key.
+    One aggregate, so that a ``df`` with a lineage of its own is computed once for it.
     """
-    overhead = 16 * len(keys)
-    if df.count() > limit // overhead:
-        return False
-    per_row = F.lit(overhead)
+    per_row = F.lit(16 * len(keys))
     for k in keys:
         per_row += F.coalesce(F.octet_length(column_ref(k).cast("string")), F.lit(0))
     size = df.agg(F.sum(per_row.cast("bigint")).alias("n")).first()["n"] or 0

@@ -104,9 +104,14 @@ def sample_rejects(
     ).limit(n)
 
 
-def _of_layer(layer: str, metric: str) -> Column:
-    value = F.sum(F.when(F.col("layer") == layer, F.col(metric)))
-    return F.coalesce(value, F.lit(0)).alias(f"{layer}_{metric}")
+def _rows_of(layer: str) -> Column:
+    """Rows that the last commit of a layer stands for, whether or not all were new."""
+    value = F.sum(F.when(F.col("layer") == layer, F.col("judged")))
+    return F.coalesce(value, F.lit(0)).alias(f"{layer}_rows")
+
+
+def _bytes_of(layer: str) -> Column:
+    return F.sum(F.when(F.col("layer") == layer, F.col("bytes"))).alias(f"{layer}_bytes")
 
 
 def layer_balance(metrics: DataFrame) -> DataFrame:
@@ -122,11 +127,11 @@ def layer_balance(metrics: DataFrame) -> DataFrame:
     return (
         metrics.groupBy("table_set")
         .agg(
-            _of_layer("bronze", "rows"),
-            _of_layer("silver", "rows"),
-            _of_layer("quarantine", "rows"),
-            _of_layer("silver", "bytes"),
-            _of_layer("quarantine", "bytes"),
+            _rows_of("bronze"),
+            _rows_of("silver"),
+            _rows_of("quarantine"),
+            _bytes_of("silver"),
+            _bytes_of("quarantine"),
         )
         .withColumn("total_rows", F.col("silver_rows") + F.col("quarantine_rows"))
         .withColumn("valid_pct", share("silver_rows"))
@@ -139,5 +144,5 @@ def layer_comparison(
 ) -> DataFrame:
     """Rows per layer, with one column per layer and one row per table set."""
     return metrics.groupBy("table_set").agg(
-        *(_of_layer(layer, "rows") for layer in layers)
+        *(_rows_of(layer) for layer in layers)
     )

@@ -24,6 +24,7 @@ from decantry.sources import CONTRACT_SCHEMA
 
 def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(description="Gate a lakehouse's raw table into its layers.")
+    # The names, choices and defaults of these five options are an interface.
     p.add_argument("--input-path", help="delimited file(s) to append to bronze first")
     p.add_argument("--lakehouse-root", default="data/lakehouse", help="folder of the layers")
     p.add_argument("--pipeline-version", default="v1", help="recorded on every rejected row")
@@ -32,7 +33,8 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     p.add_argument("--table", default="contracts", help="table name within the layers")
     p.add_argument("--table-format", default="parquet", help="parquet, or delta with its jars")
     p.add_argument("--gold-table", help="also write the largest groups to this gold table")
-    p.add_argument("--row-key", help="comma-separated columns that identify a row")
+    p.add_argument("--once", action="store_true", help="store rows of the same content once")
+    p.add_argument("--row-key", help="as --once; compare these columns besides the content")
     p.add_argument("--as-of", type=dt.date.fromisoformat, help="day to judge dates by")
     p.add_argument("--snapshot", action="store_true", help="replace all layers, simple rules")
     p.add_argument("--infer-schema", action="store_true", help="no contract: types by the data")
@@ -46,12 +48,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> Summary | None:
         args.table_format,
         None if args.infer_schema else CONTRACT_SCHEMA,
         args.gold_table or "top_groups",
+        measure_bytes=True,
     )
     job = Refinement(
         lake,
         pipeline_version=args.pipeline_version,
         mode=args.mode,
         row_key=args.row_key.split(",") if args.row_key else None,
+        once=args.once,
         as_of=args.as_of,
     )
     if args.snapshot:

@@ -16,6 +16,7 @@ _INGESTION = [
     T.StructField(L.INGESTED_AT, T.TimestampType()),
     T.StructField(L.SOURCE_FILE, T.StringType()),
     T.StructField(L.INGESTED_ON, T.StringType()),
+    T.StructField(L.ROW_DIGEST, T.StringType()),
 ]
 _VERDICT = [
     T.StructField(
@@ -50,7 +51,7 @@ class Lakehouse:
     """Paths and schemas of the layers.
 
     With a ``contract`` (the columns of the source) every layer has a declared
-    schema. Without one schemas follow the data. A ``snapshot`` lakehouse has no
+    schema, to which deliveries may add columns. Without one schemas follow the data. A ``snapshot`` lakehouse has no
     lineage and of the audit columns only the reason. ``measure_bytes`` lists a table's
     files after each write to record their size as well as the rows; Delta does
     both by itself.
@@ -123,9 +124,15 @@ class Lakehouse:
         return [self.commit_log(layer) for layer in ("bronze", "silver", "quarantine")]
 
     def append(
-        self, spark: SparkSession, layer: str, df: DataFrame, compact: bool | str = False
+        self,
+        spark: SparkSession,
+        layer: str,
+        df: DataFrame,
+        compact: bool | str = False,
+        judged: int | None = None,
     ) -> int:
-        return self._commit(spark, layer, df, "append", compact)
+        """``judged``: rows the layer stands for, where this write adds only the new ones."""
+        return self._commit(spark, layer, df, "append", compact, judged)
 
     def overwrite(
         self, spark: SparkSession, layer: str, df: DataFrame, compact: bool | str = False
@@ -133,19 +140,28 @@ class Lakehouse:
         return self._commit(spark, layer, df, "overwrite", compact)
 
     def _commit(
-        self, spark: SparkSession, layer: str, df: DataFrame, mode: str, compact: bool | str
+        self,
+        spark: SparkSession,
+        layer: str,
+        df: DataFrame,
+        mode: str,
+        compact: bool | str,
+        judged: int | None = None,
     ) -> int:
         table: Table = getattr(self, layer)
         if self.fmt == "delta":
             return getattr(table, mode)(df, compact)
         before = self._size(spark, table) if mode == "append" else 0
         rows = getattr(table, mode)(df, compact)
-        size = self._size(spark, table) - before
-        self.commit_log(layer).record(spark, mode, rows, size)
+        after = self._size(spark, table)
+        size = None if after is None else after - before
+        self.commit_log(layer).record(spark, mode, rows, size, judged=judged)
         return rows
 
-    def _size(self, spark: SparkSession, table: Table) -> int:
-        return stored_bytes(spark, table.path, f"*.{self.fmt}") if self.measure_bytes else 0
+    def _size(self, spark: SparkSession, table: Table) -> int | None:
+        if not self.measure_bytes:
+            return None
+        return stored_bytes(spark, table.path, f"*.{self.fmt}")
 
     def read_quarantine(self, spark: SparkSession) -> DataFrame | None:
         """Quarantined rows with their attempts folded in; None without a table."""

@@ -16,10 +16,12 @@ from ..functions.rules import RuleSet, full_rules, simple_rules
 from ..operators.attempts import merge_attempts
 from ..operators.gate import audit, clean, quarantine
 from ..operators.gold import top_groups
+from ..operators.identity import with_identity
 from ..operators.ingest import with_ingest_metadata
-from ..operators.matching import without_matches, without_matches_in_large
+from ..operators.matching import without_matches_in_large
 from ..session import one_row
 from ..sources.contracts import read_contracts
+from ..sources.tables import align_to
 from .lakehouse import Lakehouse
 
 LOG = logging.getLogger(__name__)
@@ -61,11 +63,12 @@ class Clock:
 class Refinement:
     """A lakehouse and how to run it.
 
-    ``row_key`` names columns that identify a source row. Without it a run does
-    what it says and no more: the input is appended to bronze, silver becomes the
-    clean rows of bronze, and its rejects are appended to quarantine. With it a run
-    may be repeated: a row enters bronze, silver and quarantine once, and rows
-    moved out of quarantine stay in silver.
+    Without ``once`` a run does what it says and no more: the input is appended to
+    bronze, silver becomes the clean rows of bronze, and its rejects are appended to
+    quarantine. With it a run may be repeated: a row enters bronze, silver and
+    quarantine once, and rows moved out of quarantine stay in silver. A row is known by
+    the content of all its source columns; different rows are kept whatever columns
+    they share. ``row_key`` names columns to compare besides, and implies ``once``.
     """
 
     lake: Lakehouse
@@ -74,9 +77,18 @@ class Refinement:
     mode: str = "dev"
     alert_above_pct: float = 5.0
     row_key: Sequence[str] | None = None
+    once: bool = False
     as_of: dt.date | None = None
     run_ts: dt.datetime | None = None
 
+    @property
+    def keeps_once(self) -> bool:
+        return self.once or bool(self.row_key)
+
+    @property
+    def identity(self) -> list[str]:
+        return [*(self.row_key or ()), L.ROW_DIGEST]
+
     def clock(self, spark: SparkSession) -> Clock:
         """Given times, or else now; a run at a given instant judges by its day."""
         now = Clock.now(spark)
@@ -118,17 +130,39 @@ def ingest(
     spark: SparkSession, job: Refinement, input_path: str, clock: Clock | None = None
 ) -> int:
     """Append a delimited file to bronze with its lineage; returns the rows written."""
-    clock = clock or job.clock(spark)
     rows = read_contracts(spark, input_path, job.lake.contract)
-    rows = with_ingest_metadata(rows, input_path, clock.run_ts)
-    known = job.lake.bronze.read_or_none(spark) if job.row_key else None
-    if known is not None:
-        rows = without_matches(rows, known, job.row_key)
+    return ingest_rows(spark, job, rows, input_path, clock)
+
+
+def ingest_rows(
+    spark: SparkSession,
+    job: Refinement,
+    rows: DataFrame,
+    source: str,
+    clock: Clock | None = None,
+) -> int:
+    """Append rows to bronze with their lineage; returns the rows written."""
+    clock = clock or job.clock(spark)
+    rows = with_identity(with_ingest_metadata(rows, source, clock.run_ts))
+    if job.keeps_once:
+        rows = new_rows(job, rows, job.lake.bronze.read_or_none(spark))
     written = job.lake.append(spark, "bronze", rows)
-    LOG.info("%d rows of %s appended to bronze", written, input_path)
+    LOG.info("%d rows of %s appended to bronze", written, source)
     return written
 
 
+def new_rows(job: Refinement, rows: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """Of ``rows``, one of each content that ``stored`` does not have.
+
+    What is stored is far larger than a delivery: it is scanned for the new digests and
+    not shuffled, where these are few enough to be broadcast.
+    """
+    rows = rows.dropDuplicates([L.ROW_DIGEST])
+    if stored is None:
+        return rows
+    return without_matches_in_large(rows, with_identity(stored), job.identity)
+
+
 def refine(
     spark: SparkSession,
     job: Refinement,
@@ -145,9 +179,10 @@ def refine(
     if bronze is None:
         LOG.error("there is no bronze table at %s", lake.bronze.path)
         return None
+    bronze = with_identity(bronze)
     rules = job.rules.full(bronze, clock.as_of)
 
-    if job.row_key:
+    if job.keeps_once:
         _settle_attempts(spark, lake, clock)
     accepted = clean(bronze, rules).withColumns(
         {
@@ -155,23 +190,29 @@ def refine(
             L.QUARANTINE_ID: F.lit(None).cast("string"),
         }
     )
-    moved_earlier = _moved_earlier(spark, job, accepted) if job.row_key else None
+    moved_earlier = _moved_earlier(spark, job, accepted) if job.keeps_once else None
     silver_rows = accepted if moved_earlier is None else accepted.unionByName(moved_earlier)
     silver_count = lake.overwrite(spark, "silver", silver_rows)
 
-    rejects = audit(quarantine(bronze, rules), job.pipeline_version, clock.run_ts)
-    known = lake.quarantine.read_or_none(spark) if job.row_key else None
-    if known is not None:
-        rejects = without_matches(rejects, known, job.row_key)
-    appended = lake.append(spark, "quarantine", rejects, compact=L.QUARANTINE_ID)
-
-    if job.row_key:
-        # What was appended differs from what was judged. The two sides of the gate are
+    # Where a row is there once, its content names it, and its id is the same again when
+    # a lost task is repeated.
+    key = job.identity if job.keeps_once else None
+    rejects = audit(quarantine(bronze, rules), job.pipeline_version, clock.run_ts, key)
+    if job.keeps_once:
+        rejects = new_rows(job, rejects, lake.quarantine.read_or_none(spark))
+    rejected = None
+    if job.keeps_once:
+        # What is appended differs from what is judged. The two sides of the gate are
         # complementary, so the rows of bronze and the clean ones in silver tell.
         # Neither count reads more than footers and a column of NULLs.
         total = bronze.count()
         kept = lake.silver.read(spark).filter(F.col(L.QUARANTINE_ID).isNull()).count()
-    else:
+        rejected = total - kept
+    appended = lake.append(
+        spark, "quarantine", rejects, compact=L.QUARANTINE_ID, judged=rejected
+    )
+
+    if not job.keeps_once:
         kept, total = silver_count, silver_count + appended
     limit = job.alert_above_pct if job.mode == "prod" else None
     summary = Summary.of(total, kept, limit)
@@ -186,7 +227,8 @@ def refine(
 def reprocess(spark: SparkSession, job: Refinement, clock: Clock | None = None) -> int:
     """Move quarantined rows that pass the gate by now to silver; returns how many.
 
-    Rows moved before are left alone; moved rows stay in quarantine for audit and
+    Rows moved before are left alone, and so are rows whose content silver has; of rows
+    with the same content one is moved, different rows all are. Moved rows stay in quarantine for audit and
     count one attempt. Silver keeps the id of a moved row, and the attempts are
     derived from it after the append: if a run dies in between, the next one
     neither moves the row again nor forgets the attempt.
@@ -200,16 +242,14 @@ def reprocess(spark: SparkSession, job: Refinement, clock: Clock | None = None)
     if lake.fmt == "delta" and L.REPROCESSED_AT in held.columns:
         held = held.filter(F.col(L.REPROCESSED_AT).isNull())
 
+    held = with_identity(held)
     movable = held.filter(job.rules.full(held, clock.as_of).passed)
     settled = _settled_ids(spark, lake)
     if settled is not None:
         movable = movable.join(settled, L.QUARANTINE_ID, "left_anti")
     silver = lake.silver.read_or_none(spark)
-    if job.row_key and silver is not None:
-        movable = without_matches_in_large(movable, silver, job.row_key)
-    if job.row_key:
-        # Earlier runs without a key may have quarantined a row several times.
-        movable = movable.dropDuplicates(list(job.row_key))
+    # A run may have put the row into silver since, and several runs into quarantine.
+    movable = new_rows(job, movable, silver)
     moved = lake.append(spark, "silver", _as_silver(spark, lake, movable), L.QUARANTINE_ID)
     _settle_attempts(spark, lake, clock)
     LOG.info("%d rows moved from quarantine to silver", moved)
@@ -228,15 +268,13 @@ def refresh_gold(
 def _as_silver(spark: SparkSession, lake: Lakehouse, rows: DataFrame) -> DataFrame:
     """Quarantined rows in the columns of silver."""
     rows = rows.withColumn(L.CODE, F.lit(None).cast("string"))
-    schema = lake.silver.schema
-    if schema is None:
-        present = lake.silver.read_or_none(spark)
-        bronze = lake.bronze.read_or_none(spark)
-        layout = present if present is not None else bronze
-        names = [] if layout is None else layout.columns
-        names += [c for c in (L.CODE, L.QUARANTINE_ID) if c not in names]
-    else:
-        names = schema.names
+    names: list[str] = []
+    for table in (lake.silver, lake.bronze):
+        # Delta tables have no stored layout; their own schema tells.
+        layout = table.layout(spark) or table.read_or_none(spark)
+        columns = [] if layout is None else getattr(layout, "names", None) or layout.columns
+        names += [c for c in columns if c not in names]
+    names += [c for c in (L.CODE, L.QUARANTINE_ID) if c not in names]
     return rows.select(*(F.col(f"`{c}`") for c in names if c in rows.columns))
 
 
@@ -273,8 +311,6 @@ def _settle_attempts(spark: SparkSession, lake: Lakehouse, clock: Clock) -> None
     logged = lake.attempts.read_or_none(spark)
     if logged is not None:
         moved = moved.join(logged.select(L.QUARANTINE_ID), L.QUARANTINE_ID, "left_anti")
-    if moved.isEmpty():
-        return
     lake.attempts.append(moved.distinct().withColumn(L.REPROCESSED_AT, F.lit(clock.run_ts)))
 
 
@@ -287,5 +323,6 @@ def _moved_earlier(
     if held is None:
         return None
     moved = held.filter(F.col(L.REPROCESSED_AT).isNotNull())
-    moved = without_matches_in_large(moved, accepted, job.row_key)
-    return moved.withColumn(L.CODE, F.lit(None).cast("string")).select(*accepted.columns)
+    moved = without_matches_in_large(with_identity(moved), accepted, job.identity)
+    moved = moved.withColumn(L.CODE, F.lit(None).cast("string"))
+    return align_to(moved, accepted.schema, keep_extra=False)

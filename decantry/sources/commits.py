@@ -20,7 +20,12 @@ from ..session import one_row, path_exists
 
 # Only these members are parsed out of a commit file. The names
 # are those of Delta commit files, metrics are stored as text there.
-_METRICS = T.StructType().add("numOutputRows", "string").add("numOutputBytes", "string")
+_METRICS = (
+    T.StructType()
+    .add("numOutputRows", "string")
+    .add("numOutputBytes", "string")
+    .add("numJudgedRows", "string")
+)
 COMMIT_SCHEMA = T.StructType().add(
     "commitInfo",
     T.StructType()
@@ -53,12 +58,18 @@ class CommitLog:
     path: str
 
     def record(
-        self, spark: SparkSession, mode: str, rows: int, size: int, at: dt.datetime | None = None
+        self,
+        spark: SparkSession,
+        mode: str,
+        rows: int,
+        size: int | None,
+        at: dt.datetime | None = None,
+        judged: int | None = None,
     ) -> None:
+        """``size`` is None where nothing has measured it, ``judged`` where it is ``rows``."""
         millis = int((at or dt.datetime.now(dt.timezone.utc)).timestamp() * 1000)
-        metrics = F.struct(
-            F.lit(str(rows)).alias("numOutputRows"), F.lit(str(size)).alias("numOutputBytes")
-        )
+        given = {"numOutputRows": rows, "numOutputBytes": size, "numJudgedRows": judged}
+        metrics = F.struct(*(F.lit(str(v)).alias(k) for k, v in given.items() if v is not None))
         info = F.struct(
             F.lit(millis).alias("timestamp"),
             F.lit("WRITE").alias("operation"),
@@ -67,6 +78,13 @@ class CommitLog:
         )
         # The folder's name puts the record in order, as a commit's number does.
         one_row(spark, commitInfo=info).write.mode("append").json(f"{self.path}/{millis:020d}")
+        # A copy of the last one, so that it can be read without a listing of all.
+        names = {"table_set": F.lit(self.table_set), "layer": F.lit(self.layer)}
+        one_row(spark, commitInfo=info, **names).write.mode("overwrite").json(self.latest)
+
+    @property
+    def latest(self) -> str:
+        return f"{self.path}.latest"
 
     def files(self, spark: SparkSession) -> DataFrame | None:
         """Paths of the commit files, from their listing alone."""
@@ -98,12 +116,19 @@ def _last_files(spark: SparkSession, logs: Sequence[CommitLog]) -> dict[int, str
 def commit_metrics(spark: SparkSession, logs: Sequence[CommitLog]) -> DataFrame:
     """Rows and bytes of the last commit of every table.
 
-    Only the last file of each log is read, however long the history. A table without
-    log, or whose last commit carries no metrics, has zeros.
+    Only the last record of each log is read, however long the history. ``judged`` are
+    the rows that the commit stands for: more than ``rows`` where it added only new ones.
+    A table without log, or whose last commit carries no metrics, has no rows; ``bytes``
+    is NULL where they were not measured.
     """
-    last = _last_files(spark, logs)
+    copied = [log for log in logs if path_exists(spark, log.latest)]
+    others = [log for log in logs if log not in copied]
+    last = _last_files(spark, others)
     frames = []
-    for i, log in enumerate(logs):
+    if copied:
+        schema = T.StructType([*COMMIT_SCHEMA, *T.StructType.fromDDL("table_set string, layer string")])
+        frames.append(spark.read.schema(schema).json([log.latest for log in copied]))
+    for i, log in enumerate(others):
         labels = {"table_set": F.lit(log.table_set), "layer": F.lit(log.layer)}
         # A row without commit keeps tables in the result that have no log.
         nothing = F.lit(None).cast(COMMIT_SCHEMA["commitInfo"].dataType)
@@ -112,9 +137,11 @@ def commit_metrics(spark: SparkSession, logs: Sequence[CommitLog]) -> DataFrame:
             frames.append(spark.read.schema(COMMIT_SCHEMA).json(last[i]).withColumns(labels))
 
     def metric(name: str) -> Column:
-        value = F.col(f"commitInfo.operationMetrics.{name}").try_cast("bigint")
-        return F.coalesce(F.max(value), F.lit(0))
+        return F.max(F.col(f"commitInfo.operationMetrics.{name}").try_cast("bigint"))
 
+    rows = F.coalesce(metric("numOutputRows"), F.lit(0))
     return _union(frames).groupBy("table_set", "layer").agg(
-        metric("numOutputRows").alias("rows"), metric("numOutputBytes").alias("bytes")
+        rows.alias("rows"),
+        metric("numOutputBytes").alias("bytes"),
+        F.coalesce(metric("numJudgedRows"), rows).alias("judged"),
     )

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from .. import labels as L
 from ..functions.names import normalize_columns, storage_name
+from ..functions.typed import column_ref
 
 # The contract columns in file order. The two columns the rules
 # compare are typed so that their tests reach the scan; all others stay text.
@@ -67,7 +68,17 @@ def read_contracts(
     if contract is None:
         if keep_malformed:
             raise ValueError("keep_malformed needs a contract")
-        return normalize_columns(reader.option("inferSchema", True).csv(path))
+        inferred = reader.option("inferSchema", True).csv(path)
+        # A later file may have larger numbers, so each kind gets its widest type.
+        widest = {T.IntegerType: "bigint", T.FloatType: "double"}
+        return normalize_columns(
+            inferred.select(
+                *(
+                    column_ref(f.name).cast(widest.get(type(f.dataType), f.dataType)).alias(f.name)
+                    for f in inferred.schema
+                )
+            )
+        )
 
     schema = _file_schema(reader.csv(path).columns, contract)
     reader = reader.option("enforceSchema", False)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from dataclasses import dataclass
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.typed import column_ref
-from ..session import path_exists
+from ..session import one_row, path_exists
 
 LOG = logging.getLogger(__name__)
 
@@ -22,7 +23,7 @@ _INTEGRAL = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
 
 
 class SchemaConflict(ValueError):
-    """Incoming data would lose a value or a column in the stored table."""
+    """Incoming data would lose a value in the stored table."""
 
 
 def _fits(source: T.DataType, target: T.DataType) -> bool:
@@ -82,20 +83,38 @@ def align_to(df: DataFrame, schema: T.StructType, keep_extra: bool = True) -> Da
 class Table:
     """A stored table.
 
-    A declared ``schema`` is used for every read and fixes the columns that can
-    be written. Without one, writes may add columns, and a Parquet table is read
-    by merging its file footers, which costs a pass over all of them.
+    Writes may add columns, also to a declared ``schema``, whose own columns keep their
+    types. The schema of a Parquet table is stored once, next to its folder, so that a
+    read needs no file footers; a table without one is read by merging them.
     """
 
     path: str
     fmt: str = "parquet"
     schema: T.StructType | None = None
 
+    def layout(self, spark: SparkSession) -> T.StructType | None:
+        """The columns by declaration and by what was written; None if neither tells."""
+        kept = None
+        if self.fmt == "parquet" and path_exists(spark, self._schema_path):
+            lines = spark.read.text(self._schema_path, wholetext=True).collect()
+            kept = T.StructType.fromJson(json.loads(lines[0]["value"])) if lines else None
+        if kept is None or self.schema is None:
+            return kept or self.schema
+        declared = {f.name.lower() for f in self.schema}
+        return T.StructType(
+            [*self.schema.fields, *(f for f in kept if f.name.lower() not in declared)]
+        )
+
+    @property
+    def _schema_path(self) -> str:
+        return f"{self.path}.schema"
+
     def read(self, spark: SparkSession) -> DataFrame:
         reader = spark.read.format(self.fmt)
         if self.fmt == "parquet":
-            if self.schema is not None:
-                reader = reader.schema(self.schema)
+            layout = self.layout(spark)
+            if layout is not None:
+                reader = reader.schema(layout)
             else:
                 reader = reader.option("mergeSchema", True)
         return reader.load(self.path)
@@ -113,23 +132,27 @@ class Table:
 
     def append(self, df: DataFrame, compact: bool | str = False) -> int:
         """Append, aligned to the table's columns; returns the rows written."""
-        if self.schema is not None:
-            return self._write(self._declared(df), "append", compact)
-        present = self.read_or_none(df.sparkSession)
-        target = T.StructType() if present is None else present.schema
-        return self._write(align_to(df, target), "append", compact)
+        spark = df.sparkSession
+        target = self.layout(spark)
+        if target is None:
+            present = self.read_or_none(spark)
+            target = T.StructType() if present is None else present.schema
+        shaped = align_to(df, target)
+        self._keep_layout(spark, shaped.schema)
+        return self._write(shaped, "append", compact)
 
     def overwrite(self, df: DataFrame, compact: bool | str = False) -> int:
         """Replace the table; ``df`` must not be derived from its present files."""
-        shaped = align_to(df, T.StructType()) if self.schema is None else self._declared(df)
+        shaped = align_to(df, self.schema or T.StructType())
+        self._keep_layout(df.sparkSession, shaped.schema)
         return self._write(shaped, "overwrite", compact)
 
-    def _declared(self, df: DataFrame) -> DataFrame:
-        known = {f.name.lower() for f in self.schema}
-        unknown = [c for c in df.columns if c.lower() not in known]
-        if unknown:
-            raise SchemaConflict(f"{self.path} declares no columns {unknown}")
-        return align_to(df, self.schema)
+    def _keep_layout(self, spark: SparkSession, schema: T.StructType) -> None:
+        """Store a schema that is new. Before the rows: a column without any reads NULL."""
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+        if self.fmt == "parquet" and schema != self.layout(spark):
+            text = F.lit(json.dumps(schema.jsonValue()))
+            one_row(spark, value=text).write.mode("overwrite").text(self._schema_path)
 
     def _write(self, df: DataFrame, mode: str, compact: bool | str) -> int:
         # Rows that survive a selective filter leave every task with a sliver.

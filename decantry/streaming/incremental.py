@@ -9,6 +9,7 @@ in the future enter silver by reprocessing once their day has come.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +19,8 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import labels as L
 from ..operators.gate import audit, clean, quarantine
 from ..operators.ingest import with_ingest_metadata
-from ..operators.matching import without_matches
-from ..plans.runs import Clock, Refinement
+from ..operators.identity import with_identity
+from ..plans.runs import Clock, Refinement, new_rows
 
 
 def refine_new_files(
@@ -35,8 +36,8 @@ def refine_new_files(
 
     Files have the contract's columns in its order, and a header row, which is
     compared with ``labels`` where they are given. A batch that failed half-way is
-    delivered again with the same files; with a row key what was stored of it the
-    first time is not stored twice.
+    delivered again with the same files; what was stored of it the first time is not
+    stored twice, whatever ``job`` says of that.
     """
     contract = job.lake.contract
     if contract is None:
@@ -65,27 +66,26 @@ def refine_new_files(
 
 
 def append_batch(rows: DataFrame, job: Refinement) -> None:
-    """Append ``rows`` to bronze and, gated, to silver and quarantine."""
+    """Append ``rows`` to bronze and, gated, to silver and quarantine.
+
+    A batch may be delivered again, so each layer takes rows it does not have by their
+    content. Each layer reads the batch's files anew: what an executor holds of them
+    for the others would be lost with it.
+    """
     clock = job.clock(rows.sparkSession)
-    # Three writes read the batch. Its size is bounded by the number of files, so it
-    # is kept for them; what an executor takes with it is read again.
-    rows = with_ingest_metadata(rows, F.col(L.SOURCE_FILE), clock.run_ts).persist()
-    try:
-        _append(rows, job, clock)
-    finally:
-        rows.unpersist()
+    rows = with_identity(with_ingest_metadata(rows, F.col(L.SOURCE_FILE), clock.run_ts))
+    _append(rows, replace(job, once=True), clock)
 
 
 def _append(rows: DataFrame, job: Refinement, clock: Clock) -> None:
     spark, lake = rows.sparkSession, job.lake
     rules = job.rules.full(rows, clock.as_of)
-    rejects = audit(quarantine(rows, rules), job.pipeline_version, clock.run_ts)
+    rejects = audit(quarantine(rows, rules), job.pipeline_version, clock.run_ts, job.identity)
     for layer, part, spread in (
         ("bronze", rows, False),
         ("silver", clean(rows, rules), False),
         ("quarantine", rejects, L.QUARANTINE_ID),
     ):
-        stored = getattr(lake, layer).read_or_none(spark) if job.row_key else None
-        if stored is not None:
-            part = without_matches(part, stored, job.row_key)
+        if job.keeps_once:
+            part = new_rows(job, part, getattr(lake, layer).read_or_none(spark))
         lake.append(spark, layer, part, compact=spread)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,8 @@ from ..operators import audit, clean, quarantine, with_attempts, with_ingest_met
 from ..operators import layer_balance as balance
 from ..operators import layer_comparison as comparison
 from ..plans import Lakehouse, Refinement, Rules, refine, refine_simple, reprocess
-from ..session import work_folder
+from ..plans.runs import ingest_rows
+from ..session import one_row, work_folder
 from ..sources import Table
 from ..sources import commit_metrics as last_commits
 from .frames import (
@@ -129,7 +131,7 @@ def commit_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _filled_lake(spark, sf_dir, measure_bytes=True)
     refine(spark, _job(lake))
     metrics = last_commits(spark, lake.commit_logs())
-    return metrics.withColumn("has_bytes", F.col("bytes") > 0).drop("bytes")
+    return metrics.withColumn("has_bytes", F.col("bytes") > 0).drop("bytes", "judged")
 
 
 @query(
@@ -226,6 +228,126 @@ def rerun_with_row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    GATED
+    + """
+select 'first' as delivery, count(*) as bronze_rows from (select distinct o_orderpriority, sdate, price from c)
+union all
+select 'both', count(*) from (
+  select o_orderpriority, sdate, price from c union select o_orderpriority, sdate, -price from c)
+union all
+select 'again', count(*) from (
+  select o_orderpriority, sdate, price from c union select o_orderpriority, sdate, -price from c)
+"""
+)
+def keyed_ingest_keeps_distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries whose key is neither unique nor always there; the last one is a repeat."""
+    rows = corrupt_orders(spark, sf_dir).select("o_orderpriority", "sdate", "price")
+    lake = Lakehouse(work_folder(spark), "orders", contract=rows.schema)
+    job = _job(lake, row_key=["o_orderpriority", "sdate"])
+    corrected = rows.withColumn("price", -F.col("price"))
+    counts = []
+    for name, delivery in (("first", rows), ("both", corrected), ("again", corrected)):
+        ingest_rows(spark, job, delivery, name)
+        count = lake.bronze.read(spark).count()
+        counts.append(one_row(spark, delivery=F.lit(name), bronze_rows=F.lit(count).cast("bigint")))
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query(
+    GATED
+    + """
+select o_orderkey, price, layer from (
+  select o_orderkey, price, case when ok then 'silver' else 'quarantine' end as layer from v
+  union all
+  select o_orderkey, -price, case when sdate <= date '2001-01-01' then 'silver' else 'quarantine' end
+  from v where price < 0)
+"""
+)
+def corrected_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with a negative price come again with a positive one, under the same key."""
+    orders = corrupt_orders(spark, sf_dir).drop("o_orderdate")
+    lake = Lakehouse(work_folder(spark), "orders", contract=orders.schema)
+    job = _job(lake, row_key=["o_orderkey"])
+    ingest_rows(spark, job, orders, "first")
+    refine(spark, job)
+    ingest_rows(spark, job, orders.filter("price < 0").withColumn("price", -F.col("price")), "second")
+    refine(spark, job)
+    return _layers(spark, lake, "o_orderkey", "price")
+
+
+@query(
+    GATED
+    + f"select o_orderpriority, sdate, price from v"
+    f" where code = 'E002' and price > 0 and sdate <= date '{LATER}' group by all"
+)
+def reprocess_same_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that share their key are all moved, by priority and day."""
+    rows = corrupt_orders(spark, sf_dir).select("o_orderpriority", "sdate", "price")
+    lake = Lakehouse(work_folder(spark), "orders", contract=rows.schema)
+    key = ["o_orderpriority"]
+    ingest_rows(spark, _job(lake, row_key=key), rows, "orders")
+    refine(spark, _job(lake, row_key=key))
+    for _ in range(2):
+        reprocess(spark, _job(lake, LATER, row_key=key))
+    silver = lake.silver.read(spark)
+    return silver.filter(F.col(L.QUARANTINE_ID).isNotNull()).select(*rows.columns)
+
+
+@query(GATED + f"select o_orderkey from v where price > 0 and sdate <= date '{LATER}'")
+def rerun_without_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day advances and quarantine is looked at again: no row is in silver twice."""
+    lake = _filled_lake(spark, sf_dir)
+    refine(spark, _job(lake))
+    refine(spark, _job(lake, LATER), reprocess_quarantine=True)
+    return lake.silver.read(spark).select("o_orderkey")
+
+
+@query(
+    GATED
+    + """
+select o_orderkey, price, cast(null as varchar) as o_orderpriority, case when ok then 'silver' else 'quarantine' end as layer from v
+union all
+select o_orderkey, price, o_orderpriority, case when ok then 'silver' else 'quarantine' end from v
+"""
+)
+def ingest_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second delivery has a column that the contract does not declare."""
+    orders = corrupt_orders(spark, sf_dir).drop("o_orderdate")
+    narrow = orders.drop("o_orderpriority")
+    lake = Lakehouse(work_folder(spark), "orders", contract=narrow.schema)
+    for delivery in (narrow, orders):
+        ingest_rows(spark, _job(lake, once=True), delivery, "orders")
+        refine(spark, _job(lake, once=True))
+    return _layers(spark, lake, "o_orderkey", "price", "o_orderpriority")
+
+
+@query(
+    GATED
+    + """
+select 'orders' as table_set, count(*) filter (where ok) as silver_rows,
+       count(*) filter (where not coalesce(ok, false)) as quarantine_rows,
+       round(100.0 * count(*) filter (where ok) / count(*), 1) as valid_pct
+from v
+"""
+)
+def layer_balance_after_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second run adds no rejects to quarantine, and yet there are some."""
+    lake = _filled_lake(spark, sf_dir)
+    for _ in range(2):
+        refine(spark, _job(lake, row_key=["o_orderkey"]))
+    shares = balance(last_commits(spark, lake.commit_logs()))
+    return shares.select("table_set", "silver_rows", "quarantine_rows", "valid_pct")
+
+
+def _layers(spark: SparkSession, lake: Lakehouse, *columns: str) -> DataFrame:
+    return (
+        lake.silver.read(spark)
+        .select(*columns, F.lit("silver").alias("layer"))
+        .unionByName(lake.quarantine.read(spark).select(*columns, F.lit("quarantine").alias("layer")))
+    )
+
+
 @query(
     GATED
     + "select code as _rejection_code, count(*) as n from v where not coalesce(ok, false) group by 1"

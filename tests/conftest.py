@@ -18,6 +18,7 @@ def spark():
     session.stop()
 
 
+# The column labels of contract files.
 HEADER = [
     "Entidad",
     "Nit Entidad",
@@ -52,19 +53,24 @@ def contract_line(entity: str, department: str, signed_on: str, price: str) -> s
 
 @pytest.fixture
 def contracts_csv(tmp_path):
-    """Ten contracts: six sound, one with a negative price, and three ragged rows
-    in which a missing or a surplus separator moves the values off their columns."""
+    """Twelve contracts: seven sound, one priced zero, one that is dated far ahead, and
+    three ragged rows whose values a missing or a surplus separator has moved."""
     lines = [
-        contract_line("TOWN A", "ANTIOQUIA", "2023-01-01", "3582652"),
-        contract_line("STATE B", "BOLIVAR", "2023-02-15", "4500000"),
-        contract_line("CLINIC C", "ATLANTICO", "", "0").replace(",0,", "0,", 1),
-        contract_line("COLLEGE D", "VALLE", "2023-04-10", "-100"),
-        contract_line("TOWN E", "CUNDINAMARCA", "2023-05-20", "2000000"),
-        contract_line("TOWN F", "NARIÑO", "", "50000").replace(",50000,", "50000,", 1),
-        contract_line("STATE G", "CAUCA", "2023-07-30", "3500000"),
-        contract_line("FIRM H", "HUILA", "2023-08-15", "1500000").replace(",2023", ",,2023"),
-        contract_line("COLLEGE I", "META", "2023-09-01", "4000000"),
-        contract_line("CLINIC J", "AMAZONAS", "2023-10-10", "2500000"),
+        contract_line("library", "NORTE", "2021-03-09", "812.5"),
+        contract_line("harbour", "SUR", "2021-11-30", "64000"),
+        contract_line("archive", "NORTE", "2022-07-18", "0"),
+        # One separator less before the date: it is read as the column before it.
+        contract_line("theatre", "ESTE", "2022-08-02", "990").replace(",2022", "2022"),
+        contract_line("museum", "OESTE", "2020-02-29", "15750"),
+        # One more before the price: it is read as the column after it.
+        contract_line("stadium", "SUR", "2021-05-05", "410").replace(",410", ",,410"),
+        contract_line("market", "ESTE", "2022-12-31", "2200"),
+        contract_line("bridge", "CENTRO", "2099-01-01", "7300"),
+        contract_line("tunnel", "CENTRO", "2021-09-14", "128000"),
+        contract_line("garden", "OESTE", "2022-01-22", "15"),
+        # And one before the date, which moves both.
+        contract_line("tower", "NORTE", "2020-10-10", "3600").replace(",2020", ",,2020"),
+        contract_line("well", "PEÑA", "2022-06-01", "45.25"),
     ]
     path = tmp_path / "contracts.csv"
     path.write_text("\n".join([",".join(HEADER), *lines]) + "\n", encoding="utf-8")

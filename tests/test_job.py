@@ -1,10 +1,12 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 
 from decantry.plans.job import parse_args, run
 from decantry.plans.lakehouse import Lakehouse
 from decantry.session import work_folder
+from decantry.sources import commit_metrics
 
 
 def test_options():
@@ -19,11 +21,15 @@ def test_run_from_options(spark, tmp_path, contracts_csv):
     options = ["--lakehouse-root", str(tmp_path), "--mode", "prod", "--run-reprocess",
                "--gold-table", "best", "--pipeline-version", "v9"]
     summary = run(spark, parse_args([*options, "--input-path", contracts_csv]))
-    assert (summary.total, summary.clean, summary.alert, summary.moved) == (10, 6, True, 0)
+    assert (summary.total, summary.clean, summary.alert, summary.moved) == (12, 7, True, 0)
     lake = Lakehouse(str(tmp_path), gold_table="best")
     assert lake.gold.read(spark).count() == 6
     versions = lake.quarantine.read(spark).select("_pipeline_version").distinct().collect()
     assert [r[0] for r in versions] == ["v9"]
+    sizes = {r["layer"]: r["bytes"] for r in commit_metrics(spark, lake.commit_logs()).collect()}
+    for layer in ("bronze", "quarantine"):  # silver's last commit is what was moved: nothing
+        files = Path(getattr(lake, layer).path).glob("*.parquet")
+        assert sizes[layer] == sum(f.stat().st_size for f in files)
 
 
 def test_run_without_bronze(spark, tmp_path):
@@ -42,5 +48,5 @@ def test_snapshot_from_options(spark, tmp_path, contracts_csv):
     options = ["--lakehouse-root", str(tmp_path), "--snapshot", "--input-path", contracts_csv]
     for _ in range(2):
         summary = run(spark, parse_args(options))
-        assert (summary.total, summary.clean, summary.quarantine) == (10, 6, 4)
+        assert (summary.total, summary.clean, summary.quarantine) == (12, 8, 4)
         assert not summary.alert

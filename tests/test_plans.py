@@ -15,8 +15,9 @@ from decantry.plans import (
     refresh_gold,
     reprocess,
 )
-from decantry.plans.runs import Summary, _as_silver, _settled_ids
-from decantry.sources import CONTRACT_SCHEMA, commit_metrics
+from decantry.operators.identity import with_identity
+from decantry.plans.runs import Summary, _as_silver, _settled_ids, new_rows
+from decantry.sources import CONTRACT_SCHEMA, commit_metrics, read_contracts
 
 from conftest import HEADER, contract_line
 
@@ -62,70 +63,72 @@ def entities(df):
 def test_golden_run(spark, any_lake, contracts_csv):
     lake = any_lake
     out = refine(spark, job(lake, mode="prod"), contracts_csv)
-    assert (out.total, out.clean, out.quarantine) == (10, 6, 4)
-    assert out.reject_pct == 40.0 and out.alert and out.moved is None
-    assert out.as_frame(spark).first()["reject_pct"] == 40.0
+    assert (out.total, out.clean, out.quarantine) == (12, 7, 5)
+    assert out.reject_pct == 100.0 * 5 / 12 and out.alert and out.moved is None
+    assert out.as_frame(spark).first()["reject_pct"] == 100.0 * 5 / 12
 
     silver = lake.silver.read(spark)
     extremes = silver.agg(F.min("Precio_Base"), F.max("Precio_Base")).first()
-    assert tuple(extremes) == (2000000, 4500000)
+    assert tuple(extremes) == (15, 128000)
     assert L.CODE in silver.columns and silver.filter(F.col(L.CODE).isNotNull()).isEmpty()
     held = lake.read_quarantine(spark)
     pairs = sorted((r[L.CODE], r[L.REJECT_REASON]) for r in held.collect())
     assert pairs == [
         ("E001", "Precio Base nulo, Fecha de Firma nula"),
         ("E001", "Precio Base nulo, Fecha de Firma nula"),
-        ("E001", "Precio Base nulo, Fecha de Firma nula"),
+        ("E002", "Fecha de Firma futura"),
+        ("E003", "Precio Base nulo"),
         ("E004", "Precio Base <= 0"),
     ]
     assert held.columns[15:] == [
-        L.INGESTED_AT, L.SOURCE_FILE, L.INGESTED_ON, L.CHECKS, L.IS_VALID, L.REASONS, L.CODE,
-        L.REJECT_REASON, L.VALIDATED_AT, L.PIPELINE_VERSION, L.QUARANTINE_ID, L.ATTEMPTS,
+        L.INGESTED_AT, L.SOURCE_FILE, L.INGESTED_ON, L.ROW_DIGEST, L.CHECKS, L.IS_VALID, L.REASONS,
+        L.CODE, L.REJECT_REASON, L.VALIDATED_AT, L.PIPELINE_VERSION, L.QUARANTINE_ID, L.ATTEMPTS,
         L.REPROCESSED_AT,
     ]
 
     assert refresh_gold(spark, job(lake)) == 6
     gold = [tuple(r) for r in lake.gold.read(spark).collect()]
     assert gold == [
-        ("BOLIVAR", 4500000.0),
-        ("META", 4000000.0),
-        ("ANTIOQUIA", 3582652.0),
-        ("CAUCA", 3500000.0),
-        ("AMAZONAS", 2500000.0),
-        ("CUNDINAMARCA", 2000000.0),
+        ("CENTRO", 128000.0),
+        ("SUR", 64000.0),
+        ("OESTE", 15765.0),
+        ("ESTE", 2200.0),
+        ("NORTE", 812.5),
+        ("PEÑA", 45.25),
     ]
 
     metrics = commit_metrics(spark, lake.commit_logs())
     got = {r["layer"]: r for r in metrics.collect()}
-    assert {k: v["rows"] for k, v in got.items()} == {"bronze": 10, "silver": 6, "quarantine": 4}
+    assert {k: v["rows"] for k, v in got.items()} == {"bronze": 12, "silver": 7, "quarantine": 5}
     assert all(r["bytes"] > 0 for r in got.values())
     assert layer_balance(metrics).first().asDict() == {
         "table_set": "contracts",
-        "bronze_rows": 10,
-        "silver_rows": 6,
-        "quarantine_rows": 4,
+        "bronze_rows": 12,
+        "silver_rows": 7,
+        "quarantine_rows": 5,
         "silver_bytes": got["silver"]["bytes"],
         "quarantine_bytes": got["quarantine"]["bytes"],
-        "total_rows": 10,
-        "valid_pct": 60.0,
-        "rejected_pct": 40.0,
+        "total_rows": 12,
+        "valid_pct": 58.3,
+        "rejected_pct": 41.7,
     }
-    assert tuple(layer_comparison(metrics).first()) == ("contracts", 6, 4)
+    assert tuple(layer_comparison(metrics).first()) == ("contracts", 7, 5)
 
 
 def test_simple_golden_run(spark, any_lake, contracts_csv):
     lake = any_lake
-    assert ingest_snapshot(spark, lake, contracts_csv) == 10
-    assert ingest_snapshot(spark, lake, contracts_csv) == 10
-    assert refine_simple(spark, lake) == (6, 4)
-    assert refine_simple(spark, lake) == (6, 4)
+    assert ingest_snapshot(spark, lake, contracts_csv) == 12
+    assert ingest_snapshot(spark, lake, contracts_csv) == 12
+    assert refine_simple(spark, lake) == (8, 4)
+    assert refine_simple(spark, lake) == (8, 4)
     rows = {r["layer"]: r["rows"] for r in commit_metrics(spark, lake.commit_logs()).collect()}
-    assert rows == {"bronze": 10, "silver": 6, "quarantine": 4}
+    assert rows == {"bronze": 12, "silver": 8, "quarantine": 4}
     assert refresh_gold(spark, job(lake)) == 6
     held = spark.read.parquet(lake.quarantine.path)
     assert held.columns == [*CONTRACT_SCHEMA.names, L.REJECT_REASON]
     assert {tuple(r) for r in reason_counts(held).collect()} == {
-        ("Fecha de Firma nula", 3),
+        ("Fecha de Firma nula", 2),
+        ("Precio Base nulo", 1),
         ("Precio Base <= 0", 1),
     }
 
@@ -240,6 +243,82 @@ def test_a_run_that_died_is_repeated_whole_with_a_row_key(spark, lake, mixed_csv
     assert lake.quarantine.read(spark).count() == 4
 
 
+def write_csv(path, *rows):
+    lines = [contract_line(*r) for r in rows]
+    path.write_text("\n".join([",".join(HEADER), *lines]) + "\n", encoding="utf-8")
+    return str(path)
+
+
+def test_rows_that_share_a_key_are_all_kept(spark, lake, tmp_path):
+    """A key that is neither unique nor always there, and a delivery that comes again."""
+    one = write_csv(tmp_path / "1.csv", ("a", "X", "2024-01-01", "1"), ("a", "X", "", "2"))
+    two = write_csv(
+        tmp_path / "2.csv", ("a", "X", "2024-01-01", "3"), ("a", "X", "", "4"), ("a", "Y", "", "2"),
+        ("a", "X", "", "2"),
+    )
+    keyed = job(lake, row_key=["Entidad", "Fecha_de_Firma"])
+    for path in (one, two, two, one):
+        out = refine(spark, keyed, path)
+    assert (out.total, out.clean, out.quarantine) == (5, 2, 3)
+    assert lake.bronze.read(spark).count() == 5 and lake.quarantine.read(spark).count() == 3
+    ids = lake.quarantine.read(spark).select(L.QUARANTINE_ID)
+    assert ids.distinct().count() == 3
+    balance = layer_balance(commit_metrics(spark, lake.commit_logs())).first()
+    assert (balance["silver_rows"], balance["quarantine_rows"], balance["valid_pct"]) == (2, 3, 40.0)
+
+
+def test_a_corrected_delivery_arrives(spark, lake, tmp_path):
+    keyed = job(lake, row_key=["Entidad"])
+    refine(spark, keyed, write_csv(tmp_path / "1.csv", ("a", "X", "2024-01-01", "-5")))
+    refine(spark, keyed, write_csv(tmp_path / "2.csv", ("a", "X", "2024-01-01", "5")))
+    assert [r["Precio_Base"] for r in lake.silver.read(spark).collect()] == [5.0]
+    assert [r["Precio_Base"] for r in lake.quarantine.read(spark).collect()] == [-5.0]
+
+
+@pytest.mark.parametrize("key", [None, ["Entidad"]])
+def test_reprocess_moves_different_rows_of_a_key(spark, lake, tmp_path, key):
+    refine(
+        spark, job(lake, row_key=key),
+        write_csv(tmp_path / "1.csv", ("a", "X", "2024-06-02", "100"), ("a", "X", "2024-06-02", "200")),
+    )
+    day2 = job(lake, dt.date(2024, 6, 2), row_key=key)
+    assert [reprocess(spark, day2) for _ in range(2)] == [2, 0]
+    assert sorted(r["Precio_Base"] for r in lake.silver.read(spark).collect()) == [100.0, 200.0]
+
+
+def test_a_later_run_without_a_key_doubles_nothing(spark, lake, mixed_csv):
+    refine(spark, job(lake), mixed_csv)
+    out = refine(spark, job(lake, dt.date(2024, 6, 2)), reprocess_quarantine=True)
+    assert (out.clean, out.moved) == (2, 0)
+    assert entities(lake.silver.read(spark)) == ["sound", "tomorrow"]
+
+
+def test_a_new_column_passes_through_all_layers(spark, any_lake, tmp_path):
+    lake = any_lake
+    refine(spark, job(lake, once=True), write_csv(tmp_path / "1.csv", ("a", "X", "2024-01-01", "1")))
+    lines = [",".join([*HEADER, "Nueva Columna"])]
+    lines += [contract_line(e, "X", "2024-01-01", p) + ",new" for e, p in (("b", "2"), ("c", "-1"))]
+    path = tmp_path / "2.csv"
+    path.write_text("\n".join(lines) + "\n", encoding="utf-8")
+    out = refine(spark, job(lake, once=True), str(path))
+    assert (out.total, out.clean, out.quarantine) == (3, 2, 1)
+    new = {r["Entidad"]: r["Nueva_Columna"] for r in lake.silver.read(spark).collect()}
+    assert new == {"a": None, "b": "new"}
+    assert lake.quarantine.read(spark).first()["Nueva_Columna"] == "new"
+    # The first file again, now that the table is wider: its rows are known.
+    out = refine(spark, job(lake, once=True), str(tmp_path / "1.csv"))
+    assert out.total == 3
+
+
+def test_ingest_scans_bronze_without_shuffling_its_rows(spark, lake, mixed_csv):
+    refine(spark, job(lake, once=True), mixed_csv)
+    rows = with_identity(read_contracts(spark, mixed_csv))
+    plan = new_rows(job(lake, once=True), rows, lake.bronze.read(spark))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") == 2
+    assert plan.count() == 0
+
+
 def test_a_key_given_later_moves_one_of_several_copies(spark, lake, mixed_csv):
     refine(spark, job(lake), mixed_csv)
     refine(spark, job(lake))

@@ -117,15 +117,16 @@ def test_gold_reads_two_columns_and_aggregates_before_the_shuffle(spark, tmp_pat
 
 
 def test_balance_of_empty_layers(spark):
-    text = "table_set string, layer string, rows bigint, bytes bigint"
+    text = "table_set string, layer string, judged bigint, bytes bigint"
     metrics = spark.createDataFrame(
-        [("t", "bronze", 0, 0), ("t", "silver", 0, 0), ("u", "silver", 2, 1),
+        [("t", "bronze", 0, None), ("t", "silver", 0, None), ("u", "silver", 2, 1),
          ("u", "quarantine", 1, 1)],
         text,
     )
     balance = {r["table_set"]: r for r in layer_balance(metrics).collect()}
     assert (balance["t"]["valid_pct"], balance["t"]["rejected_pct"]) == (0.0, 0.0)
     assert (balance["u"]["valid_pct"], balance["u"]["rejected_pct"]) == (66.7, 33.3)
+    assert balance["t"]["silver_bytes"] is None
     assert (balance["u"]["silver_bytes"], balance["u"]["quarantine_bytes"]) == (1, 1)
     assert sorted(tuples(layer_comparison(metrics))) == [("t", 0, 0), ("u", 2, 1)]
 

@@ -56,8 +56,9 @@ def test_new_files_only_and_same_result_as_a_full_run(spark, tmp_path):
     assert layers(spark, full.lake) == got
 
 
-def test_a_batch_delivered_twice_is_stored_once_with_a_row_key(spark, tmp_path):
-    keyed = job(tmp_path / "keyed", row_key=["Entidad"])
+@pytest.mark.parametrize("key", [None, ["Entidad"]])
+def test_a_batch_delivered_twice_is_stored_once(spark, tmp_path, key):
+    keyed = job(tmp_path / "keyed", row_key=key)
     rows = spark.createDataFrame(
         [("a", dt.date(2024, 1, 1), 1.0, "f"), ("b", None, 1.0, "f")],
         "Entidad string, Fecha_de_Firma date, Precio_Base double, _source_file string",

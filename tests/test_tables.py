@@ -53,10 +53,31 @@ def test_widening_is_allowed(spark, stored, incoming):
     assert align_to(df, ddl(f"a {stored}")).schema == ddl(f"a {stored}")
 
 
-def test_declared_schema_rejects_unknown_columns(spark, tmp_path):
+def test_a_declared_schema_grows_and_keeps_its_types(spark, tmp_path):
     table = Table(str(tmp_path / "t"), schema=ddl("a int"))
-    with pytest.raises(SchemaConflict, match="surplus"):
-        table.append(spark.sql("select 1 as a, 2 as surplus"))
+    table.append(spark.sql("select 1 as a"))
+    table.append(spark.sql("select 2 as a, 'x' as surplus"))
+    table.append(spark.sql("select 3 as a"))
+    assert {tuple(r) for r in table.read(spark).collect()} == {(1, None), (2, "x"), (3, None)}
+    assert Table(table.path).read(spark).columns == ["a", "surplus"]
+    with pytest.raises(SchemaConflict, match="a:"):
+        table.append(spark.sql("select 1L as a"))
+    with pytest.raises(SchemaConflict, match="surplus:"):
+        table.append(spark.sql("select 1 as a, array(1) as surplus"))
+
+
+def test_reads_use_the_stored_schema(spark, tmp_path):
+    table = Table(str(tmp_path / "t"))
+    table.append(spark.sql("select 1 as a"))
+    table.append(spark.sql("select 1 as a, 2 as b"))
+    assert table.layout(spark).names == ["a", "b"]
+    # A table that something else has written has none, and is merged.
+    other = Table(str(tmp_path / "other"))
+    spark.sql("select 1 as a").write.parquet(other.path)
+    spark.sql("select 1 as a, 2 as b").write.mode("append").parquet(other.path)
+    assert other.layout(spark) is None and sorted(other.read(spark).columns) == ["a", "b"]
+    other.overwrite(spark.sql("select 5L as c"))
+    assert other.read(spark).columns == ["c"]
 
 
 def test_declared_schema_reads_older_files(spark, tmp_path):
@@ -125,7 +146,7 @@ def test_last_commit_of_a_delta_log(spark, tmp_path):
         CommitLog("real", "bronze", str(tmp_path / "missing")),
     ]
     got = {r["layer"]: (r["rows"], r["bytes"]) for r in commit_metrics(spark, logs).collect()}
-    assert got == {"silver": (2000, 36246), "quarantine": (0, 0), "bronze": (0, 0)}
+    assert got == {"silver": (2000, 36246), "quarantine": (0, None), "bronze": (0, None)}
 
 
 def test_recorded_commits(spark, tmp_path):
@@ -138,7 +159,11 @@ def test_recorded_commits(spark, tmp_path):
         "layer": "silver",
         "rows": 4,
         "bytes": 40,
+        "judged": 4,
     }
+    log.record(spark, "append", rows=1, size=None, judged=9)
+    last = commit_metrics(spark, [log]).first()
+    assert (last["rows"], last["bytes"], last["judged"]) == (1, None, 9)
 
 
 def test_stored_bytes(spark, tmp_path):
