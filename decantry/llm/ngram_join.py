@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, mix64, stored, text_of
+from .common import free_name, join_unique, mix64, stored, text_of
 from .components import components
 from .substring import WordHashes, rolling
 
@@ -123,7 +123,7 @@ def _candidate_groups(classes: DataFrame) -> DataFrame:
         .filter(F.col("least") != F.col("most"))
         .select("bucket", "least")
     )
-    edges = placed.join(buckets, "bucket").select("node", "least")
+    edges = join_unique(placed, buckets, "bucket").select("node", "least")
     found = components(edges)
     return found.unionByName(found.select("root", "root").toDF("node", "root").distinct())
 
@@ -168,11 +168,13 @@ def _forest(n: int, linked: list[tuple[int, int]]) -> list[int]:
     return [root(i) for i in range(n)]
 
 
-def _links_of_task(rows: list[tuple], threshold: float) -> Iterator[tuple[bytes, int, bytes]]:
+def _links_of_task(
+    rows: list[tuple], alone: bool, threshold: float
+) -> Iterator[tuple[bytes, int, bytes]]:
     """Of the classes of one task: node, documents linked to it here, a linked node.
 
-    Rows are (block, node, copies, set). Two blocks meet: pairs within one of them are
-    left to the task where it meets itself.
+    Rows are (block, node, copies, set). Two blocks meet, of which one may be empty, or
+    one is ``alone``: pairs within a block are left to the task where it is that.
     """
     seen: set[bytes] = set()
     rows = [r for r in sorted(rows, key=lambda r: r[:2]) if not (r[1] in seen or seen.add(r[1]))]
@@ -180,7 +182,8 @@ def _links_of_task(rows: list[tuple], threshold: float) -> Iterator[tuple[bytes,
     sets = [np.frombuffer(r[3], np.uint64) for r in rows]
     blocks = [r[0] for r in rows]
     cut = blocks.count(blocks[0])
-    alone = cut == len(rows)
+    if not alone and cut == len(rows):
+        return
     mine = range(len(rows)) if alone else range(cut)
     theirs = range(len(rows)) if alone else range(cut, len(rows))
     linked = compare(sets, mine, theirs, threshold)
@@ -241,15 +244,15 @@ def _verified(
             columns = (batch.column(c).to_pylist() for c in ("block", "node", "copies", "grams"))
             for key, row in zip(keys, zip(*columns, strict=True), strict=True):
                 if rows and key != at:
-                    yield from result(rows)
+                    yield from result(at, rows)
                     rows = []
                 at = key
                 rows.append(row)
         if rows:
-            yield from result(rows)
+            yield from result(at, rows)
 
-    def result(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        found = list(_links_of_task(rows, threshold))
+    def result(key: tuple, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        found = list(_links_of_task(rows, key[1] == key[2], threshold))
         if found:
             nodes, links, to = zip(*found, strict=True)
             yield pa.RecordBatch.from_arrays(
@@ -326,7 +329,7 @@ def near_duplicates(
     own = (F.col("doc_id").eqNullSafe(F.col("head.doc_id"))) & (
         F.col("text_hash") == F.col("head.text_hash")
     )
-    return signed.join(named, "node", "left").select(
+    return join_unique(signed, named, "node", "left").select(
         "doc_id",
         "text_hash",
         F.when(F.col("head").isNull(), F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("class_id"),
