@@ -18,6 +18,7 @@ from operator import sub
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -212,7 +213,7 @@ def encode(
 
 
 @lru_cache(4)
-def byte_table(path: str, ranked: bool) -> list[bytes]:
+def byte_table(path: str, ranked: bool) -> pa.BinaryArray:
     """The bytes of each id; ids that a vocabulary leaves out have none."""
     if ranked:
         pairs = [(r, t) for t, r in read_ranks(path).items()]
@@ -222,7 +223,18 @@ def byte_table(path: str, ranked: bool) -> list[bytes]:
     out = [b""] * (max(i for i, _ in pairs) + 1)
     for i, t in pairs:
         out[i] = t
-    return out
+    return pa.array(out, pa.binary())
+
+
+def bytes_of(ids: pa.ListArray, table: pa.BinaryArray) -> pa.BinaryArray:
+    """The bytes of each list of ids, taken from the table all at once."""
+    tokens = table.take(ids.flatten())
+    ends = np.cumsum(np.append(0, pc.list_value_length(ids).fill_null(0).to_numpy()))
+    _, offsets, data = tokens.buffers()
+    at = np.frombuffer(offsets, np.int32, len(tokens) + 1, 4 * tokens.offset)
+    return pa.BinaryArray.from_buffers(
+        pa.binary(), len(ids), [None, pa.py_buffer(at[ends].astype(np.int32)), data]
+    )
 
 
 def decode(tokens: DataFrame, path: str, ranked: bool = False) -> DataFrame:
@@ -237,18 +249,14 @@ def decode(tokens: DataFrame, path: str, ranked: bool = False) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = byte_table(path, ranked)
         for batch in batches:
-            ids = batch.column("ids")
             for start in range(0, len(batch), 256):
                 rows = batch.slice(start, 256)
-                raw = [
-                    b"".join([table[i] for i in x or ()])
-                    for x in ids.slice(start, 256).to_pylist()
-                ]
+                raw = bytes_of(rows.column("ids"), table)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(rows.column(f.name) for f in others),
-                        pa.array(raw, pa.binary()),
-                        pa.array([x.decode("utf-8", "replace") for x in raw], pa.string()),
+                        raw,
+                        pa.array([x.decode("utf-8", "replace") for x in raw.to_pylist()], pa.string()),
                     ],
                     names=[*(f.name for f in others), "bytes", "decoded"],
                 )

@@ -47,6 +47,21 @@ def stored(df: DataFrame, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_unique(rows: DataFrame, unique: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with a table that was aggregated by ``key``.
+
+    The join is on a struct of the key, so that the aggregate is shuffled once more
+    rather than joined where it lies. It is small next to ``rows``, and only then can
+    adaptive execution split the rows of a hot key over several tasks.
+    """
+    match = free_name("match", rows, unique)
+    return (
+        rows.withColumn(match, F.struct(key))
+        .join(unique.withColumn(match, F.struct(key)).drop(key), match, how)
+        .drop(match)
+    )
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the checkpoint folder, with its partitions and their order."""
     context = df.sparkSession.sparkContext

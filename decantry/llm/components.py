@@ -11,14 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import join_unique, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
     return (
-        both.join(least, "a")
+        join_unique(both, least, "a")
         .filter(F.col("b") > F.col("a"))
         .select(F.col("b").alias("a"), F.col("m").alias("b"))
         .distinct()
@@ -27,7 +27,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").filter(F.col("b") != F.col("m"))
+    moved = join_unique(edges, least, "a").filter(F.col("b") != F.col("m"))
     return (
         moved.select(F.col("b").alias("a"), F.col("m").alias("b"))
         .unionByName(least.select("a", F.col("m").alias("b")))

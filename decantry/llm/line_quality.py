@@ -11,6 +11,7 @@ are added up within each task before they meet.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -86,9 +87,14 @@ def normal_line(line: Column) -> Column:
 
 
 def judge(
-    docs: DataFrame, host: str = "source", text: str = "text", limits: Limits = Limits()
+    docs: DataFrame,
+    host: str = "source",
+    text: str = "text",
+    limits: Limits = Limits(),
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``row``, which has all columns of ``docs``, next to its counts and verdicts.
+    """``row``, which has all columns of ``docs`` or those to ``keep``, next to its counts
+    and verdicts. What is kept is shuffled, so a caller without use for texts leaves them out.
 
     ``base_failed`` is the verdict of the rules on single texts; ``kept`` is false for
     those and for depleted documents. ``n_boilerplate_words`` are words in lines above
@@ -101,8 +107,10 @@ def judge(
     long = lambda c: c.cast("long")
     lines = F.filter(F.split("body", "\n"), has_word)
     judged = (
-        docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-        .select("row", *_host_and_text(F.col(f"row.{host}"), F.col(f"row.{text}")))
+        docs.select(
+            F.struct(*(F.col(f"`{c}`") for c in keep or docs.columns)).alias("row"),
+            *_host_and_text(F.col(host), F.col(text)),
+        )
         .withColumn("words", words_of(F.col("body")))
         .withColumn("runs", sorted_runs(F.col("words")))
         .withColumn("places", repeated_places(F.col("runs")))

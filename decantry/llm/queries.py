@@ -216,7 +216,8 @@ from judged
 @query(QUALITY_SQL)
 def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return line_quality.judge(docs).select(F.col("row.doc_id").alias("doc_id"), "*").drop("row")
+    judged = line_quality.judge(docs, keep=["doc_id"])
+    return judged.select(F.col("row.doc_id").alias("doc_id"), "*").drop("row")
 
 
 JACCARD_SQL = r"""

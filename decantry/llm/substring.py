@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, stored, text_of
+from .common import join_unique, mix64, stored, text_of
 
 WINDOW = 50
 RUN = 8
@@ -295,7 +295,7 @@ def repeated_windows(
         )
     )
     leaders = noted.groupBy("same").agg(F.min("doc_id").alias("leader"))
-    marked = noted.join(leaders, "same")
+    marked = join_unique(noted, leaders, "same")
     copies = marked.filter(F.col("doc_id") > F.col("leader")).select(
         "doc_id", "text_hash", F.lit(None).cast("array<int>").alias("starts")
     )
@@ -321,7 +321,7 @@ def repeated_windows(
         .select("minimiser", (F.col("places") > hot).alias("hot"))
     )
     wanted = stored(
-        places.join(shared, "minimiser")
+        join_unique(places, shared, "minimiser")
         .groupBy("doc_id", "text_hash")
         .agg(F.collect_set(F.struct("start", "n_windows", "minimiser", "hot")).alias("places"))
     )
