@@ -11,7 +11,7 @@ are added up within each task before they meet.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -34,6 +34,12 @@ class Limits:
     min_left: float = 0.5
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once however often it is used there: a
+    lambda that refers to a column may else compute it anew for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def sorted_runs(words: Column, span: int = 3) -> Column:
     """The hash and place of each run of ``span`` words, in the order of hashes; else NULL."""
     return F.when(
@@ -112,8 +118,9 @@ def judge(
             *_host_and_text(F.col(host), F.col(text)),
         )
         .withColumn("words", words_of(F.col("body")))
-        .withColumn("runs", sorted_runs(F.col("words")))
-        .withColumn("places", repeated_places(F.col("runs")))
+        .withColumn(
+            "places", let(F.col("words"), lambda ws: let(sorted_runs(ws), repeated_places))
+        )
         .select(
             "row",
             "host",
