@@ -7,9 +7,12 @@ a Kneser-Ney model whose lower orders count the distinct n-grams that an ending
 class counts for itself only what it has seen more than ``DISCOUNT`` times.
 
 Counting and the joins that give each n-gram its log-likelihood ratio run over all
-labelled rows, on Spark. Scoring looks ratios up in a table of ``SLOTS`` places, which
-is what is broadcast; of n-grams in one slot the most frequent one has it, and a tag
-tells the others apart. An n-gram that neither class has seen counts as 0.
+labelled rows, on Spark, and all ratios are kept in a stored table. Of these, scoring
+broadcasts the most frequent one of each of ``SLOTS`` places. A place is marked where
+others fell into it too; what a text needs of those is joined to it from the stored
+table, so each n-gram has its own ratio however many there are.
+
+An n-gram that neither class has seen counts as 0.
 
 A document's score comes from length-normalised ratios: the mean per byte, and those of
 its most telling words. A logistic model of these is fitted on a part of the labelled
@@ -19,16 +22,17 @@ rows that the counts leave out, on at most ``SAMPLE_ROWS`` of them.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .boosted_trees import labelled_sample
-from .common import mix64, stored
+from .common import in_chunks, join_unique, mix64, stored, text_of
 
 ORDER = 5
 SHARED_DISCOUNT = 0.75
@@ -36,6 +40,9 @@ DISCOUNT = 4
 SLOTS = 1 << 22
 SAMPLE_ROWS = 20_000
 FEATURES = 10
+STEPS = 1
+CLASSES = ("toxic", "ordinary")
+BROADCAST_KEYS = 1 << 20
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -61,25 +68,63 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes[inside], np.flatnonzero(space[inside]), sizes - 1
 
 
-def slots_of(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    mixed = mix64(codes.astype(np.uint64))
-    return (mixed % np.uint64(SLOTS)).astype(np.int64), (mixed >> np.uint64(57)).astype(np.uint8) + 1
+def keys_of(codes: np.ndarray, step: int) -> np.ndarray:
+    """What to look up: the n-gram, its context, the n-gram one byte shorter, and so on."""
+    order = ORDER - step // 2
+    ending = codes & np.uint64((1 << (8 * order)) - 1)
+    return (ending >> np.uint64(8) if step % 2 else ending) | np.uint64(step << 8 * ORDER)
+
+
+def slots_of(keys: np.ndarray, slots: int = SLOTS) -> tuple[np.ndarray, np.ndarray]:
+    """The place of each key, and a tag above 0 that tells it from all others there."""
+    mixed = mix64(keys.astype(np.uint64))
+    return (mixed % np.uint64(slots)).astype(np.int64), (mixed // np.uint64(slots)).astype(np.int64) + 1
 
 
 @dataclass(frozen=True)
 class Ratios:
-    """Log-likelihood ratios by slot; a tag of 0 is an empty slot."""
+    """Log-likelihood ratios by slot; a tag of 0 is an empty slot, and a crowded one has
+    more keys than the one that is here."""
 
     tag: np.ndarray
     ratio: np.ndarray
-
-    def of(self, codes: np.ndarray) -> np.ndarray:
-        slot, tag = slots_of(codes)
-        return np.where(self.tag[slot] == tag, self.ratio[slot], np.float32(0)).astype(np.float64)
-
-
-def features(texts: list[str | None], table: Ratios) -> np.ndarray:
-    """Length-normalised ratios of each text and of its most telling words."""
+    crowded: np.ndarray
+
+    def of(self, codes: np.ndarray, more: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+        return self.walk(codes, more)[0]
+
+    def walk(
+        self, codes: np.ndarray, more: tuple[np.ndarray, np.ndarray] | None = None
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ratio of each code by its first key that is here or in ``more`` (sorted
+        keys, ratios), and the places and keys that this table can't tell."""
+        out = np.zeros(len(codes))
+        todo = np.arange(len(codes))
+        places, asked = [], []
+        for step in range(STEPS):
+            keys = keys_of(codes[todo], step)
+            slot, tag = slots_of(keys, len(self.tag))
+            known = self.tag[slot] == tag
+            out[todo[known]] = self.ratio[slot[known]]
+            unsure = np.flatnonzero(~known & self.crowded[slot])
+            places.append(todo[unsure])
+            asked.append(keys[unsure])
+            if more is not None and len(more[0]) and len(unsure):
+                at = np.minimum(np.searchsorted(more[0], keys[unsure]), len(more[0]) - 1)
+                found = more[0][at] == keys[unsure]
+                out[todo[unsure[found]]] = more[1][at[found]]
+                known[unsure[found]] = True
+            todo = todo[~known]
+            if not len(todo):
+                break
+        return out, np.concatenate(places), np.concatenate(asked)
+
+
+def features(
+    texts: list[str | None], table: Ratios, keys: pa.Array | None = None, ratios: pa.Array | None = None
+) -> np.ndarray:
+    """Length-normalised ratios of each text and of its most telling words. ``keys`` and
+    ``ratios`` are lists per text of what the table does not have."""
     out = np.zeros((len(texts), FEATURES))
     first = 0
     while first < len(texts):
@@ -88,7 +133,15 @@ def features(texts: list[str | None], table: Ratios) -> np.ndarray:
             size += len(texts[last] or "")
             last += 1
         codes, ends, sizes = grams([t or "" for t in texts[first:last]])
-        sums = np.append(0, np.cumsum(table.of(codes)))
+        more = None
+        if keys is not None:
+            own_keys, at = np.unique(
+                keys.slice(first, last - first).flatten().to_numpy(zero_copy_only=False).astype(np.uint64),
+                return_index=True,
+            )
+            own_ratios = ratios.slice(first, last - first).flatten().to_numpy(zero_copy_only=False)
+            more = own_keys, own_ratios[at]
+        sums = np.append(0, np.cumsum(table.of(codes, more)))
         words = np.diff(np.append(0, sums[ends + 1]))
         text_ends = np.cumsum(sizes)
         word_ends = np.searchsorted(ends, text_ends)
@@ -138,80 +191,164 @@ def _counted(rows: DataFrame) -> DataFrame:
     )
 
 
-def _shared(counted: DataFrame) -> DataFrame:
-    """``code`` and ``p``: the Kneser-Ney probability of a byte after the ones before it."""
-    levels = {ORDER: counted.select("code", (F.col("toxic") + F.col("ordinary")).alias("n"))}
+def _levels(counted: DataFrame) -> dict[int, DataFrame]:
+    """By order: ``code``, how often it is there, in all (``n``) and by class, and ``p``, the
+    Kneser-Ney probability of a byte after the ones before it. Lower orders count the
+    distinct n-grams that have the ending."""
+    levels = {ORDER: counted.select("code", (F.col("toxic") + F.col("ordinary")).alias("n"), *CLASSES)}
     for order in range(ORDER - 1, 0, -1):
         ending = F.col("code").bitwiseAND((1 << (8 * order)) - 1)
         levels[order] = stored(
-            levels[order + 1].groupBy(ending.alias("code")).agg(F.count("*").alias("n"))
+            levels[order + 1]
+            .groupBy(ending.alias("code"))
+            .agg(F.count("*").alias("n"), *(F.count_if(F.col(c) > 0).alias(c) for c in CLASSES))
         )
-    p = None
     for order in range(1, ORDER + 1):
         level = levels[order].withColumn("context", F.shiftrightunsigned("code", 8))
         totals = level.groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
         level = level.join(totals, "context")
-        if p is None:
+        if order == 1:
             level = level.withColumn("lower", F.lit(1 / 256))
         else:
             ending = F.col("code").bitwiseAND((1 << (8 * order - 8)) - 1)
             level = level.withColumn("ending", ending).join(
-                p.select(F.col("code").alias("ending"), F.col("p").alias("lower")), "ending"
+                levels[order - 1].select(F.col("code").alias("ending"), F.col("p").alias("lower")), "ending"
             )
         own = F.greatest(F.col("n") - SHARED_DISCOUNT, F.lit(0.0))
-        p = level.select(
-            "code",
-            ((own + SHARED_DISCOUNT * F.col("kinds") * F.col("lower")) / F.col("total")).alias("p"),
+        levels[order] = stored(
+            level.select(
+                "code",
+                "n",
+                *CLASSES,
+                ((own + SHARED_DISCOUNT * F.col("kinds") * F.col("lower")) / F.col("total")).alias("p"),
+            )
         )
-    return p
+    return levels
 
 
-def ratio_rows(rows: DataFrame) -> DataFrame:
-    """``code``, ``n`` and ``ratio``, the log of the toxic over the ordinary likelihood."""
-    counted = _counted(rows).withColumn("context", F.shiftrightunsigned("code", 8))
+def _ratios(level: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``code``, ``n`` and ``ratio``, the log of the toxic over the ordinary likelihood, of
+    the n-grams of one order, and the same of their contexts for what was not seen there."""
+    counted = level.withColumn("context", F.shiftrightunsigned("code", 8))
     sums = {
         f"{c}_{kind}": F.sum(F.least(F.col(c), F.lit(DISCOUNT)) if kind == "off" else F.col(c))
-        for c in ("toxic", "ordinary")
+        for c in CLASSES
         for kind in ("all", "off")
     }
-    contexts = counted.groupBy("context").agg(*(v.alias(k) for k, v in sums.items()))
-    both = counted.join(contexts, "context").join(_shared(counted.drop("context")), "code")
+    contexts = counted.groupBy("context").agg(
+        F.sum("n").alias("context_n"), *(v.alias(k) for k, v in sums.items())
+    )
+
+    def weight(c: str) -> Column:
+        known = F.col(f"{c}_all") > 0
+        return F.when(known, F.col(f"{c}_off") / F.col(f"{c}_all")).otherwise(F.lit(1.0))
 
     def likelihood(c: str) -> Column:
         own = F.greatest(F.col(c) - DISCOUNT, F.lit(0)) + F.col(f"{c}_off") * F.col("p")
         return F.when(F.col(f"{c}_all") > 0, own / F.col(f"{c}_all")).otherwise(F.col("p"))
 
-    return both.select(
-        "code",
-        (F.col("toxic") + F.col("ordinary")).alias("n"),
-        F.ln(likelihood("toxic") / likelihood("ordinary")).alias("ratio"),
+    grams = counted.join(contexts, "context").select(
+        "code", "n", F.ln(likelihood("toxic") / likelihood("ordinary")).alias("ratio")
+    )
+    unseen = contexts.select(
+        F.col("context").alias("code"),
+        F.col("context_n").alias("n"),
+        F.ln(weight("toxic") / weight("ordinary")).alias("ratio"),
     )
+    return grams, unseen
 
 
-def ratio_table(ratios: DataFrame) -> Ratios:
-    """At most ``SLOTS`` ratios, which is what comes to the driver."""
+def ratio_rows(rows: DataFrame) -> DataFrame:
+    """``code``, ``n`` and ``ratio`` of the n-grams of the highest order."""
+    return _ratios(_levels(_counted(rows))[ORDER])[0]
 
-    @F.pandas_udf("slot int, tag int")
+
+def all_ratios(rows: DataFrame) -> DataFrame:
+    """``code``, ``n`` and ``ratio`` of n-grams and contexts of all orders, by ``keys_of``."""
+    levels = _levels(_counted(rows))
+    every = None
+    for step in range(STEPS):
+        own = _ratios(levels[ORDER - step // 2])[step % 2]
+        own = own.withColumn("code", F.col("code").bitwiseOR(step << 8 * ORDER))
+        every = own if every is None else every.union(own)
+    return stored(every.withColumn("ratio", F.col("ratio").cast("float")))
+
+
+def ratio_table(ratios: DataFrame, slots: int = SLOTS) -> Ratios:
+    """The most frequent key of each of ``slots`` places, which is what comes to the driver."""
+
+    @F.pandas_udf("slot long, tag long")
     def place(codes: pd.Series) -> pd.DataFrame:
-        slot, tag = slots_of(codes.to_numpy())
+        slot, tag = slots_of(codes.to_numpy(), slots)
         return pd.DataFrame({"slot": slot, "tag": tag})
 
     best = (
         ratios.withColumn("place", place("code"))
         .groupBy("place.slot")
-        .agg(F.max(F.struct("n", "code", "place.tag", "ratio")).alias("best"))
-        .select("slot", F.col("best.tag").alias("tag"), F.col("best.ratio").cast("float").alias("ratio"))
+        .agg(
+            F.max(F.struct("n", "code", "place.tag", "ratio")).alias("best"),
+            (F.count("*") > 1).alias("crowded"),
+        )
+        .select(
+            "slot",
+            F.col("best.tag").alias("tag"),
+            F.col("best.ratio").cast("float").alias("ratio"),
+            "crowded",
+        )
         .toArrow()
     )
-    tag, ratio = np.zeros(SLOTS, np.uint8), np.zeros(SLOTS, np.float32)
+    tag, ratio, crowded = np.zeros(slots, np.int64), np.zeros(slots, np.float32), np.zeros(slots, bool)
     slot = best.column("slot").to_numpy()
     tag[slot], ratio[slot] = best.column("tag").to_numpy(), best.column("ratio").to_numpy()
-    return Ratios(tag, ratio)
+    crowded[slot] = best.column("crowded").to_numpy()
+    return Ratios(tag, ratio, crowded)
+
+
+def _with_rest(rows: DataFrame, shared: Broadcast, ratios: DataFrame) -> DataFrame:
+    """``rows`` with ``keys`` and ``ratios`` that their ``text`` needs besides the broadcast
+    table; NULL where there are none."""
+    hashed = F.xxhash64(text_of("text")).alias("text_hash")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, hashes = batch.column("text").to_pylist(), batch.column("text_hash").to_numpy()
+            for first, last in in_chunks(texts):
+                codes, _, sizes = grams([t or "" for t in texts[first:last]])
+                _, at, keys = shared.value.walk(codes)
+                pairs = np.unique(
+                    np.column_stack(
+                        [np.searchsorted(np.cumsum(sizes), at, side="right"), keys.astype(np.int64)]
+                    ),
+                    axis=0,
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashes[first:last][pairs[:, 0]]), pa.array(pairs[:, 1])],
+                    names=["text_hash", "code"],
+                )
+
+    if not shared.value.crowded.any():
+        none = F.lit(None)
+        return rows.select(
+            "*", none.cast("array<long>").alias("keys"), none.cast("array<float>").alias("ratios")
+        )
+    asked = rows.select(hashed, "text").mapInArrow(ask, "text_hash long, code long").distinct()
+    found = stored(
+        join_unique(asked, ratios.select("code", "ratio"), "code")
+        .groupBy("text_hash")
+        .agg(F.collect_list(F.struct("code", "ratio")).alias("found"))
+        .select("text_hash", F.col("found.code").alias("keys"), F.col("found.ratio").alias("ratios"))
+    )
+    n = found.agg(F.coalesce(F.sum(F.size("keys") + 8), F.lit(0))).first()[0]
+    rows = rows.select("*", hashed)
+    if n <= BROADCAST_KEYS:
+        return rows.join(F.broadcast(found), "text_hash", "left").drop("text_hash")
+    return join_unique(rows, found, "text_hash", "left").drop("text_hash")
 
 
 @dataclass(frozen=True)
 class Model:
-    table: Ratios
+    table: Ratios | None
+    ratios: DataFrame | None
     middle: np.ndarray
     spread: np.ndarray
     weights: np.ndarray
@@ -252,6 +389,7 @@ def train(
     doc_id: str = "doc_id",
     text: str = "text",
     sample_rows: int = SAMPLE_ROWS,
+    slots: int = SLOTS,
 ) -> Model:
     """Fit both models and the score. ``learn_from`` is a condition on ``doc_id``.
 
@@ -269,22 +407,26 @@ def train(
         .agg((F.max(label) == 1).alias("label"))
         .filter(learn_from & ~for_score)
     )
+    sample = stored(labelled_sample(labels, label, learn_from & for_score, sample_rows))
     learnt = rows.filter(learn_from & ~for_score).join(known.hint("shuffle_hash"), "doc_id")
-    table = ratio_table(ratio_rows(learnt))
+    ratios = all_ratios(learnt)
+    table = ratio_table(ratios, slots)
     shared = spark.sparkContext.broadcast(table)
-    sample = labelled_sample(labels, label, learn_from & for_score, sample_rows)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = features(batch.column("text").to_pylist(), shared.value)
+            texts = batch.column("text").to_pylist()
+            x = features(texts, shared.value, batch.column("keys"), batch.column("ratios"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("label"), pa.array(list(x), pa.list_(pa.float64()))],
                 names=["doc_id", "label", "x"],
             )
 
+    sampled = rows.join(F.broadcast(sample), "doc_id").select(  # at most sample_rows ids and labels
+        "doc_id", (F.col("label") == 1).cast("double").alias("label"), "text"
+    )
     seen = (
-        rows.join(F.broadcast(sample), "doc_id")  # at most sample_rows ids and labels
-        .select("doc_id", (F.col("label") == 1).cast("double").alias("label"), "text")
+        _with_rest(sampled, shared, ratios)
         .mapInArrow(work, f"doc_id {kind}, label double, x array<double>")
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"), F.min("x").alias("x"))
@@ -292,21 +434,22 @@ def train(
         .toArrow()
     )
     x = np.array(seen.column("x").to_pylist(), np.float64).reshape(-1, FEATURES)
-    return Model(table, *logistic(x, seen.column("label").to_numpy()))
+    return Model(table, ratios, *logistic(x, seen.column("label").to_numpy()))
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id`` and ``score`` of each row; NULL texts score as empty ones."""
     kind = docs.schema[doc_id].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model.table)
+    fit = replace(model, table=None, ratios=None)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            model = shared.value
-            scores = model.score(features(batch.column(1).to_pylist(), model.table))
+            texts = batch.column("text").to_pylist()
+            x = features(texts, shared.value, batch.column("keys"), batch.column("ratios"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"]
+                [batch.column("doc_id"), pa.array(fit.score(x), pa.float64())], names=["doc_id", "score"]
             )
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(work, f"doc_id {kind}, score double")
+    return _with_rest(rows, shared, model.ratios).mapInArrow(work, f"doc_id {kind}, score double")

@@ -137,3 +137,18 @@ def test_the_table_keeps_the_most_frequent_of_a_slot(spark, monkeypatch):
     for slot, rows_here in kept.items():
         assert table.ratio[slot] == pytest.approx(max(rows_here)[2], rel=1e-5, abs=1e-6)
     assert (table.of(np.array([123456789], np.uint64)) == 0).all()
+
+
+def test_ratios_do_not_depend_on_the_number_of_slots(spark):
+    rows = sample(300)
+    table, labels = tables(spark, rows)
+    few, many = (K.train(table, labels, "toxic", F.col("doc_id") < 250, slots=n) for n in (16, K.SLOTS))
+    assert few.table.crowded.all()
+    got, want = ({r.doc_id: r.score for r in K.score(table, m).collect()} for m in (few, many))
+    assert len(got) == 300 and got == pytest.approx(want, abs=1e-9)
+
+
+def test_tags_tell_all_keys_of_a_slot_apart():
+    keys = np.arange(200_000, dtype=np.uint64)
+    slot, tag = K.slots_of(keys, 64)
+    assert len(set(zip(slot.tolist(), tag.tolist(), strict=True))) == len(keys) and tag.min() > 0
