@@ -4,7 +4,7 @@ An n-gram is the last ``ORDER`` bytes of a word up to a place in it, lower-case,
 leading space included and nothing before that; so rare and inflected forms share what
 their beginnings have in common. Both classes back off to one model of all learnt texts:
 a Kneser-Ney model whose lower orders count the distinct n-grams that an ending has. A
-class counts for itself only what it has seen more than ``DISCOUNT`` times.
+class discounts each count by ``DISCOUNT`` and gives that mass to the shared model.
 
 Counting and the joins that give each n-gram its log-likelihood ratio run over all
 labelled rows, on Spark, and all ratios are kept in a stored table. Of these, scoring
@@ -12,7 +12,9 @@ broadcasts the most frequent one of each of ``SLOTS`` places. A place is marked
 others fell into it too; what a text needs of those is joined to it from the stored
 table, so each n-gram has its own ratio however many there are.
 
-An n-gram that neither class has seen counts as 0.
+Of an n-gram that neither class has seen, the likelihoods differ by the weight each
+class gives to the shared model after that context. Where neither has seen the context,
+it is shortened by a byte, down to none; lower orders of a class count distinct n-grams.
 
 A document's score comes from length-normalised ratios: the mean per byte, and those of
 its most telling words. A logistic model of these is fitted on a part of the labelled
@@ -36,11 +38,11 @@ from .common import in_chunks, join_unique, mix64, stored, text_of
 
 ORDER = 5
 SHARED_DISCOUNT = 0.75
-DISCOUNT = 4
+DISCOUNT = 0.75
 SLOTS = 1 << 22
 SAMPLE_ROWS = 20_000
 FEATURES = 10
-STEPS = 1
+STEPS = 2 * ORDER
 CLASSES = ("toxic", "ordinary")
 BROADCAST_KEYS = 1 << 20
 

@@ -152,3 +152,40 @@ def test_tags_tell_all_keys_of_a_slot_apart():
     keys = np.arange(200_000, dtype=np.uint64)
     slot, tag = K.slots_of(keys, 64)
     assert len(set(zip(slot.tolist(), tag.tolist(), strict=True))) == len(keys) and tag.min() > 0
+
+
+def class_level(rows, order):
+    """Counts by class at an order; below the highest, distinct n-grams with the ending."""
+    out = []
+    for toxic in (True, False):
+        counts = Counter(code(g) for label, t in rows for g in grams(t) if label == toxic)
+        for k in range(K.ORDER - 1, order - 1, -1):
+            counts = Counter(c % 256**k for c in counts)
+        out.append(counts)
+    return out
+
+
+def test_unseen_ngrams_take_the_weights_of_their_context(spark):
+    rows = [(True, "vile vilest vila"), (False, "good goodly vigo goal"), (True, "grim")]
+    frame = spark.createDataFrame(rows, "label boolean, text string")
+    table = K.ratio_table(K.all_ratios(frame))
+
+    def weights(context, order):
+        logs = []
+        for counts in class_level(rows, order):
+            own = [n for c, n in counts.items() if c >> 8 == context]
+            logs.append(math.log(sum(min(n, K.DISCOUNT) for n in own) / sum(own)) if own else 0.0)
+        return logs[0] - logs[1]
+
+    got = table.of(np.array([code(b" vilx"), code(b"qvigx"), code(b"zzzzq")], np.uint64))
+    assert got[0] == pytest.approx(weights(code(b" vil"), 5), abs=1e-6) and abs(got[0]) > 0.01
+    # Nothing was seen after "qvig" or is "vigx": the context of order 4 decides.
+    assert got[1] == pytest.approx(weights(code(b"vig"), 4), abs=1e-6) and abs(got[1]) > 0.01
+    assert got[2] == pytest.approx(weights(0, 1), abs=1e-6)
+
+
+def test_a_toxic_word_counts_from_its_first_occurrence(spark):
+    rows = [(True, "vile")] + [(False, "good day")] * 9
+    frame = spark.createDataFrame(rows, "label boolean, text string")
+    ratios = {r.code: r.ratio for r in K.ratio_rows(frame).collect()}
+    assert ratios[code(b" vile")] > 0.05 and ratios[code(b"vile ")] > 0.05
