@@ -92,6 +92,11 @@ class Ratios:
     ratio: np.ndarray
     crowded: np.ndarray
 
+    def __reduce__(self):
+        # What is sent has the filled places only.
+        slot = np.flatnonzero(self.tag).astype(np.int32)
+        return _filled, (len(self.tag), slot, self.tag[slot], self.ratio[slot], self.crowded[slot])
+
     def of(self, codes: np.ndarray, more: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
         return self.walk(codes, more)[0]
 
@@ -122,6 +127,14 @@ class Ratios:
         return out, np.concatenate(places), np.concatenate(asked)
 
 
+def _filled(
+    slots: int, slot: np.ndarray, tag: np.ndarray, ratio: np.ndarray, crowded: np.ndarray
+) -> Ratios:
+    table = Ratios(np.zeros(slots, np.int64), np.zeros(slots, np.float32), np.zeros(slots, bool))
+    table.tag[slot], table.ratio[slot], table.crowded[slot] = tag, ratio, crowded
+    return table
+
+
 def features(
     texts: list[str | None], table: Ratios, keys: pa.Array | None = None, ratios: pa.Array | None = None
 ) -> np.ndarray:
@@ -299,11 +312,7 @@ def ratio_table(ratios: DataFrame, slots: int = SLOTS) -> Ratios:
         )
         .toArrow()
     )
-    tag, ratio, crowded = np.zeros(slots, np.int64), np.zeros(slots, np.float32), np.zeros(slots, bool)
-    slot = best.column("slot").to_numpy()
-    tag[slot], ratio[slot] = best.column("tag").to_numpy(), best.column("ratio").to_numpy()
-    crowded[slot] = best.column("crowded").to_numpy()
-    return Ratios(tag, ratio, crowded)
+    return _filled(slots, *(best.column(c).to_numpy() for c in ("slot", "tag", "ratio", "crowded")))
 
 
 def _with_rest(rows: DataFrame, shared: Broadcast, ratios: DataFrame) -> DataFrame:
@@ -350,6 +359,7 @@ def _with_rest(rows: DataFrame, shared: Broadcast, ratios: DataFrame) -> DataFra
 @dataclass(frozen=True)
 class Model:
     table: Ratios | None
+    shared: Broadcast | None
     ratios: DataFrame | None
     middle: np.ndarray
     spread: np.ndarray
@@ -396,8 +406,8 @@ def train(
     """Fit both models and the score. ``learn_from`` is a condition on ``doc_id``.
 
     NULL ids and labels teach nothing; of several labels of an id the largest counts;
-    rows that share an id are learnt from each. A quarter of the ids, by a hash, is left
-    for the score.
+    rows that share an id are learnt from each. A quarter of the ids, by a hash, and at
+    most ``sample_rows`` of them are left for the score; all others are counted.
     """
     spark = docs.sparkSession
     kind = docs.schema[doc_id].dataType.simpleString()
@@ -407,10 +417,12 @@ def train(
         labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
         .groupBy("doc_id")
         .agg((F.max(label) == 1).alias("label"))
-        .filter(learn_from & ~for_score)
+        .filter(learn_from)
     )
     sample = stored(labelled_sample(labels, label, learn_from & for_score, sample_rows))
-    learnt = rows.filter(learn_from & ~for_score).join(known.hint("shuffle_hash"), "doc_id")
+    left_out = F.broadcast(sample.select("doc_id"))  # at most sample_rows ids
+    known = known.join(left_out, "doc_id", "left_anti")
+    learnt = rows.filter(learn_from).join(known.hint("shuffle_hash"), "doc_id")
     ratios = all_ratios(learnt)
     table = ratio_table(ratios, slots)
     shared = spark.sparkContext.broadcast(table)
@@ -436,14 +448,14 @@ def train(
         .toArrow()
     )
     x = np.array(seen.column("x").to_pylist(), np.float64).reshape(-1, FEATURES)
-    return Model(table, ratios, *logistic(x, seen.column("label").to_numpy()))
+    return Model(table, shared, ratios, *logistic(x, seen.column("label").to_numpy()))
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id`` and ``score`` of each row; NULL texts score as empty ones."""
     kind = docs.schema[doc_id].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(model.table)
-    fit = replace(model, table=None, ratios=None)
+    shared = model.shared
+    fit = replace(model, table=None, shared=None, ratios=None)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -189,3 +189,13 @@ def test_a_toxic_word_counts_from_its_first_occurrence(spark):
     frame = spark.createDataFrame(rows, "label boolean, text string")
     ratios = {r.code: r.ratio for r in K.ratio_rows(frame).collect()}
     assert ratios[code(b" vile")] > 0.05 and ratios[code(b"vile ")] > 0.05
+
+
+def test_all_rows_that_the_score_does_not_take_are_counted(spark):
+    table, labels = tables(spark, sample(200))
+    model = K.train(table, labels, "toxic", F.lit(True), sample_rows=10)
+    kept = K.labelled_sample(labels, "toxic", F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0, 10)
+    left_out = {r.doc_id for r in kept.collect()}
+    counts = Counter(code(g) for i, _, t in sample(200) if i not in left_out for g in grams(t))
+    got = {r.code: r.n for r in model.ratios.filter(F.col("code") < 1 << 8 * K.ORDER).collect()}
+    assert len(left_out) == 10 and got == counts
