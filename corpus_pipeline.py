@@ -29,9 +29,13 @@ def _counted(docs: DataFrame, changed: str, columns: list[str]) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go; the texts of the others stay as they are."""
+    """Lines that their host repeats above the limits go, and documents that the rules reject."""
     ship(spark)
-    return line_quality.judge(docs).filter("kept").select("row.*")
+    words = free_name("n_boilerplate_words", docs)
+    kept = line_quality.judge(docs).filter("kept").select("row.*", F.col("n_boilerplate_words").alias(words))
+    # The limits are of all documents, those that are rejected as well.
+    left = line_quality.without_boilerplate(kept, listed=line_quality.boilerplate(docs))
+    return _counted(left, words, docs.columns)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

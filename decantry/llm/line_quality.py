@@ -200,10 +200,17 @@ def boilerplate(
 
 
 def without_boilerplate(
-    docs: DataFrame, host: str = "source", text: str = "text", limits: Limits = Limits()
+    docs: DataFrame,
+    host: str = "source",
+    text: str = "text",
+    limits: Limits = Limits(),
+    listed: DataFrame | None = None,
 ) -> DataFrame:
-    """``docs`` with the lines above the limits taken out of its texts; no row goes."""
-    listed = boilerplate(docs, host, text, limits).select(
+    """``docs`` with the lines above the limits taken out of its texts; no row goes.
+
+    ``listed`` are the lines of a larger table, as from ``boilerplate``."""
+    listed = boilerplate(docs, host, text, limits) if listed is None else listed
+    listed = listed.select(
         F.col("host").alias("listed_host"), F.col("line").alias("listed_line")
     )
     seen = _lines(docs, host, text)

@@ -78,3 +78,27 @@ def test_five_stages_in_order():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality rules", "line dedup", "n-gram Jaccard join", "substring dedup", "packing",
     ]
+
+
+def test_lines_above_the_limits_go_from_kept_documents(spark):
+    own = lambda i: " ".join(f"x{chr(97 + i % 26)}{chr(97 + i // 26)}y{k}" for k in range(60))
+    rows = [(i, f"{own(i)}\nPage {i % 10}\nend {own(i + 500)}", "a") for i in range(25)]
+    # Rejected ones count for the limits: "short" is in 15 kept and 10 rejected documents.
+    rows = [(i, text + ("\nshort" if i < 15 else ""), host) for i, text, host in rows]
+    rows += [(100 + i, f"r{i}\nshort", "a") for i in range(10)]
+    rows += [(200, f"{own(200)}\nPage 3", "b")]
+    table = docs(spark, rows, clashing=True)
+    limits = Limits()
+    listed = test_line_quality.boilerplate(rows, limits)
+    assert {line for _, line in listed} == {"page 0", "short"}
+    want = {
+        i: "\n".join(
+            x for x in text.split("\n") if (host, test_line_quality.normal(x)) not in listed
+        )
+        for i, text, host in rows
+        if not 100 <= i < 200
+    }
+    kept = corpus_pipeline.STAGES[0][1](spark, table, "")
+    assert kept.columns == table.columns
+    got = {r.doc_id: (r.text, r.n_chars) for r in kept.collect()}
+    assert got == {i: (text, len(text)) for i, text in want.items()}
