@@ -69,6 +69,23 @@ def test_a_batch_delivered_twice_is_stored_once(spark, tmp_path, key):
     assert layers(spark, keyed.lake) == first
 
 
+def test_equal_rows_are_kept_and_a_batch_stored_in_part_is_completed(spark, tmp_path):
+    plain = job(tmp_path / "plain")
+    schema = "Entidad string, Fecha_de_Firma date, Precio_Base double, _source_file string"
+    good, bad = ("a", dt.date(2024, 1, 1), 1.0), ("b", None, 1.0)
+    first = spark.createDataFrame([(*r, "f") for r in (good, good, bad, bad)], schema)
+    append_batch(first.limit(1), plain)
+    append_batch(first, plain)
+    append_batch(first, plain)
+    once = {"bronze": [*"aabb"], "silver": [*"aa"], "quarantine": [("b", "E001")] * 2}
+    assert layers(spark, plain.lake) == once
+    append_batch(spark.createDataFrame([(*r, "g") for r in (good, bad)], schema), plain)
+    got = layers(spark, plain.lake)
+    assert got["silver"] == [*"aaa"] and got["quarantine"] == [("b", "E001")] * 3
+    held = plain.lake.quarantine.read(spark)
+    assert held.select(L.QUARANTINE_ID).distinct().count() == 3
+
+
 def test_a_stream_needs_a_contract(spark, tmp_path):
     free = Refinement(Lakehouse(str(tmp_path)))
     with pytest.raises(ValueError, match="contract"):
