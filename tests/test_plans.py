@@ -19,7 +19,7 @@ from decantry.operators.identity import with_identity
 from decantry.plans.runs import Summary, _as_silver, _settled_ids, new_rows
 from decantry.sources import CONTRACT_SCHEMA, commit_metrics, read_contracts
 
-from conftest import HEADER, contract_line
+from contract_rows import HEADER, contract_line
 
 DAY1 = dt.date(2024, 6, 1)
 

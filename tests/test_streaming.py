@@ -7,7 +7,7 @@ from decantry.plans import Lakehouse, Refinement, refine
 from decantry.sources import CONTRACT_SCHEMA
 from decantry.streaming import append_batch, refine_new_files
 
-from conftest import HEADER, contract_line
+from contract_rows import HEADER, contract_line
 
 DAY = dt.date(2024, 6, 1)
 
