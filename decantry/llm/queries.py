@@ -11,7 +11,19 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boosted_trees, byte_bpe, kneser_ney, line_dedup, line_quality, ngram_join, packing, prefix_hash, substring, url_rules
+from . import (
+    boosted_trees,
+    byte_bpe,
+    kneser_ney,
+    line_dedup,
+    line_quality,
+    ngram_join,
+    packing,
+    prefix_hash,
+    spelling,
+    substring,
+    url_rules,
+)
 from .common import SPACE_CLASS, table, text_of, words_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -363,3 +375,72 @@ def op10_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_removed",
         F.sha2(one_space.cast("binary"), 256).alias("kept_sha256"),
     )
+
+
+# Unsigned crc32 of the UTF-8 bytes of ``{text}``, byte by byte with a table made by rule.
+CRC_TABLE_SQL = """crc_steps as (
+  select list(list_reduce(range(8), lambda c, bit: case when c % 2 = 1
+                then xor(c >> 1, 3988292384) else c >> 1 end, i) order by i) as steps
+  from range(256) as r(i)
+)"""
+
+
+def crc_sql(text: str) -> str:
+    byte = f"instr('0123456789ABCDEF', substr(hex({text}), 2 * k + 1, 1)) * 16 + instr('0123456789ABCDEF', substr(hex({text}), 2 * k + 2, 1)) - 17"
+    return f"""xor(4294967295, list_reduce(list_transform(range(octet_length(encode({text}))), lambda k: {byte}),
+      lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]), 4294967295))"""
+
+
+SPELLING_SQL = rf"""
+with recursive {CRC_TABLE_SQL},
+runs as (
+  select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as n
+  from (select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) as run from documents)
+  group by 1, 2
+),
+hashed as (
+  select run, n, {crc_sql("doc_id || ':' || run")} as h from runs, crc_steps where length(run) >= 7
+),
+words as (
+  select word, sum(n)::bigint as n from (
+    select n, case when h % 31 = 0
+      then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2)
+      else run end as word
+    from hashed
+  ) where length(word) >= 7 group by word having sum(n) >= 2
+),
+holes as (
+  select word, n, i, substr(word, 1, i::int - 1) || substr(word, i::int + 1) as hole
+  from words, lateral (select unnest(range(1, length(word) + 1)) as i)
+),
+near as (
+  select a.word, b.word as near, b.n from holes a join holes b
+    on a.i = b.i and a.hole = b.hole and a.word <> b.word
+  union
+  select h.word, w.word, w.n from holes h join words w on h.hole = w.word
+  union
+  select w.word, h.word, h.n from holes h join words w on h.hole = w.word
+),
+best as (
+  select word, count(*) as n_near, arg_min(near, struct_pack(a := -n, b := near)) as near, max(n) as near_n
+  from near group by word
+),
+judged as (
+  select w.word, w.n, coalesce(b.n_near, 0) as n_near,
+         case when b.near_n >= 10 * w.n then b.near end as form,
+         case when b.near_n >= 10 * w.n then b.near_n end as form_n
+  from words w left join best b on w.word = b.word
+),
+follow as (
+  select word, word as root from judged where form is null
+  union all
+  select j.word, f.root from judged j join follow f on j.form = f.word
+)
+select j.word, j.form, f.root, j.n, j.n_near, j.form_n from judged j join follow f on j.word = f.word
+"""
+
+
+@query(SPELLING_SQL)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(spelling.count_words(docs, lose_every=31))
