@@ -19,9 +19,11 @@ from . import (
     line_quality,
     ngram_join,
     packing,
+    pii,
     prefix_hash,
     spelling,
     substring,
+    turn_trie,
     url_rules,
 )
 from .common import SPACE_CLASS, table, text_of, words_of
@@ -444,3 +446,88 @@ select j.word, j.form, f.root, j.n, j.n_near, j.form_n from judged j join follow
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return spelling.variants(spelling.count_words(docs, lose_every=31))
+
+
+@query()
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs))
+    base = F.filter("found", lambda s: s["base"])
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(count(kind) for kind in pii.KINDS),
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("found")).alias("spans"),
+    )
+
+
+TRIE_SQL = rf"""
+with {CRC_TABLE_SQL},
+said as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
+  from conversations where conv_id is not null
+),
+keyed as (select *, md5(length(role) || ':' || role || text) as k, length(text) as chars from said),
+turns as (
+  select conv_id, k, chars,
+         row_number() over (partition by conv_id order by turn nulls first, role, k) as pos
+  from keyed
+),
+convs as (
+  select conv_id, conv_id - conv_id % 100 as base, {crc_sql("conv_id::varchar")} % 6 as h
+  from (select distinct conv_id from turns), crc_steps
+),
+lent as (
+  select c.conv_id, t.pos as d, t.k, t.chars from convs c join turns t on t.conv_id = c.base and t.pos <= c.h
+),
+rebuilt as (
+  select * from lent
+  union all
+  select t.conv_id, t.pos - c.h + (select count(*) from lent l where l.conv_id = c.conv_id), t.k, t.chars
+  from turns t join convs c on t.conv_id = c.conv_id where t.pos > c.h
+),
+paths as (
+  select conv_id, d as depth, chars,
+         md5(string_agg(k, '') over (partition by conv_id order by d)) as key,
+         d = count(*) over (partition by conv_id) as last
+  from rebuilt
+  union all
+  select c.conv_id, 0, 0, '', c.conv_id not in (select conv_id from rebuilt) from convs c
+),
+nodes as (
+  select key, depth, min(conv_id) as conv_id, count(*) as n_convs, max(chars) as chars,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where last), '')) as ends_sha256
+  from paths group by key, depth
+),
+linked as (
+  select n.*, u.conv_id as parent_conv_id, u.key as parent_key
+  from nodes n left join paths p on p.conv_id = n.conv_id and p.depth = n.depth - 1
+  left join nodes u on u.key = p.key and u.depth = p.depth
+),
+kids as (select parent_key as key, depth - 1 as depth, count(*) as n from linked where depth > 0 group by 1, 2),
+counted as (
+  select l.*, coalesce(k.n, 0) as n_children from linked l left join kids k on l.key = k.key and l.depth = k.depth
+),
+sums as (
+  select p.key, p.depth, count(*) filter (where c.n_children = 0) as n_leaves,
+         sum((c.n_convs - 1) * c.chars)::bigint as saved_tokens
+  from counted c join paths p on p.conv_id = c.conv_id and p.depth <= c.depth group by 1, 2
+)
+select c.conv_id, c.depth, c.parent_conv_id, c.n_convs, c.n_children, s.n_leaves, s.saved_tokens, c.ends_sha256
+from counted c join sums s on c.key = s.key and c.depth = s.depth
+"""
+
+
+@query(TRIE_SQL)
+def op13_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = turn_trie.numbered_turns(table(spark, sf_dir, "conversations"))
+    heads = F.crc32(F.col("conv_id").cast("string")) % 6
+    base = F.col("conv_id") - F.col("conv_id") % 100
+    return turn_trie.trie(*turn_trie.spliced(turns, base, heads, most=5))

@@ -8,6 +8,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+import test_pii
 import test_prefix_hash
 import test_substring
 import tiktoken
@@ -96,6 +97,18 @@ def test_super_kmers(spark, documents):
     assert got == want
 
 
+def test_pii_base(spark, documents):
+    got = run(spark, "op12_pii").collect()
+    assert len(got) == len(documents)
+    whole = dict(documents)
+    for row in got:
+        base = [f"{k}:{s}:{e}" for k, s, e in test_pii.brute(whole[row.doc_id])]
+        for kind in test_pii.PLAIN:
+            assert row[f"n_{kind}"] == sum(b.startswith(kind) for b in base)
+        assert row.base_sha256 == sha(",".join(base))
+        assert set(base) <= set(row.spans.split(","))
+
+
 @pytest.mark.parametrize(
     "name, label, modulus, remainder, cut, least",
     [("op4_kneser_ney", "toxic", 5, 0, 0.5, 0.85), ("op9_quality_trees", "quality", 4, 2, 0.7, 0.85)],

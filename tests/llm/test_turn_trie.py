@@ -1,0 +1,117 @@
+"""The prefix trie of conversations against a plain dictionary of beginnings."""
+
+import random
+import zlib
+
+import pytest
+from decantry.llm import turn_trie
+from helpers import sha
+from pyspark.sql import functions as F
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def brute(rebuilt):
+    """``rebuilt``: turns (role, text) of each conversation."""
+    members = {}
+    for c, turns in rebuilt.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(c)
+    nodes = sorted(members, key=len, reverse=True)
+    kids, leaves, saved = ({n: 0 for n in nodes} for _ in range(3))
+    for n in nodes:
+        leaves[n] += kids[n] == 0
+        saved[n] += (len(members[n]) - 1) * (len(n[-1][1]) if n else 0)
+        if n:
+            kids[n[:-1]] += 1
+            leaves[n[:-1]] += leaves[n]
+            saved[n[:-1]] += saved[n]
+    out = set()
+    for n in nodes:
+        ends = sorted(c for c in members[n] if len(rebuilt[c]) == len(n))
+        out.add(
+            (min(members[n]), len(n), min(members[n[:-1]]) if n else None, len(members[n]), kids[n], leaves[n],
+             saved[n], sha(",".join(map(str, ends))))
+        )
+    return out
+
+
+def own_turns(rows):
+    out = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            out.setdefault(c, []).append((turn is not None, turn or 0, role or "", text or ""))
+    # Turns of one number are told apart in these rows by their role alone.
+    return {c: [(r, t) for _, _, r, t in sorted(turns)] for c, turns in out.items()}
+
+
+def splice(own):
+    out = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        out[c] = own.get(c - c % 100, [])[:h] + turns[h:]
+    return out
+
+
+def check(spark, rows, want=None, splicing=False, clashing=False, **options):
+    frame = spark.createDataFrame(rows, SCHEMA)
+    for name in ("pos", "code", "g", "seq", "size") if clashing else ():
+        frame = frame.withColumn(name, F.lit(7))
+    turns = turn_trie.numbered_turns(frame)
+    if splicing:
+        heads, base = F.crc32(F.col("conv_id").cast("string")) % 6, F.col("conv_id") - F.col("conv_id") % 100
+        parts, want = turn_trie.spliced(turns, base, heads, 5), splice(own_turns(rows))
+    else:
+        parts, want = turn_trie.sequences(turns), own_turns(rows)
+    got = [tuple(r) for r in turn_trie.trie(*parts, **options).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == brute(want)
+    return got
+
+
+def conversations(seed, n=150, most=9, said=3):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        c = rng.choice([i, i + 300, 1000 + 7 * i])
+        for t in range(rng.randrange(1, most)):
+            rows.append((c, t if rng.random() < 0.9 else None, f"r{t % 2}{t}", "x" * rng.randrange(said)))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("block, held", [(64, 10**6), (64, 5), (3, 10**6), (2, 7), (1, 1)])
+def test_against_brute_force(spark, block, held):
+    check(spark, conversations(block + held), block=block, held=held)
+
+
+def test_spliced(spark):
+    check(spark, conversations(3, 250), splicing=True, held=50)
+
+
+def test_long_ones_and_copies(spark):
+    rows = [(c, t, "u", f"{t % 7}") for c in (4, 9, 12) for t in range(150 + (c == 9) * 700)]
+    rows += [(c, 0, "u", "the same") for c in range(100, 400)]
+    got = check(spark, rows)
+    assert max(r[1] for r in got) == 850
+
+
+def test_many_equal_turns_in_ranges(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        check(spark, [(5, None, None, None)] * 500 + [(6, None, "", "")] * 3, block=200)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, None, None), (1, 2, "a", None), (1, 2, "b", "é😀"), (None, 1, "a", "b"), (-105, 0, "a", "x")]
+    check(spark, rows, clashing=True)
+    # Conversation 7 lends from 0, which does not exist, and has no turns left.
+    lone = [(c, 0, "u", "hm") for c in range(1, 40)]
+    assert any(r[1] == 0 and r[7] != sha("") for r in check(spark, lone, splicing=True))
+
+
+def test_no_conversations(spark):
+    turns = turn_trie.numbered_turns(spark.createDataFrame([], SCHEMA))
+    assert turn_trie.trie(*turn_trie.sequences(turns)).collect() == []
