@@ -152,8 +152,21 @@ def _hashed(ids: np.ndarray, words: list[str], back: bool) -> pa.RecordBatch:
     )
 
 
+def _letter_bit(code_point: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), (code_point % 64).cast("int"))
+
+
+def _alive(states: DataFrame) -> DataFrame:
+    """Without states that are at the end of their word where none ends, or whose next
+    letter does not lead on. Letters may share a bit, so some go only on the next level."""
+    at_end = F.col("pos") == F.length("t")
+    bit = _letter_bit(F.ascii(F.substr("t", F.col("pos") + 1, F.lit(1))))
+    leads = F.col("onward").bitwiseAND(bit) != 0
+    return states.filter(F.when(at_end, F.col("ends")).otherwise(leads)).drop("onward")
+
+
 def _paths(words: DataFrame) -> DataFrame:
-    """Per word and direction its letters ``s`` and its nodes ``cuts`` (p, node, ends)."""
+    """Per word and direction its letters ``s`` and its nodes ``cuts`` (p, node, ends, onward)."""
     begun = stored(
         words.select("id", "word").mapInArrow(
             _beginnings, "id long, back boolean, p int, node long, after int"
@@ -161,23 +174,28 @@ def _paths(words: DataFrame) -> DataFrame:
     )
     nodes = (
         begun.groupBy("node")
-        .agg(F.min("after").alias("least"), F.max("after").alias("most"))
+        .agg(
+            F.min("after").alias("least"),
+            F.max("after").alias("most"),
+            F.bit_or(F.when(F.col("after") > 0, _letter_bit(F.col("after"))).otherwise(0)).alias("onward"),
+        )
         .filter("least <> most")
-        .select("node", (F.col("least") == 0).alias("ends"))
+        .select("node", (F.col("least") == 0).alias("ends"), "onward")
     )
     cuts = (
         join_unique(begun.drop("after"), nodes, "node")
         .groupBy("id", "back")
-        .agg(F.array_sort(F.collect_list(F.struct("p", "node", "ends"))).alias("cuts"))
+        .agg(F.array_sort(F.collect_list(F.struct("p", "node", "ends", "onward"))).alias("cuts"))
     )
     s = F.when(F.col("back"), F.reverse("word")).otherwise(F.col("word"))
     return cuts.join(words.select("id", "word"), "id").select("id", "back", s.alias("s"), "cuts")
 
 
 def _edges(paths: DataFrame) -> DataFrame:
-    """``node``, ``label``, the ``child`` it leads to and whether a word ``ends`` there."""
-    size = F.length("s")
-    leaf = F.struct(size.alias("p"), F.lit(0).cast("long").alias("node"), F.lit(True).alias("ends"))
+    """``node``, ``label``, the ``child`` it leads to, whether a word ``ends`` there and
+    which letters lead ``onward`` (a mask)."""
+    size, zero = F.length("s"), F.lit(0).cast("long")
+    leaf = F.struct(size.alias("p"), zero.alias("node"), F.lit(True).alias("ends"), zero.alias("onward"))
     last = F.element_at("cuts", -1)
     stops = F.when(last["p"] < size, F.concat("cuts", F.array(leaf))).otherwise(F.col("cuts"))
     pairs = F.arrays_zip(
@@ -193,6 +211,7 @@ def _edges(paths: DataFrame) -> DataFrame:
             F.substr("s", F.col("e.a.p") + 1, F.col("e.b.p") - F.col("e.a.p")).alias("label"),
             F.col("e.b.node").alias("child"),
             F.col("e.b.ends").alias("ends"),
+            F.col("e.b.onward").alias("onward"),
         )
         .distinct()
     )
@@ -217,7 +236,7 @@ def _edited(paths: DataFrame, edges: DataFrame) -> DataFrame:
         .select("id", "back", "s", F.col("cut.p").alias("p"), F.col("cut.node").alias("node"))
     )
     # As many edges as there are letters, at most.
-    kids = edges.groupBy("node").agg(F.collect_list(F.struct("label", "child", "ends")).alias("kids"))
+    kids = edges.groupBy("node").agg(F.collect_list(F.struct("label", "child", "ends", "onward")).alias("kids"))
     p = F.col("p")
     one = F.substr("label", F.lit(1), F.lit(1))
     rest = F.substr("label", F.lit(2))
@@ -242,8 +261,9 @@ def _edited(paths: DataFrame, edges: DataFrame) -> DataFrame:
             F.when(F.col("inserts"), F.concat(begin, F.substr("s", p + 1))),
         )
     )
-    return tried.select(
-        "id", "back", F.explode(made).alias("t"), (p + 1 + more).alias("pos"), F.col("child").alias("node"), "ends"
+    end = (p + 1 + more).alias("pos")
+    return _alive(
+        tried.select("id", "back", F.explode(made).alias("t"), end, F.col("child").alias("node"), "ends", "onward")
     )
 
 
@@ -255,18 +275,14 @@ def _next_level(states: DataFrame, edges: DataFrame) -> DataFrame:
         "label",
         "child",
         F.col("ends").alias("ends_there"),
+        "onward",
     )
     # The edges are shuffled once more for the struct, so that a hot turn can be split.
     moved = states.withColumn("turn", turn).join(keyed, "turn")
     matched = moved.filter(_part("t", F.col("pos"), F.length("label")) == F.col("label"))
-    return matched.select(
-        "id",
-        "back",
-        "t",
-        (F.col("pos") + F.length("label")).alias("pos"),
-        F.col("child").alias("node"),
-        F.col("ends_there").alias("ends"),
-    )
+    pos = (F.col("pos") + F.length("label")).alias("pos")
+    there = F.col("ends_there").alias("ends")
+    return _alive(matched.select("id", "back", "t", pos, F.col("child").alias("node"), there, "onward"))
 
 
 def near_words(words: DataFrame) -> DataFrame:
@@ -282,7 +298,7 @@ def near_words(words: DataFrame) -> DataFrame:
     done = []
     while not states.isEmpty():
         whole = F.col("pos") == F.length("t")
-        done.append(states.filter(whole & F.col("ends")))
+        done.append(states.filter(whole))
         states = stored(_next_level(states.filter(F.col("pos") < F.length("t")), edges))
     done = done or [states]
     found = done[0]
