@@ -53,6 +53,18 @@ class RuleSet:
     first_reason_only: bool = False
     undecided_reason: str = L.REASON_UNDECIDED
     undecided_code: str = L.CODE_UNDECIDED
+    # Of the rule that days alone change: its name, and the first day on which it passes.
+    timed: tuple[str, Column] | None = None
+
+    @property
+    def due(self) -> Column:
+        """The day from which a row passes that only time is against; NULL for all others."""
+        if self.timed is None:
+            return F.lit(None).cast("date")
+        name, day = self.timed
+        others = reduce(and_, (r.check for r in self.rules if r.name != name))
+        against = next(r.failed for r in self.rules if r.name == name)
+        return F.when(others & against, day.cast("date"))
 
     @property
     def checks(self) -> Column:
@@ -139,6 +151,7 @@ def full_rules(
     return RuleSet(
         rules=(present, positive, _date_present(date), not_future),
         code_order=(L.DATE_PRESENT, L.DATE_NOT_FUTURE, L.PRICE_PRESENT, L.PRICE_POSITIVE),
+        timed=(L.DATE_NOT_FUTURE, date_operand(df, date)),
     )
 
 

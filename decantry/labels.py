@@ -19,6 +19,9 @@ INGESTED_AT = "_ingestion_time"
 SOURCE_FILE = "_source_file"
 INGESTED_ON = "_ingestion_date"
 
+# The write of a table that a row came with; the name of a folder.
+WRITE = "_write"
+
 # Identity of a row by its content.
 ROW_DIGEST = "_row_digest"
 
@@ -35,6 +38,10 @@ PIPELINE_VERSION = "_pipeline_version"
 QUARANTINE_ID = "_quarantine_id"
 ATTEMPTS = "_reprocess_attempts"
 REPROCESSED_AT = "_reprocessed_at"
+# The day of validation, by which quarantine is laid out, and the day from which a row
+# passes that has nothing against it but a date to come.
+VALIDATED_ON = "_validated_on"
+DUE_ON = "_due_on"
 
 # Members of the verdict struct.
 PRICE_PRESENT = "precio_not_null"
@@ -70,5 +77,6 @@ ADDED_COLUMNS = frozenset(
     {
         INGESTED_AT, SOURCE_FILE, INGESTED_ON, ROW_DIGEST, CHECKS, IS_VALID, REASONS, CODE,
         REJECT_REASON, VALIDATED_AT, PIPELINE_VERSION, QUARANTINE_ID, ATTEMPTS, REPROCESSED_AT,
+        VALIDATED_ON, DUE_ON, WRITE,
     }
 )

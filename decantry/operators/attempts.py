@@ -58,8 +58,9 @@ def merge_attempts(
 ) -> None:
     """Count one attempt for every moved id in a Delta table, in place."""
     source = moved.select(L.QUARANTINE_ID).distinct().withColumn("__at", as_instant(run_ts))
+    target = path.replace("`", "``")
     source.sparkSession.sql(
-        f"MERGE WITH SCHEMA EVOLUTION INTO delta.`{path}` AS t USING {{moved}} AS m"
+        f"MERGE WITH SCHEMA EVOLUTION INTO delta.`{target}` AS t USING {{moved}} AS m"
         f" ON t.{L.QUARANTINE_ID} = m.{L.QUARANTINE_ID}"
         f" WHEN MATCHED THEN UPDATE SET {L.ATTEMPTS} = t.{L.ATTEMPTS} + 1,"
         f" {L.REPROCESSED_AT} = m.__at",

@@ -91,5 +91,6 @@ def audit(
             L.PIPELINE_VERSION: F.lit(pipeline_version),
             L.QUARANTINE_ID: row_id(key, at),
             L.ATTEMPTS: F.lit(0),
+            L.VALIDATED_ON: F.to_date(at),
         }
     )

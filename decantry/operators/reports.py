@@ -60,10 +60,20 @@ def reject_pct_by_day(rejects: DataFrame, accepted: DataFrame) -> DataFrame:
 def top_reasons(
     rejects: DataFrame, as_of: dt.date | Column | None = None, days: int = 30, n: int = 10
 ) -> DataFrame:
-    """Most frequent reasons among the rows validated in the last ``days`` days."""
-    since = F.date_sub(as_day(as_of), days).cast(rejects.schema[L.VALIDATED_AT].dataType)
+    """Most frequent reasons among the rows validated in the last ``days`` days.
+
+    Of a stored quarantine only the folders of those days are read.
+    """
+    first = F.date_sub(as_day(as_of), days)
+    recent = rejects.filter(
+        F.col(L.VALIDATED_AT) >= first.cast(rejects.schema[L.VALIDATED_AT].dataType)
+    )
+    if L.VALIDATED_ON in rejects.columns:
+        # Rows stored before there was such a column have none.
+        day = F.col(L.VALIDATED_ON)
+        recent = recent.filter((day >= first) | day.isNull())
     return (
-        reason_counts(rejects.filter(F.col(L.VALIDATED_AT) >= since), "cnt")
+        reason_counts(recent, "cnt")
         .orderBy(F.desc("cnt"), F.asc(L.REJECT_REASON))
         .limit(n)
     )

@@ -33,8 +33,9 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     p.add_argument("--table", default="contracts", help="table name within the layers")
     p.add_argument("--table-format", default="parquet", help="parquet, or delta with its jars")
     p.add_argument("--gold-table", help="also write the largest groups to this gold table")
-    p.add_argument("--once", action="store_true", help="store rows of the same content once")
-    p.add_argument("--row-key", help="as --once; compare these columns besides the content")
+    p.add_argument("--once", action="store_true", help="store what is delivered again once")
+    p.add_argument("--row-key", help="as --once; columns that the input must have")
+    p.add_argument("--new-only", action="store_true", help="gate what is new in bronze, and rejects that are due")
     p.add_argument("--as-of", type=dt.date.fromisoformat, help="day to judge dates by")
     p.add_argument("--snapshot", action="store_true", help="replace all layers, simple rules")
     p.add_argument("--infer-schema", action="store_true", help="no contract: types by the data")
@@ -61,7 +62,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> Summary | None:
     if args.snapshot:
         summary = _snapshot(spark, lake, args.input_path)
     else:
-        summary = refine(spark, job, args.input_path, args.run_reprocess)
+        summary = refine(spark, job, args.input_path, args.run_reprocess, args.new_only)
     if summary is not None and args.gold_table:
         refresh_gold(spark, job)
     return summary

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .. import labels as L
 from ..operators.attempts import ATTEMPT_SCHEMA, with_attempts
-from ..sources.commits import CommitLog, stored_bytes
-from ..sources.tables import Table
+from .. import files
+from ..sources.commits import CommitLog
+from ..sources.tables import State, Table, new_write
 
 _INGESTION = [
     T.StructField(L.INGESTED_AT, T.TimestampType()),
@@ -43,6 +45,8 @@ _AUDIT = [
     T.StructField(L.PIPELINE_VERSION, T.StringType()),
     T.StructField(L.QUARANTINE_ID, T.StringType()),
     T.StructField(L.ATTEMPTS, T.IntegerType()),
+    T.StructField(L.DUE_ON, T.DateType()),
+    T.StructField(L.VALIDATED_ON, T.DateType()),
 ]
 
 
@@ -50,11 +54,11 @@ _AUDIT = [
 class Lakehouse:
     """Paths and schemas of the layers.
 
-    With a ``contract`` (the columns of the source) every layer has a declared
-    schema, to which deliveries may add columns. Without one schemas follow the data. A ``snapshot`` lakehouse has no
-    lineage and of the audit columns only the reason. ``measure_bytes`` lists a table's
-    files after each write to record their size as well as the rows; Delta does
-    both by itself.
+    With a ``contract`` (the columns of the source) every layer has a declared schema, to
+    which deliveries may add columns. Without one schemas follow the data. A ``snapshot``
+    lakehouse has no lineage and of the audit columns only the reason. ``measure_bytes``
+    records the size of each write's own files as well as its rows; Delta does both by
+    itself. ``known`` is what has been read about the tables; see ``opened``.
     """
 
     root: str
@@ -64,12 +68,18 @@ class Lakehouse:
     gold_table: str = "top_groups"
     snapshot: bool = False
     measure_bytes: bool = False
+    known: dict[str, State | None] | None = field(default=None, compare=False, repr=False)
 
-    def _table(self, path: str, *extra: list[T.StructField]) -> Table:
+    def opened(self) -> Lakehouse:
+        """This lakehouse as a run sees it: schemas and versions are read once."""
+        return self if self.known is not None else replace(self, known={})
+
+    def _table(self, path: str, *extra: list[T.StructField], folders: tuple[str, ...] = ()) -> Table:
         schema = None
         if self.contract is not None and self.fmt != "delta":
             schema = T.StructType([*self.contract.fields, *(f for part in extra for f in part)])
-        return Table(f"{self.root}/{path}", self.fmt, schema)
+        key = None if self.snapshot else L.ROW_DIGEST
+        return Table(f"{self.root}/{path}", self.fmt, schema, key, folders, self.known)
 
     @property
     def _lineage(self) -> list[T.StructField]:
@@ -94,15 +104,16 @@ class Lakehouse:
         path = f"quarantine/{self.table}_errors"
         if self.snapshot:
             return self._table(path, _AUDIT[:1])
-        return self._table(path, self._lineage, _VERDICT, _AUDIT)
+        return self._table(path, self._lineage, _VERDICT, _AUDIT, folders=(L.VALIDATED_ON,))
 
     @property
     def attempts(self) -> Table:
-        return Table(f"{self.root}/quarantine/{self.table}_attempts", self.fmt, ATTEMPT_SCHEMA)
+        path = f"{self.root}/quarantine/{self.table}_attempts"
+        return Table(path, self.fmt, ATTEMPT_SCHEMA, known=self.known)
 
     @property
     def gold(self) -> Table:
-        return Table(f"{self.root}/gold/{self.gold_table}", self.fmt)
+        return Table(f"{self.root}/gold/{self.gold_table}", self.fmt, known=self.known)
 
     def _layer_path(self, layer: str) -> str:
         return {
@@ -130,38 +141,56 @@ class Lakehouse:
         df: DataFrame,
         compact: bool | str = False,
         judged: int | None = None,
+        write: str | None = None,
     ) -> int:
         """``judged``: rows the layer stands for, where this write adds only the new ones."""
-        return self._commit(spark, layer, df, "append", compact, judged)
+        table, write = getattr(self, layer), write or new_write()
+        rows = table.append(df, compact, write)
+        self._record(spark, layer, "append", rows, [table.write_folder(spark, write)], judged)
+        return rows
 
     def overwrite(
-        self, spark: SparkSession, layer: str, df: DataFrame, compact: bool | str = False
+        self,
+        spark: SparkSession,
+        layer: str,
+        df: DataFrame,
+        compact: bool | str = False,
+        taken: Sequence[str] = (),
     ) -> int:
-        return self._commit(spark, layer, df, "overwrite", compact)
+        table: Table = getattr(self, layer)
+        rows = table.overwrite(df, compact, taken)
+        self._record(spark, layer, "overwrite", rows, [table.folder(spark)])
+        return rows
 
-    def _commit(
+    def replace_writes(
         self,
         spark: SparkSession,
         layer: str,
         df: DataFrame,
-        mode: str,
-        compact: bool | str,
-        judged: int | None = None,
+        writes: Sequence[str],
+        compact: bool | str = False,
     ) -> int:
         table: Table = getattr(self, layer)
-        if self.fmt == "delta":
-            return getattr(table, mode)(df, compact)
-        before = self._size(spark, table) if mode == "append" else 0
-        rows = getattr(table, mode)(df, compact)
-        after = self._size(spark, table)
-        size = None if after is None else after - before
-        self.commit_log(layer).record(spark, mode, rows, size, judged=judged)
+        rows = table.replace_writes(df, writes, compact)
+        self._record(spark, layer, "append", rows, [table.write_folder(spark, w) for w in writes])
         return rows
 
-    def _size(self, spark: SparkSession, table: Table) -> int | None:
-        if not self.measure_bytes:
-            return None
-        return stored_bytes(spark, table.path, f"*.{self.fmt}")
+    def _record(
+        self,
+        spark: SparkSession,
+        layer: str,
+        mode: str,
+        rows: int,
+        folders: list[str],
+        judged: int | None = None,
+    ) -> None:
+        if self.fmt == "delta":
+            return
+        size = None
+        if self.measure_bytes:
+            # What others write meanwhile is in other folders.
+            size = sum(files.bytes_below(spark, f) for f in folders)
+        self.commit_log(layer).record(spark, mode, rows, size, judged=judged)
 
     def read_quarantine(self, spark: SparkSession) -> DataFrame | None:
         """Quarantined rows with their attempts folded in; None without a table."""
@@ -171,24 +200,42 @@ class Lakehouse:
         attempts = None if self.fmt == "delta" else self.attempts.read_or_none(spark)
         return with_attempts(rows, attempts)
 
-    def register(self, spark: SparkSession, replace: bool = False) -> list[str]:
-        """Make the layers queryable by name as ``<layer>.<table>`` in SQL."""
+    def register(
+        self, spark: SparkSession, replace: bool = False, namespace: str | None = None
+    ) -> list[str]:
+        """Make the layers queryable by name as ``<layer>.<table>`` in SQL.
+
+        With a ``namespace`` the databases are ``<namespace>_<layer>``, so that several
+        lakehouses have room in one catalog. A name stands for the version that counts now;
+        after an overwrite it is to be registered again. Returns the names as SQL takes them.
+        """
         names = []
         for layer in ("bronze", "silver", "quarantine", "gold"):
             table: Table = getattr(self, layer)
-            frame = table.read_or_none(spark)
-            if frame is None:
+            folder = table.folder(spark)
+            if not files.exists(spark, folder):
                 continue
-            name = f"{layer}.{table.path.rsplit('/', 1)[1]}"
-            spark.sql(
-                f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.root}/{layer}'"
-            )
+            database = f"{namespace}_{layer}" if namespace else layer
+            name = ".".join(_quoted(part) for part in (database, table.path.rsplit("/", 1)[1]))
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}")
             if spark.catalog.tableExists(name):
                 external = spark.catalog.getTable(name).tableType == "EXTERNAL"
                 if not (replace and external):
                     raise ValueError(f"the catalog already has a table {name}")
                 spark.sql(f"DROP TABLE {name}")
-            schema = None if self.fmt == "delta" else frame.schema
-            spark.catalog.createTable(name, path=table.path, source=self.fmt, schema=schema)
+            options = {}
+            schema = None
+            if self.fmt != "delta":
+                # The stored layout tells the schema; no file is read for it.
+                layout = table.layout(spark) or table.read(spark).schema
+                state = table.state(spark)
+                apart = state.folders if state else ()  # only in names of folders
+                schema = T.StructType([f for f in layout if f.name not in apart])
+                options["recursiveFileLookup"] = "true"
+            spark.catalog.createTable(name, path=folder, source=self.fmt, schema=schema, **options)
             names.append(name)
         return names
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

@@ -7,7 +7,7 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import labels as L
@@ -16,12 +16,13 @@ from ..functions.rules import RuleSet, full_rules, simple_rules
 from ..operators.attempts import merge_attempts
 from ..operators.gate import audit, clean, quarantine
 from ..operators.gold import top_groups
+from ..operators.copies import beyond, still_missing
 from ..operators.identity import with_identity
 from ..operators.ingest import with_ingest_metadata
 from ..operators.matching import without_matches_in_large
-from ..session import one_row
+from ..session import Scratch, one_row
 from ..sources.contracts import read_contracts
-from ..sources.tables import align_to
+from ..sources.tables import Table, align_to
 from .lakehouse import Lakehouse
 
 LOG = logging.getLogger(__name__)
@@ -65,10 +66,11 @@ class Refinement:
 
     Without ``once`` a run does what it says and no more: the input is appended to
     bronze, silver becomes the clean rows of bronze, and its rejects are appended to
-    quarantine. With it a run may be repeated: a row enters bronze, silver and
-    quarantine once, and rows moved out of quarantine stay in silver. A row is known by
-    the content of all its source columns; different rows are kept whatever columns
-    they share. ``row_key`` names columns to compare besides, and implies ``once``.
+    quarantine. With it a run may be repeated: what is delivered again enters bronze,
+    silver and quarantine no second time, and rows moved out of quarantine stay in silver.
+    A row is known by the content of all its source columns, and of equal rows there are as
+    many as the delivery with most of them had. Different rows are kept whatever columns
+    they share; ``row_key`` names some that the source must have, and implies ``once``.
     """
 
     lake: Lakehouse
@@ -85,9 +87,9 @@ class Refinement:
     def keeps_once(self) -> bool:
         return self.once or bool(self.row_key)
 
-    @property
-    def identity(self) -> list[str]:
-        return [*(self.row_key or ()), L.ROW_DIGEST]
+    def opened(self) -> Refinement:
+        """This job as one run: what it reads about its tables it reads once."""
+        return replace(self, lake=self.lake.opened())
 
     def clock(self, spark: SparkSession) -> Clock:
         """Given times, or else now; a run at a given instant judges by its day."""
@@ -138,29 +140,54 @@ def ingest_rows(
     spark: SparkSession,
     job: Refinement,
     rows: DataFrame,
-    source: str,
+    source: str | Column,
     clock: Clock | None = None,
+    write: str | None = None,
 ) -> int:
-    """Append rows to bronze with their lineage; returns the rows written."""
+    """Append rows to bronze with their lineage; returns the rows written.
+
+    Under the name of a ``write`` that bronze has, the rows take its place.
+    """
+    job = job.opened()
     clock = clock or job.clock(spark)
+    for name in job.row_key or ():
+        resolve_column(rows, name)
     rows = with_identity(with_ingest_metadata(rows, source, clock.run_ts))
-    if job.keeps_once:
-        rows = new_rows(job, rows, job.lake.bronze.read_or_none(spark))
-    written = job.lake.append(spark, "bronze", rows)
+    if not job.keeps_once:
+        written = job.lake.append(spark, "bronze", rows, write=write)
+    else:
+        with Scratch(spark) as scratch:
+            # The delivery is read and digested once.
+            rows, n = scratch.keep(rows)
+            stored = _identified(spark, job.lake.bronze, writes=True)
+            if write and stored is not None and L.WRITE in stored.columns:
+                stored = stored.filter(F.col(L.WRITE) != write)
+            written = job.lake.append(spark, "bronze", beyond(scratch, rows, n, stored), write=write)
+            if written < n:
+                LOG.info("%d rows of %s are in bronze already", n - written, source)
     LOG.info("%d rows of %s appended to bronze", written, source)
     return written
 
 
-def new_rows(job: Refinement, rows: DataFrame, stored: DataFrame | None) -> DataFrame:
-    """Of ``rows``, one of each content that ``stored`` does not have.
+def _identified(spark: SparkSession, table: Table, writes: bool = False) -> DataFrame | None:
+    """The table with the digest of every row, which is stored; None without a table.
 
-    What is stored is far larger than a delivery: it is scanned for the new digests and
-    not shuffled, where these are few enough to be broadcast.
+    Rows that came without one, by other ways than a run, are given theirs for good the
+    first time they are met. Afterwards a match scans that column alone.
     """
-    rows = rows.dropDuplicates([L.ROW_DIGEST])
-    if stored is None:
-        return rows
-    return without_matches_in_large(rows, with_identity(stored), job.identity)
+    rows = table.read_or_none(spark, writes=True)
+    if rows is None:
+        return None
+    if table.fmt != "parquet":
+        return with_identity(rows)
+    if not table.complete(spark):
+        rows = with_identity(rows)
+        if L.WRITE in rows.columns:
+            table.rewrite(spark, rows)
+        else:
+            table.overwrite(rows)
+        rows = table.read(spark, writes=True)
+    return rows if writes else rows.drop(L.WRITE)
 
 
 def refine(
@@ -168,89 +195,166 @@ def refine(
     job: Refinement,
     input_path: str | None = None,
     reprocess_quarantine: bool = False,
+    new_only: bool = False,
 ) -> Summary | None:
-    """Gate all of bronze into silver and quarantine; None if there is no bronze."""
+    """Gate bronze into silver and quarantine; None if there is no bronze.
+
+    All of bronze, and silver is replaced; or with ``new_only`` the writes of bronze that
+    silver has not taken in yet, which are appended, and of quarantine the rows whose day
+    has come. Only a date in the future changes its verdict by itself, so the layers hold
+    the same rows then. The counts are of what was gated.
+    """
+    job = job.opened()
     clock = job.clock(spark)
     lake = job.lake
     if input_path:
         ingest(spark, job, input_path, clock)
 
-    bronze = lake.bronze.read_or_none(spark)
-    if bronze is None:
+    if lake.bronze.read_or_none(spark) is None:
         LOG.error("there is no bronze table at %s", lake.bronze.path)
         return None
-    bronze = with_identity(bronze)
-    rules = job.rules.full(bronze, clock.as_of)
-
-    if job.keeps_once:
-        _settle_attempts(spark, lake, clock)
-    accepted = clean(bronze, rules).withColumns(
-        {
-            L.CODE: F.lit(None).cast("string"),
-            L.QUARANTINE_ID: F.lit(None).cast("string"),
-        }
-    )
-    moved_earlier = _moved_earlier(spark, job, accepted) if job.keeps_once else None
-    silver_rows = accepted if moved_earlier is None else accepted.unionByName(moved_earlier)
-    silver_count = lake.overwrite(spark, "silver", silver_rows)
-
-    # Where a row is there once, its content names it, and its id is the same again when
-    # a lost task is repeated.
-    key = job.identity if job.keeps_once else None
-    rejects = audit(quarantine(bronze, rules), job.pipeline_version, clock.run_ts, key)
-    if job.keeps_once:
-        rejects = new_rows(job, rejects, lake.quarantine.read_or_none(spark))
-    rejected = None
-    if job.keeps_once:
-        # What is appended differs from what is judged. The two sides of the gate are
-        # complementary, so the rows of bronze and the clean ones in silver tell.
-        # Neither count reads more than footers and a column of NULLs.
-        total = bronze.count()
-        kept = lake.silver.read(spark).filter(F.col(L.QUARANTINE_ID).isNull()).count()
-        rejected = total - kept
-    appended = lake.append(
-        spark, "quarantine", rejects, compact=L.QUARANTINE_ID, judged=rejected
-    )
-
-    if not job.keeps_once:
-        kept, total = silver_count, silver_count + appended
-    limit = job.alert_above_pct if job.mode == "prod" else None
-    summary = Summary.of(total, kept, limit)
-    LOG.info("%d rows: %d clean, %d rejected", total, kept, summary.quarantine)
+    if new_only and lake.bronze.state(spark):
+        state = lake.silver.state(spark)
+        taken = set(state.taken) if state else set()
+        todo = [w for w in lake.bronze.writes(spark) if w not in taken]
+        summary = gate_writes(spark, job, todo, clock)
+    elif job.keeps_once:
+        summary = _refine_once(spark, job, clock)
+    else:
+        summary = _refine_all(spark, job, clock)
+    LOG.info("%d rows: %d clean, %d rejected", summary.total, summary.clean, summary.quarantine)
     if summary.alert:
-        LOG.warning("rejection rate %.2f%% is above %.2f%%", summary.reject_pct, limit)
+        LOG.warning("rejection rate %.2f%% is above %.2f%%", summary.reject_pct, job.alert_above_pct)
     if reprocess_quarantine:
-        summary = replace(summary, moved=reprocess(spark, job, clock))
+        moved = reprocess(spark, job, clock, due_only=new_only)
+        summary = replace(summary, moved=moved)
     return summary
 
 
-def reprocess(spark: SparkSession, job: Refinement, clock: Clock | None = None) -> int:
+def _summary(job: Refinement, total: int, clean: int) -> Summary:
+    return Summary.of(total, clean, job.alert_above_pct if job.mode == "prod" else None)
+
+
+def _accepted(bronze: DataFrame, rules: RuleSet) -> DataFrame:
+    nothing = F.lit(None).cast("string")
+    return clean(bronze, rules).withColumns({L.CODE: nothing, L.QUARANTINE_ID: nothing})
+
+
+def _rejects(job: Refinement, bronze: DataFrame, rules: RuleSet, clock: Clock) -> DataFrame:
+    rejects = quarantine(bronze, rules).withColumn(L.DUE_ON, rules.due)
+    return audit(rejects, job.pipeline_version, clock.run_ts)
+
+
+def gate_writes(
+    spark: SparkSession, job: Refinement, writes: Sequence[str], clock: Clock | None = None
+) -> Summary:
+    """Gate these writes of bronze into writes of the same names in silver and quarantine.
+
+    No other file of any layer is read. Gated again, after a run that died, they replace
+    what they had become.
+    """
+    job = job.opened()
+    clock = clock or job.clock(spark)
+    lake = job.lake
+    if not writes:
+        return _summary(job, 0, 0)
+    bronze = lake.bronze.read(spark, writes=True).filter(F.col(L.WRITE).isin(list(writes)))
+    if not lake.bronze.complete(spark):
+        bronze = with_identity(bronze)
+    rules = job.rules.full(bronze, clock.as_of)
+    rejects = _rejects(job, bronze, rules, clock)
+    kept = lake.replace_writes(spark, "silver", _accepted(bronze, rules), writes)
+    rejected = lake.replace_writes(spark, "quarantine", rejects, writes, compact=L.QUARANTINE_ID)
+    lake.silver.take(spark, writes)
+    return _summary(job, kept + rejected, kept)
+
+
+def _whole(spark: SparkSession, table: Table, rows: DataFrame) -> tuple[DataFrame, list[str]]:
+    """All rows of a table and the writes they came with; a write that others add
+    meanwhile is in both or in neither."""
+    before = table.writes(spark)
+    rows = rows if L.WRITE not in rows.columns else table.read(spark, writes=True)
+    if table.writes(spark) != before:
+        rows = rows.filter(F.col(L.WRITE).isin(before))
+    return rows.drop(L.WRITE), before
+
+
+def _refine_all(spark: SparkSession, job: Refinement, clock: Clock) -> Summary:
+    lake = job.lake
+    bronze, taken = _whole(spark, lake.bronze, lake.bronze.read(spark, writes=True))
+    if not lake.bronze.complete(spark):
+        bronze = with_identity(bronze)
+    rules = job.rules.full(bronze, clock.as_of)
+    kept = lake.overwrite(spark, "silver", _accepted(bronze, rules), taken=taken)
+    rejects = _rejects(job, bronze, rules, clock)
+    rejected = lake.append(spark, "quarantine", rejects, compact=L.QUARANTINE_ID)
+    return _summary(job, kept + rejected, kept)
+
+
+def _refine_once(spark: SparkSession, job: Refinement, clock: Clock) -> Summary:
+    lake = job.lake
+    bronze, taken = _whole(spark, lake.bronze, _identified(spark, lake.bronze, writes=True))
+    rules = job.rules.full(bronze, clock.as_of)
+    _settle_attempts(spark, lake, clock)
+    accepted = _accepted(bronze, rules)
+    moved_earlier = _moved_earlier(spark, job, accepted)
+    silver_rows = accepted if moved_earlier is None else accepted.unionByName(moved_earlier)
+    lake.overwrite(spark, "silver", silver_rows, taken=taken)
+
+    rejects = quarantine(bronze, rules)
+    # What is appended differs from what is judged. The two sides of the gate are
+    # complementary, so the rows of bronze and the clean ones in silver tell.
+    # Neither count reads more than footers and a column of NULLs.
+    total = bronze.count()
+    kept = lake.silver.read(spark).filter(F.col(L.QUARANTINE_ID).isNull()).count()
+    with Scratch(spark) as scratch:
+        held = _identified(spark, lake.quarantine)
+        new = beyond(scratch, rejects.withColumn(L.DUE_ON, rules.due), total - kept, held)
+        lake.append(
+            spark,
+            "quarantine",
+            audit(new, job.pipeline_version, clock.run_ts),
+            compact=L.QUARANTINE_ID,
+            judged=total - kept,
+        )
+    return _summary(job, total, kept)
+
+
+def reprocess(
+    spark: SparkSession, job: Refinement, clock: Clock | None = None, due_only: bool = False
+) -> int:
     """Move quarantined rows that pass the gate by now to silver; returns how many.
 
-    Rows moved before are left alone, and so are rows whose content silver has; of rows
-    with the same content one is moved, different rows all are. Moved rows stay in quarantine for audit and
-    count one attempt. Silver keeps the id of a moved row, and the attempts are
-    derived from it after the append: if a run dies in between, the next one
-    neither moves the row again nor forgets the attempt.
+    Rows moved before are left alone, and of a row as many copies are moved as bronze has
+    and silver lacks, however many runs have rejected it. Moved rows stay in quarantine for audit and count one attempt. Silver keeps the id of
+    a moved row, and the attempts are derived from it after the append: if a run dies in
+    between, the next one neither moves the row again nor forgets the attempt. With
+    ``due_only`` rows are looked at whose day has come, and not those that somebody may
+    have corrected.
     """
+    job = job.opened()
     clock = clock or job.clock(spark)
     lake = job.lake
-    held = lake.quarantine.read_or_none(spark)
-    if held is None or held.isEmpty():
+    if lake.quarantine.read_or_none(spark) is None:
         LOG.info("nothing in quarantine at %s", lake.quarantine.path)
         return 0
+    held = _identified(spark, lake.quarantine, writes=True)
     if lake.fmt == "delta" and L.REPROCESSED_AT in held.columns:
         held = held.filter(F.col(L.REPROCESSED_AT).isNull())
-
-    held = with_identity(held)
+    if due_only and L.DUE_ON in held.columns:
+        held = held.filter(F.col(L.DUE_ON) <= F.lit(clock.as_of))
     movable = held.filter(job.rules.full(held, clock.as_of).passed)
     settled = _settled_ids(spark, lake)
     if settled is not None:
         movable = movable.join(settled, L.QUARANTINE_ID, "left_anti")
-    silver = lake.silver.read_or_none(spark)
-    # A run may have put the row into silver since, and several runs into quarantine.
-    movable = new_rows(job, movable, silver)
-    moved = lake.append(spark, "silver", _as_silver(spark, lake, movable), L.QUARANTINE_ID)
+    with Scratch(spark) as scratch:
+        movable, n = scratch.keep(movable)
+        moved = 0
+        if n:
+            silver, bronze = (_identified(spark, t) for t in (lake.silver, lake.bronze))
+            run = L.WRITE if L.WRITE in movable.columns else None
+            rows = still_missing(scratch, movable, n, silver, bronze, run)
+            moved = lake.append(spark, "silver", _as_silver(spark, lake, rows), L.QUARANTINE_ID)
     _settle_attempts(spark, lake, clock)
     LOG.info("%d rows moved from quarantine to silver", moved)
     return moved
@@ -260,6 +364,7 @@ def refresh_gold(
     spark: SparkSession, job: Refinement, group: str = L.DEPARTMENT, n: int = 10
 ) -> int:
     """Write the groups with the largest totals over silver."""
+    job = job.opened()
     silver = job.lake.silver.read(spark)
     price = resolve_column(silver, *job.rules.price)
     return job.lake.overwrite(spark, "gold", top_groups(silver, group, price, n))
@@ -323,6 +428,6 @@ def _moved_earlier(
     if held is None:
         return None
     moved = held.filter(F.col(L.REPROCESSED_AT).isNotNull())
-    moved = without_matches_in_large(with_identity(moved), accepted, job.identity)
+    moved = without_matches_in_large(with_identity(moved), accepted, [L.ROW_DIGEST])
     moved = moved.withColumn(L.CODE, F.lit(None).cast("string"))
     return align_to(moved, accepted.schema, keep_extra=False)

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from . import files
 
 # Settings the plans count on. Partition numbers are left to adaptive execution,
 # which starts from many small shuffle partitions and merges them by size.
@@ -67,17 +70,31 @@ def work_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def one_row(spark: SparkSession, **columns: Column) -> DataFrame:
-    """A frame of one row that needs neither a job nor a Python worker to make."""
-    return spark.sql("SELECT 1").select(*(c.alias(name) for name, c in columns.items()))
+class Scratch:
+    """Tables that live as long as a step: each is computed once, and none is left behind.
 
+    They are written to the shared folder, so a lost executor takes nothing with it.
+    """
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether the file system has ``path``; nothing is listed or read.
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.folders: list[str] = []
 
-    Asking the reader instead would do, but a failed read also fails the listener
-    that serves row counts of writes, which then logs a stack trace.
-    """
-    context = spark.sparkContext
-    location = context._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(context._jsc.hadoopConfiguration()).exists(location)
+    def keep(self, df: DataFrame) -> tuple[DataFrame, int]:
+        """``df`` as it is stored, and its number of rows."""
+        folder, written = work_folder(self.spark), Observation()
+        self.folders.append(folder)
+        df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder), written.get["rows"]
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for folder in self.folders:
+            files.delete(self.spark, folder)
+
+
+def one_row(spark: SparkSession, **columns: Column) -> DataFrame:
+    """A frame of one row that needs neither a job nor a Python worker to make."""
+    return spark.sql("SELECT 1").select(*(c.alias(name) for name, c in columns.items()))

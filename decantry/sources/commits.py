@@ -8,6 +8,8 @@ one reader serves both.
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -16,7 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import one_row, path_exists
+from .. import files
+from ..session import one_row
 
 # Only these members are parsed out of a commit file. The names
 # are those of Delta commit files, metrics are stored as text there.
@@ -36,19 +39,6 @@ COMMIT_SCHEMA = T.StructType().add(
 )
 
 
-def stored_bytes(spark: SparkSession, path: str, pattern: str = "*.parquet") -> int:
-    """Size of a table's files, from their listing alone (no file is opened)."""
-    if not path_exists(spark, path):
-        return 0
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", True)
-        .load(path)
-    )
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
-
-
 @dataclass(frozen=True)
 class CommitLog:
     """Where the commit records of one table are."""
@@ -67,52 +57,29 @@ class CommitLog:
         judged: int | None = None,
     ) -> None:
         """``size`` is None where nothing has measured it, ``judged`` where it is ``rows``."""
-        millis = int((at or dt.datetime.now(dt.timezone.utc)).timestamp() * 1000)
+        at = at or dt.datetime.now(dt.timezone.utc)
         given = {"numOutputRows": rows, "numOutputBytes": size, "numJudgedRows": judged}
-        metrics = F.struct(*(F.lit(str(v)).alias(k) for k, v in given.items() if v is not None))
-        info = F.struct(
-            F.lit(millis).alias("timestamp"),
-            F.lit("WRITE").alias("operation"),
-            F.struct(F.lit(mode).alias("mode")).alias("operationParameters"),
-            metrics.alias("operationMetrics"),
-        )
-        # The folder's name puts the record in order, as a commit's number does.
-        one_row(spark, commitInfo=info).write.mode("append").json(f"{self.path}/{millis:020d}")
-        # A copy of the last one, so that it can be read without a listing of all.
-        names = {"table_set": F.lit(self.table_set), "layer": F.lit(self.layer)}
-        one_row(spark, commitInfo=info, **names).write.mode("overwrite").json(self.latest)
-
-    @property
-    def latest(self) -> str:
-        return f"{self.path}.latest"
-
-    def files(self, spark: SparkSession) -> DataFrame | None:
-        """Paths of the commit files, from their listing alone."""
-        if not path_exists(spark, self.path):
-            return None
-        return (
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", "*.json")
-            .option("recursiveFileLookup", True)
-            .load(self.path)
-            .select("path")
-        )
+        info = {
+            "timestamp": int(at.timestamp() * 1000),
+            "operation": "WRITE",
+            "operationParameters": {"mode": mode},
+            "operationMetrics": {k: str(v) for k, v in given.items() if v is not None},
+        }
+        # The name puts the record in order, as a commit's number does, and is no other
+        # writer's.
+        name = f"{int(at.timestamp() * 1_000_000):020d}-{uuid.uuid4().hex[:8]}.json"
+        files.write_new(spark, f"{self.path}/{name}", json.dumps({"commitInfo": info}) + "\n")
+
+    def last(self, spark: SparkSession) -> str | None:
+        """Path of the last commit file, from the folder's listing alone."""
+        found = [n for n in files.names(spark, self.path) if n.endswith(".json")]
+        return f"{self.path}/{found[-1]}" if found else None
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _last_files(spark: SparkSession, logs: Sequence[CommitLog]) -> dict[int, str]:
-    """Path of the last commit file of each log that has one, found in one job."""
-    listed = [(i, log.files(spark)) for i, log in enumerate(logs)]
-    frames = [f.withColumn("log", F.lit(i)) for i, f in listed if f is not None]
-    if not frames:
-        return {}
-    last = _union(frames).groupBy("log").agg(F.max("path").alias("path"))
-    return {r["log"]: r["path"] for r in last.collect()}
-
-
 def commit_metrics(spark: SparkSession, logs: Sequence[CommitLog]) -> DataFrame:
     """Rows and bytes of the last commit of every table.
 
@@ -121,20 +88,15 @@ def commit_metrics(spark: SparkSession, logs: Sequence[CommitLog]) -> DataFrame:
     A table without log, or whose last commit carries no metrics, has no rows; ``bytes``
     is NULL where they were not measured.
     """
-    copied = [log for log in logs if path_exists(spark, log.latest)]
-    others = [log for log in logs if log not in copied]
-    last = _last_files(spark, others)
     frames = []
-    if copied:
-        schema = T.StructType([*COMMIT_SCHEMA, *T.StructType.fromDDL("table_set string, layer string")])
-        frames.append(spark.read.schema(schema).json([log.latest for log in copied]))
-    for i, log in enumerate(others):
+    for log in logs:
         labels = {"table_set": F.lit(log.table_set), "layer": F.lit(log.layer)}
         # A row without commit keeps tables in the result that have no log.
         nothing = F.lit(None).cast(COMMIT_SCHEMA["commitInfo"].dataType)
         frames.append(one_row(spark, commitInfo=nothing, **labels))
-        if i in last:
-            frames.append(spark.read.schema(COMMIT_SCHEMA).json(last[i]).withColumns(labels))
+        last = log.last(spark)
+        if last is not None:
+            frames.append(spark.read.schema(COMMIT_SCHEMA).json(last).withColumns(labels))
 
     def metric(name: str) -> Column:
         return F.max(F.col(f"commitInfo.operationMetrics.{name}").try_cast("bigint"))

@@ -8,18 +8,16 @@ in the future enter silver by reprocessing once their day has come.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import labels as L
-from ..operators.gate import audit, clean, quarantine
-from ..operators.ingest import with_ingest_metadata
-from ..operators.identity import with_identity
-from ..plans.runs import Clock, Refinement, new_rows
+from ..plans.runs import Refinement, gate_writes, ingest_rows
 
 
 def refine_new_files(
@@ -34,10 +32,10 @@ def refine_new_files(
     """Process the files of ``input_dir`` that are new, then stop.
 
     Files have the contract's columns in its order, and a header row, which is
-    compared with ``labels`` where they are given. A batch that failed half-way is
-    delivered again with the same files; what was stored of it the first time is not
-    stored twice. Equal rows of one file or of several are all kept, unless ``job``
-    takes each content once.
+    compared with ``labels`` where they are given. Each batch is a write of its own in
+    every layer, named after the checkpoint and its number. One that failed half-way is
+    delivered again with the same files and replaces what it had stored. Equal rows of one
+    file or of several are all kept, unless ``job`` takes each content once.
     """
     contract = job.lake.contract
     if contract is None:
@@ -57,61 +55,25 @@ def refine_new_files(
         .toDF(*contract.names)
         .withColumn(L.SOURCE_FILE, F.col("_metadata.file_path"))
     )
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
     return (
-        arriving.writeStream.foreachBatch(lambda rows, _: append_batch(rows, job))
+        arriving.writeStream.foreachBatch(
+            lambda rows, number: append_batch(rows, job, f"stream-{stream}-{number:012d}")
+        )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def append_batch(rows: DataFrame, job: Refinement) -> None:
-    """Append ``rows`` to bronze and, gated, to silver and quarantine.
+def append_batch(rows: DataFrame, job: Refinement, batch: str) -> None:
+    """Append ``rows`` to bronze and, gated, to silver and quarantine, as write ``batch``.
 
-    A batch may be delivered again, with the same files; each layer takes the rows that
-    it does not have of them. A job that takes each content once goes by the content
-    alone, whatever the file. Each layer reads the batch's files anew: what an executor holds of them
-    for the others would be lost with it.
+    Silver and quarantine follow from what bronze has taken, so the layers agree whenever
+    the batch is repeated. No stored row is read, unless ``job`` takes each content once:
+    then the digests of bronze are.
     """
-    clock = job.clock(rows.sparkSession)
-    rows = with_identity(with_ingest_metadata(rows, F.col(L.SOURCE_FILE), clock.run_ts))
-    _append(rows, job, clock)
-
-
-def _append(rows: DataFrame, job: Refinement, clock: Clock) -> None:
-    spark, lake = rows.sparkSession, job.lake
-    rules = job.rules.full(rows, clock.as_of)
-    # Equal rows that are all kept need ids of their own.
-    key = job.identity if job.keeps_once else None
-    rejects = audit(quarantine(rows, rules), job.pipeline_version, clock.run_ts, key)
-    for layer, part, spread in (
-        ("bronze", rows, False),
-        ("silver", clean(rows, rules), False),
-        ("quarantine", rejects, L.QUARANTINE_ID),
-    ):
-        stored = getattr(lake, layer).read_or_none(spark)
-        part = new_rows(job, part, stored) if job.keeps_once else _missing(part, stored)
-        lake.append(spark, layer, part, compact=spread)
-
-
-def _missing(rows: DataFrame, stored: DataFrame | None) -> DataFrame:
-    """Of ``rows``, those beyond the copies that ``stored`` has of the same file's row.
-
-    Only a batch that is delivered again finds any; all others are appended as they are.
-    """
-    if stored is None or L.SOURCE_FILE not in stored.columns:
-        return rows
-    if L.QUARANTINE_ID in stored.columns and L.QUARANTINE_ID not in rows.columns:
-        stored = stored.filter(F.col(L.QUARANTINE_ID).isNull())  # silver: moved rows aside
-    files = rows.select(L.SOURCE_FILE).distinct()  # at most max_files
-    held = with_identity(stored).join(F.broadcast(files), L.SOURCE_FILE, "left_semi")
-    if held.isEmpty():
-        return rows
-    key, have, number = [L.SOURCE_FILE, L.ROW_DIGEST], "__have", "__number"
-    counts = held.groupBy(*key).agg(F.count("*").alias(have))
-    return (
-        rows.withColumn(number, F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0))))
-        .join(counts, key, "left")
-        .filter(F.col(number) > F.coalesce(have, F.lit(0)))
-        .select(*(F.col(f"`{c}`") for c in rows.columns))
-    )
+    spark, job = rows.sparkSession, job.opened()
+    clock = job.clock(spark)
+    if ingest_rows(spark, job, rows, F.col(L.SOURCE_FILE), clock, batch):
+        gate_writes(spark, job, [batch], clock)

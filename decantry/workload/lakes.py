@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import labels as L
-from ..operators import audit, clean, quarantine, with_attempts, with_ingest_metadata
+from ..functions.rules import full_rules, simple_rules
+from ..operators import audit, clean, quarantine, sample_rejects, with_attempts, with_ingest_metadata
 from ..operators import layer_balance as balance
 from ..operators import layer_comparison as comparison
 from ..plans import Lakehouse, Refinement, Rules, refine, refine_simple, reprocess
@@ -28,6 +29,7 @@ from .frames import (
     corrupt_orders,
     instant,
     rules,
+    table,
 )
 from .registry import query
 
@@ -231,17 +233,21 @@ def rerun_with_row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     GATED
     + """
-select 'first' as delivery, count(*) as bronze_rows from (select distinct o_orderpriority, sdate, price from c)
+select 'first' as delivery, count(*) as bronze_rows from c
 union all
-select 'both', count(*) from (
-  select o_orderpriority, sdate, price from c union select o_orderpriority, sdate, -price from c)
-union all
-select 'again', count(*) from (
-  select o_orderpriority, sdate, price from c union select o_orderpriority, sdate, -price from c)
+select d, sum(greatest(a, b))::bigint from (select unnest(['both', 'again']) as d), (
+  select coalesce(x.n, 0) as a, coalesce(y.n, 0) as b
+  from (select o_orderpriority as p, sdate as s, price as v, count(*) as n from c group by all) as x
+  full join (select o_orderpriority as p, sdate as s, -price as v, count(*) as n from c group by all) as y
+  on x.p = y.p and x.s is not distinct from y.s and x.v is not distinct from y.v)
+group by d
 """
 )
 def keyed_ingest_keeps_distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deliveries whose key is neither unique nor always there; the last one is a repeat."""
+    """Deliveries whose key is neither unique nor always there; the last one is a repeat.
+
+    Equal rows of a delivery are all kept, and of a later one those beyond the stored ones.
+    """
     rows = corrupt_orders(spark, sf_dir).select("o_orderpriority", "sdate", "price")
     lake = Lakehouse(work_folder(spark), "orders", contract=rows.schema)
     job = _job(lake, row_key=["o_orderpriority", "sdate"])
@@ -279,7 +285,7 @@ def corrected_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     GATED
     + f"select o_orderpriority, sdate, price from v"
-    f" where code = 'E002' and price > 0 and sdate <= date '{LATER}' group by all"
+    f" where code = 'E002' and price > 0 and sdate <= date '{LATER}'"
 )
 def reprocess_same_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that share their key are all moved, by priority and day."""
@@ -340,6 +346,168 @@ def layer_balance_after_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares.select("table_set", "silver_rows", "quarantine_rows", "valid_pct")
 
 
+@query(
+    GATED
+    + f"""
+select o_orderkey, n from (
+  select o_orderkey, price, sdate, case when o_orderkey % 3 = 0 then 2 else 1 end as n from v)
+where price > 0 and sdate <= date '{LATER}'
+"""
+)
+def reprocess_equal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the orders is there twice: both copies are moved, and stay when silver is rebuilt."""
+    orders = corrupt_orders(spark, sf_dir).drop("o_orderdate")
+    lake = Lakehouse(work_folder(spark), "orders", contract=orders.schema)
+    ingest_rows(spark, _job(lake), orders.unionByName(orders.filter("o_orderkey % 3 = 0")), "orders")
+    refine(spark, _job(lake))
+    reprocess(spark, _job(lake, LATER))
+    moved = _copies(spark, lake)
+    refine(spark, _job(lake, LATER), reprocess_quarantine=True)
+    return moved.intersect(_copies(spark, lake))
+
+
+def _copies(spark: SparkSession, lake: Lakehouse) -> DataFrame:
+    return lake.silver.read(spark).groupBy("o_orderkey").agg(F.count("*").cast("int").alias("n"))
+
+
+@query(
+    GATED
+    + f"""
+select o_orderkey, 'silver' as layer from v where price > 0 and sdate <= date '{LATER}'
+union all
+select o_orderkey, 'quarantine' from v where not coalesce(ok, false)
+"""
+)
+def refine_new_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries, each gated alone; then the rejects whose day has come."""
+    orders = corrupt_orders(spark, sf_dir).drop("o_orderdate")
+    lake = Lakehouse(work_folder(spark), "orders", contract=orders.schema)
+    for delivery in ("o_orderkey % 2 = 0", "o_orderkey % 2 = 1"):
+        ingest_rows(spark, _job(lake), orders.filter(delivery), "orders")
+        refine(spark, _job(lake), new_only=True)
+    refine(spark, _job(lake, LATER), reprocess_quarantine=True, new_only=True)
+    return _layers(spark, lake, "o_orderkey")
+
+
+@query(
+    GATED
+    + """
+select o_orderkey, precio_positive, cast(null as boolean) as priority_known from v where not coalesce(ok, false)
+union all
+select o_orderkey, precio_positive, o_orderpriority <> '5-LOW' from v where not coalesce(ok, false)
+"""
+)
+def quarantine_gains_a_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later run has one check more; rows of the earlier one read NULL there."""
+    lake = _filled_lake(spark, sf_dir)
+    refine(spark, _job(lake))
+    orders = corrupt_orders(spark, sf_dir).drop("o_orderdate")
+    held = quarantine(orders, rules(orders))
+    checks = F.col(L.CHECKS).withField("priority_known", F.col("o_orderpriority") != "5-LOW")
+    lake.append(spark, "quarantine", audit(held.withColumn(L.CHECKS, checks), "v2", instant(RUN_TEXT)))
+    checked = lake.quarantine.read(spark).select("o_orderkey", f"{L.CHECKS}.*")
+    return checked.select("o_orderkey", L.PRICE_POSITIVE, "priority_known")
+
+
+@query(GATED + "select o_orderkey, price from v where ok")
+def overwrite_from_itself(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table replaced by rows that are derived from it, and appended to by name twice."""
+    store = Table(work_folder(spark))
+    orders = corrupt_orders(spark, sf_dir)
+    for _ in range(2):
+        store.append(orders, write="orders")
+    store.overwrite(clean(store.read(spark), rules(orders)))
+    return store.read(spark).select("o_orderkey", "price")
+
+
+@query(
+    """
+select n_name, count(*) as orders, sum(case when o_totalprice > 0 then 1 else 0 end)::bigint as clean
+from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey group by n_name
+"""
+)
+def in_memory_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as rows that the driver holds, joined with orders that pass or fail the gate."""
+    nations = [tuple(r) for r in table(spark, sf_dir, "nation").select("n_nationkey", "n_name").collect()]
+    held = spark.createDataFrame(nations, "n_nationkey int, n_name string")
+    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    gate = simple_rules(orders, "o_totalprice", "o_orderdate")
+    per_customer = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count("*").alias("orders"), F.count_if(gate.passed).alias("clean")
+    )
+    per_nation = customers.join(per_customer, "c_custkey").groupBy(F.col("c_nationkey").alias("n_nationkey"))
+    sums = per_nation.agg(F.sum("orders").alias("orders"), F.sum("clean").alias("clean"))
+    return held.join(sums, "n_nationkey").select("n_name", "orders", "clean")
+
+
+@query("select count(*) as bronze_rows, false as has_silver, cast(0 as bigint) as moved from orders")
+def missing_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze is filled, the other layers are not there: reading them finds nothing, as does reprocessing."""
+    lake = _filled_lake(spark, sf_dir)
+    moved = reprocess(spark, _job(lake))
+    has_silver = lake.silver.read_or_none(spark) is not None
+    return lake.bronze.read(spark).agg(
+        F.count("*").alias("bronze_rows"),
+        F.lit(has_silver).alias("has_silver"),
+        F.lit(moved).cast("bigint").alias("moved"),
+    )
+
+
+@query(GATED + "select count(*) as total, count(*) as clean, cast(0 as bigint) as moved from v where ok")
+def empty_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nothing but clean orders: no rejects, and nothing to look at again."""
+    orders = corrupt_orders(spark, sf_dir).drop("o_orderdate")
+    lake = Lakehouse(work_folder(spark), "orders", contract=orders.schema)
+    ingest_rows(spark, _job(lake), clean(orders, rules(orders)), "orders")
+    summary = refine(spark, _job(lake), reprocess_quarantine=True)
+    return summary.as_frame(spark).select("total", "clean", "moved")
+
+
+@query(
+    GATED
+    + """
+select least(count(*), 10) as sampled, least(count(*), 10) as rejected, least(count(*), 10) as with_reason
+from v where not coalesce(ok, false)
+"""
+)
+def sample_of_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Any ten rejects: each of them one, and with its reason."""
+    orders = corrupt_orders(spark, sf_dir)
+    held = audit(quarantine(orders, rules(orders)), "v1", instant(RUN_TEXT), key=["o_orderkey"])
+    some = sample_rejects(held, "o_orderkey", "price", "sdate")
+    known = held.select("o_orderkey", F.lit(1).alias("known"))
+    return some.join(known, "o_orderkey", "left").agg(
+        F.count("*").alias("sampled"),
+        F.count("known").alias("rejected"),
+        F.count_if(F.length(L.REJECT_REASON) > 0).alias("with_reason"),
+    )
+
+
+@query(
+    """
+select cast(code as varchar) as _rejection_code, n, true as ingested_now, n as ids from (
+  select case o_orderkey % 3 when 1 then 'E002' else 'E003' end as code, count(*) as n
+  from orders where o_orderkey % 3 <> 0 group by 1)
+"""
+)
+def judged_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders dated today, tomorrow, or today without a price, by the clock of the session."""
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey",
+        "date_add(current_date(), if(o_orderkey % 3 = 1, 1, 0)) as sdate",
+        "if(o_orderkey % 3 = 2, null, o_totalprice) as price",
+    )
+    rows = with_ingest_metadata(orders, "orders")
+    held = audit(quarantine(rows, full_rules(rows, "price", "sdate")))
+    now = F.current_timestamp()
+    recent = (F.col(L.INGESTED_AT) <= now) & (F.col(L.INGESTED_AT) > now - F.expr("interval 1 day"))
+    return held.groupBy(L.CODE).agg(
+        F.count("*").alias("n"),
+        F.bool_and(recent & (F.col(L.VALIDATED_ON) == F.current_date())).alias("ingested_now"),
+        F.countDistinct(L.QUARANTINE_ID).alias("ids"),
+    )
+
+
 def _layers(spark: SparkSession, lake: Lakehouse, *columns: str) -> DataFrame:
     return (
         lake.silver.read(spark)
@@ -353,8 +521,9 @@ def _layers(spark: SparkSession, lake: Lakehouse, *columns: str) -> DataFrame:
     + "select code as _rejection_code, count(*) as n from v where not coalesce(ok, false) group by 1"
 )
 def catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The quarantine table by its catalog name in SQL."""
-    lake = _filled_lake(spark, sf_dir, table=f"orders_{uuid.uuid4().hex}")
+    """The quarantine table by its catalog name in SQL, in databases of its own."""
+    lake = _filled_lake(spark, sf_dir)
     refine(spark, _job(lake))
-    name = next(n for n in lake.register(spark) if n.startswith("quarantine."))
+    names = lake.register(spark, namespace=f"lake_{uuid.uuid4().hex}")
+    name = next(n for n in names if "quarantine" in n)
     return spark.sql(f"SELECT {L.CODE}, count(*) AS n FROM {name} GROUP BY {L.CODE}")

@@ -28,7 +28,7 @@ def test_run_from_options(spark, tmp_path, contracts_csv):
     assert [r[0] for r in versions] == ["v9"]
     sizes = {r["layer"]: r["bytes"] for r in commit_metrics(spark, lake.commit_logs()).collect()}
     for layer in ("bronze", "quarantine"):  # silver's last commit is what was moved: nothing
-        files = Path(getattr(lake, layer).path).glob("*.parquet")
+        files = Path(getattr(lake, layer).path).rglob("*.parquet")
         assert sizes[layer] == sum(f.stat().st_size for f in files)
 
 

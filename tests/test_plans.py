@@ -1,10 +1,11 @@
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from decantry import labels as L
-from decantry.operators import layer_balance, layer_comparison, reason_counts
+from decantry.operators import layer_balance, layer_comparison, reason_counts, top_reasons
 from decantry.plans import (
     Lakehouse,
     Refinement,
@@ -16,8 +17,10 @@ from decantry.plans import (
     reprocess,
 )
 from decantry.operators.identity import with_identity
-from decantry.plans.runs import Summary, _as_silver, _settled_ids, new_rows
-from decantry.sources import CONTRACT_SCHEMA, commit_metrics, read_contracts
+from decantry.operators.copies import beyond, stored_copies
+from decantry.plans.runs import Summary, _as_silver, _identified, _settled_ids
+from decantry.session import Scratch
+from decantry.sources import CONTRACT_SCHEMA, Table, commit_metrics, read_contracts
 
 from contract_rows import HEADER, contract_line
 
@@ -71,6 +74,10 @@ def test_golden_run(spark, any_lake, contracts_csv):
     extremes = silver.agg(F.min("Precio_Base"), F.max("Precio_Base")).first()
     assert tuple(extremes) == (15, 128000)
     assert L.CODE in silver.columns and silver.filter(F.col(L.CODE).isNotNull()).isEmpty()
+    last = [L.REJECT_REASON, L.VALIDATED_AT, L.PIPELINE_VERSION, L.QUARANTINE_ID, L.ATTEMPTS]
+    last += [L.DUE_ON, L.VALIDATED_ON]
+    if lake.contract is None:
+        last = [L.DUE_ON, *(c for c in last if c != L.DUE_ON)]
     held = lake.read_quarantine(spark)
     pairs = sorted((r[L.CODE], r[L.REJECT_REASON]) for r in held.collect())
     assert pairs == [
@@ -82,8 +89,7 @@ def test_golden_run(spark, any_lake, contracts_csv):
     ]
     assert held.columns[15:] == [
         L.INGESTED_AT, L.SOURCE_FILE, L.INGESTED_ON, L.ROW_DIGEST, L.CHECKS, L.IS_VALID, L.REASONS,
-        L.CODE, L.REJECT_REASON, L.VALIDATED_AT, L.PIPELINE_VERSION, L.QUARANTINE_ID, L.ATTEMPTS,
-        L.REPROCESSED_AT,
+        L.CODE, *last, L.REPROCESSED_AT,
     ]
 
     assert refresh_gold(spark, job(lake)) == 6
@@ -124,7 +130,7 @@ def test_simple_golden_run(spark, any_lake, contracts_csv):
     rows = {r["layer"]: r["rows"] for r in commit_metrics(spark, lake.commit_logs()).collect()}
     assert rows == {"bronze": 12, "silver": 8, "quarantine": 4}
     assert refresh_gold(spark, job(lake)) == 6
-    held = spark.read.parquet(lake.quarantine.path)
+    held = replace(lake, snapshot=True).quarantine.read(spark)
     assert held.columns == [*CONTRACT_SCHEMA.names, L.REJECT_REASON]
     assert {tuple(r) for r in reason_counts(held).collect()} == {
         ("Fecha de Firma nula", 2),
@@ -261,6 +267,7 @@ def test_rows_that_share_a_key_are_all_kept(spark, lake, tmp_path):
         out = refine(spark, keyed, path)
     assert (out.total, out.clean, out.quarantine) == (5, 2, 3)
     assert lake.bronze.read(spark).count() == 5 and lake.quarantine.read(spark).count() == 3
+    assert lake.bronze.complete(spark) and lake.quarantine.complete(spark)
     ids = lake.quarantine.read(spark).select(L.QUARANTINE_ID)
     assert ids.distinct().count() == 3
     balance = layer_balance(commit_metrics(spark, lake.commit_logs())).first()
@@ -310,13 +317,38 @@ def test_a_new_column_passes_through_all_layers(spark, any_lake, tmp_path):
     assert out.total == 3
 
 
-def test_ingest_scans_bronze_without_shuffling_its_rows(spark, lake, mixed_csv):
+def test_a_match_scans_the_digests_of_bronze_and_nothing_else(spark, lake, mixed_csv):
     refine(spark, job(lake, once=True), mixed_csv)
     rows = with_identity(read_contracts(spark, mixed_csv))
-    plan = new_rows(job(lake, once=True), rows, lake.bronze.read(spark))
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") == 2
-    assert plan.count() == 0
+    stored = _identified(spark, lake.bronze)
+    present = stored.select(L.ROW_DIGEST).join(F.broadcast(rows.select(L.ROW_DIGEST)), L.ROW_DIGEST)
+    scan = [x for x in plan_of(present).splitlines() if "FileScan parquet" in x]
+    assert len(scan) == 1 and f"ReadSchema: struct<{L.ROW_DIGEST}:string>" in scan[0]
+    with Scratch(spark) as scratch:
+        have, found = stored_copies(scratch, rows, 5, stored)
+        assert found == 5 and {r["__have"] for r in have.collect()} == {1}
+        assert beyond(scratch, rows, 5, stored).count() == 0
+        twice = rows.unionAll(rows).unionAll(rows.filter("Entidad = 'sound'"))
+        got = beyond(scratch, twice, 11, stored)
+        assert got.columns == rows.columns
+        assert entities(got) == sorted(["sound", *entities(rows)])
+
+
+def plan_of(df):
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", 10_000)
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_without_a_digest_are_given_one_for_good(spark, tmp_path, mixed_csv):
+    lake = Lakehouse(str(tmp_path / "old"), contract=CONTRACT_SCHEMA)
+    ingest_snapshot(spark, lake, mixed_csv)
+    ingest(spark, job(lake), mixed_csv)
+    writes = lake.bronze.writes(spark)
+    assert len(writes) == 2 and not lake.bronze.complete(spark)
+    out = refine(spark, job(lake, once=True), mixed_csv)
+    assert out.total == 10 and lake.bronze.complete(spark)
+    assert lake.bronze.writes(spark) == writes
+    assert lake.bronze.read(spark).filter(F.col(L.ROW_DIGEST).isNull()).isEmpty()
 
 
 def test_a_key_given_later_moves_one_of_several_copies(spark, lake, mixed_csv):
@@ -365,9 +397,9 @@ def test_reports_by_catalog_name(spark, tmp_path, mixed_csv):
     lake = Lakehouse(str(tmp_path / "named"), table="by_name", contract=CONTRACT_SCHEMA)
     refine(spark, job(lake), mixed_csv)
     assert lake.register(spark) == [
-        "bronze.by_name",
-        "silver.by_name",
-        "quarantine.by_name_errors",
+        "`bronze`.`by_name`",
+        "`silver`.`by_name`",
+        "`quarantine`.`by_name_errors`",
     ]
     out = spark.sql(
         f"select {L.CODE} c, count(*) n from quarantine.by_name_errors"
@@ -378,3 +410,111 @@ def test_reports_by_catalog_name(spark, tmp_path, mixed_csv):
         lake.register(spark)
     assert len(lake.register(spark, replace=True)) == 3
     assert lake.silver.read(spark).count() == 1
+
+
+def test_all_copies_of_equal_rows_are_moved_and_stay(spark, any_lake, tmp_path):
+    row = ("a", "X", "2024-06-02", "100")
+    path = write_csv(tmp_path / "1.csv", row, row, ("b", "X", "2024-01-01", "1"))
+    day2 = job(any_lake, dt.date(2024, 6, 2))
+    for _ in range(2):  # the second run rejects both again
+        refine(spark, job(any_lake), path if _ == 0 else None)
+    assert any_lake.quarantine.read(spark).count() == 4
+    assert [reprocess(spark, day2) for _ in range(2)] == [2, 0]
+    moved = entities(any_lake.silver.read(spark))
+    refine(spark, day2, reprocess_quarantine=True)
+    assert entities(any_lake.silver.read(spark)) == moved == ["a", "a", "b"]
+
+
+def test_a_move_that_died_half_way_is_completed(spark, lake, tmp_path):
+    row = ("a", "X", "2024-06-02", "100")
+    refine(spark, job(lake), write_csv(tmp_path / "1.csv", row, row, row))
+    day2 = job(lake, dt.date(2024, 6, 2))
+    lake.silver.append(_as_silver(spark, lake, lake.quarantine.read(spark).limit(1)))
+    assert [reprocess(spark, day2) for _ in range(2)] == [2, 0]
+    attempts = [r[L.ATTEMPTS] for r in lake.read_quarantine(spark).collect()]
+    assert attempts == [1, 1, 1]
+
+
+@pytest.mark.parametrize("once", [False, True])
+def test_equal_rows_of_a_delivery_are_kept(spark, lake, tmp_path, once):
+    good, bad = ("a", "X", "2024-01-01", "1"), ("b", "X", "", "2")
+    path = write_csv(tmp_path / "1.csv", good, good, bad, bad)
+    out = refine(spark, job(lake, once=once), path)
+    assert (out.total, out.clean, out.quarantine) == (4, 2, 2)
+    if once:
+        again = write_csv(tmp_path / "2.csv", good, good, good, bad)
+        out = refine(spark, job(lake, once=once), again)
+        assert (out.total, out.clean, out.quarantine) == (5, 3, 2)
+        ids = lake.quarantine.read(spark).select(L.QUARANTINE_ID)
+        assert ids.count() == ids.distinct().count() == 2
+
+
+def test_a_run_over_what_is_new_equals_a_full_one(spark, tmp_path, mixed_csv):
+    more = write_csv(tmp_path / "2.csv", ("later", "X", "2024-05-05", "1"), ("broke", "X", "2024-05-05", "-1"))
+    lakes = [Lakehouse(str(tmp_path / n), contract=CONTRACT_SCHEMA) for n in ("full", "new")]
+    got = []
+    for lake, new in zip(lakes, (False, True), strict=True):
+        for path, day in ((mixed_csv, DAY1), (more, DAY1), (None, dt.date(2024, 6, 2))):
+            out = refine(spark, job(lake, day, once=True), path, True, new_only=new)
+        got.append((entities(lake.silver.read(spark)), entities(lake.quarantine.read(spark))))
+    assert got[0] == got[1] == (
+        ["later", "sound", "tomorrow"], ["broke", "next year", "no date", "no price", "tomorrow"],
+    )
+    assert (out.total, out.moved) == (0, 1)
+    held = {r["Entidad"]: r[L.DUE_ON] for r in lakes[1].quarantine.read(spark).collect()}
+    assert held["next year"] == dt.date(2025, 6, 1) and held["no date"] is None
+    # What was gated before is not read: its folders are left out by name.
+    lake = lakes[1]
+    first, last = lake.bronze.writes(spark)
+    plan = plan_of(lake.bronze.read(spark, writes=True).filter(F.col("_write").isin([last])))
+    assert "PartitionFilters: [isnotnull(_write" in plan
+    files_read = lake.bronze.read(spark, writes=True).filter(F.col("_write") == last)
+    assert all(f"_write={last}" in f[0] for f in files_read.select("_metadata.file_path").distinct().collect())
+
+
+def test_new_rows_gated_twice_are_stored_once(spark, lake, mixed_csv, monkeypatch):
+    ingest(spark, job(lake), mixed_csv)
+    take = Table.take
+    monkeypatch.setattr(Table, "take", lambda *_: (_ for _ in ()).throw(OSError("driver lost")))
+    with pytest.raises(OSError, match="driver lost"):
+        refine(spark, job(lake), new_only=True)
+    monkeypatch.setattr(Table, "take", take)
+    # Judged a day later, one row more is clean; it is not in quarantine as well.
+    out = refine(spark, job(lake, dt.date(2024, 6, 2)), new_only=True)
+    assert (out.total, out.clean, out.quarantine) == (5, 2, 3)
+    assert lake.silver.read(spark).count() == 2 and lake.quarantine.read(spark).count() == 3
+    assert refine(spark, job(lake), new_only=True).total == 0
+
+
+def test_silver_outlives_a_run_that_dies_while_it_is_replaced(spark, lake, mixed_csv):
+    refine(spark, job(lake), mixed_csv)
+    silver = lake.silver.read(spark)
+    broken = silver.withColumn("Entidad", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        lake.silver.overwrite(broken)
+    assert entities(lake.silver.read(spark)) == ["sound"]
+    lake.silver.overwrite(lake.silver.read(spark).withColumn("Entidad", F.lit("new")))
+    assert entities(lake.silver.read(spark)) == ["new"]
+    # A reader that had begun still finds what it was reading.
+    assert entities(silver) == ["sound"]
+
+
+def test_reports_read_the_days_they_need(spark, lake, mixed_csv):
+    for day in (DAY1, dt.date(2024, 7, 20)):
+        refine(spark, job(lake, day), mixed_csv)
+    held = lake.quarantine.read(spark)
+    report = top_reasons(held, dt.date(2024, 7, 21))
+    assert "PartitionFilters: [" in plan_of(report) and f"{L.VALIDATED_ON}" in plan_of(report)
+    recent = held.filter(F.col(L.VALIDATED_ON) >= dt.date(2024, 6, 21))
+    files_read = recent.select("_metadata.file_path").distinct().collect()
+    assert files_read and all(f"{L.VALIDATED_ON}=2024-07-20" in f[0] for f in files_read)
+    assert sum(r["cnt"] for r in report.collect()) == 6
+
+
+def test_a_path_with_quotes_and_two_lakehouses_in_one_catalog(spark, tmp_path, mixed_csv):
+    lakes = [Lakehouse(str(tmp_path / f"it's `{n}`"), "quoted", contract=CONTRACT_SCHEMA) for n in "ab"]
+    for lake in (*lakes, lakes[1]):
+        refine(spark, job(lake), mixed_csv)
+    found = [lake.register(spark, namespace=f"lake_{i}") for i, lake in enumerate(lakes)]
+    counts = [spark.sql(f"select count(*) from {names[0]}").first()[0] for names in found]
+    assert counts == [5, 10] and found[0][0] == "`lake_0_bronze`.`quoted`"

@@ -63,9 +63,9 @@ def test_a_batch_delivered_twice_is_stored_once(spark, tmp_path, key):
         [("a", dt.date(2024, 1, 1), 1.0, "f"), ("b", None, 1.0, "f")],
         "Entidad string, Fecha_de_Firma date, Precio_Base double, _source_file string",
     )
-    append_batch(rows, keyed)
+    append_batch(rows, keyed, "s-0")
     first = layers(spark, keyed.lake)
-    append_batch(rows, keyed)
+    append_batch(rows, keyed, "s-0")
     assert layers(spark, keyed.lake) == first
 
 
@@ -74,12 +74,12 @@ def test_equal_rows_are_kept_and_a_batch_stored_in_part_is_completed(spark, tmp_
     schema = "Entidad string, Fecha_de_Firma date, Precio_Base double, _source_file string"
     good, bad = ("a", dt.date(2024, 1, 1), 1.0), ("b", None, 1.0)
     first = spark.createDataFrame([(*r, "f") for r in (good, good, bad, bad)], schema)
-    append_batch(first.limit(1), plain)
-    append_batch(first, plain)
-    append_batch(first, plain)
+    append_batch(first.limit(1), plain, "s-0")
+    append_batch(first, plain, "s-0")
+    append_batch(first, plain, "s-0")
     once = {"bronze": [*"aabb"], "silver": [*"aa"], "quarantine": [("b", "E001")] * 2}
     assert layers(spark, plain.lake) == once
-    append_batch(spark.createDataFrame([(*r, "g") for r in (good, bad)], schema), plain)
+    append_batch(spark.createDataFrame([(*r, "g") for r in (good, bad)], schema), plain, "s-1")
     got = layers(spark, plain.lake)
     assert got["silver"] == [*"aaa"] and got["quarantine"] == [("b", "E001")] * 3
     held = plain.lake.quarantine.read(spark)

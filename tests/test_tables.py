@@ -4,8 +4,8 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 
+from decantry import files
 from decantry.sources import CommitLog, SchemaConflict, Table, align_to, commit_metrics
-from decantry.sources.commits import stored_bytes
 
 
 def ddl(text):
@@ -117,7 +117,7 @@ def test_compacting_writes_few_files(spark, tmp_path):
     table = Table(str(tmp_path / "t"))
     rows = spark.range(0, 1000, 1, 40).toDF("a").filter("a % 10 = 0")
     assert table.append(rows, compact=True) == 100
-    assert len(list((tmp_path / "t").glob("*.parquet"))) < 8
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) < 8
     assert table.read(spark).count() == 100
 
 
@@ -166,8 +166,65 @@ def test_recorded_commits(spark, tmp_path):
     assert (last["rows"], last["bytes"], last["judged"]) == (1, None, 9)
 
 
-def test_stored_bytes(spark, tmp_path):
-    path = tmp_path / "t"
-    assert stored_bytes(spark, str(path)) == 0
-    spark.range(10).write.parquet(str(path))
-    assert stored_bytes(spark, str(path)) == sum(f.stat().st_size for f in path.glob("*.parquet"))
+def test_bytes_are_those_of_a_write(spark, tmp_path):
+    table = Table(str(tmp_path / "t"))
+    for name in ("a", "b"):
+        table.append(spark.range(10).toDF("x"), write=name)
+    for name in ("a", "b"):
+        size = sum(f.stat().st_size for f in tmp_path.rglob(f"_write={name}/*.parquet"))
+        assert files.bytes_below(spark, table.write_folder(spark, name)) == size > 0
+    assert files.bytes_below(spark, str(tmp_path / "nowhere")) == 0
+
+
+def test_struct_members_are_added_at_any_depth(spark, tmp_path):
+    table = Table(str(tmp_path / "t"))
+    table.append(spark.sql("select 1 as id, named_struct('a', true, 's', named_struct('x', 1)) as c, array(named_struct('k', 1)) as l"))
+    table.append(
+        spark.sql(
+            "select 2 as id, named_struct('s', named_struct('y', 'n', 'X', 2), 'b', false) as c,"
+            " array(named_struct('m', 2.5D, 'k', 3), null) as l"
+        )
+    )
+    table.append(spark.sql("select 3 as id, cast(null as struct<a:boolean>) as c, cast(null as array<struct<k:int>>) as l"))
+    out = {r["id"]: r.asDict(recursive=True) for r in table.read(spark).collect()}
+    assert out[1]["c"] == {"a": True, "s": {"x": 1, "y": None}, "b": None}
+    assert out[2]["c"] == {"a": None, "s": {"x": 2, "y": "n"}, "b": False}
+    assert out[1]["l"] == [{"k": 1, "m": None}] and out[2]["l"] == [{"k": 3, "m": 2.5}, None]
+    assert out[3]["c"] is None and out[3]["l"] is None
+    for lossy in ("named_struct('a', 'text')", "named_struct('s', named_struct('x', 1L))", "true"):
+        with pytest.raises(SchemaConflict, match="c"):
+            table.append(spark.sql(f"select 4 as id, {lossy} as c"))
+    assert table.read(spark).count() == 3
+
+
+def test_versions_and_writes(spark, tmp_path):
+    table = Table(str(tmp_path / "t"), key="k", partition_by=("day",))
+    rows = spark.sql("select 1 as k, date'2024-01-01' as day")
+    table.append(rows, write="a")
+    table.append(rows, write="b")
+    table.append(rows.union(rows), write="b")
+    assert table.writes(spark) == ["a", "b"] and table.complete(spark)
+    assert table.read(spark).count() == 3 and table.read(spark).columns == ["k", "day"]
+    late = spark.sql("select 2 as k, cast(null as date) as day, 'b' as _write")
+    assert table.replace_writes(late, ["b", "c"]) == 1
+    assert sorted(map(tuple, table.read(spark, writes=True).collect()), key=str) == [
+        (1, dt.date(2024, 1, 1), "a"), (2, None, "b"),
+    ]
+    table.append(spark.sql("select cast(null as int) as k, date'2024-01-01' as day"))
+    assert not table.complete(spark)
+    table.rewrite(spark, table.read(spark, writes=True).fillna({"k": 7}))
+    assert table.complete(spark) and table.read(spark).agg({"k": "sum"}).first()[0] == 10
+    for _ in range(3):
+        table.overwrite(table.read(spark))
+    assert len([p for p in (tmp_path / "t").iterdir() if p.is_dir()]) == 2
+    assert table.append(rows.filter("k > 5")) == 0 and len(table.writes(spark)) == 1
+
+
+def test_two_writers_of_a_state_do_not_lose_each_other(spark, tmp_path):
+    table = Table(str(tmp_path / "t"))
+    table.append(spark.range(1).toDF("a"))
+    files.write_new(spark, str(tmp_path / "x" / "1.json"), "{}")
+    with pytest.raises(FileExistsError):
+        files.write_new(spark, str(tmp_path / "x" / "1.json"), "{}")
+    assert files.read_text(spark, str(tmp_path / "x" / "1.json")) == "{}"
+    assert files.names(spark, str(tmp_path / "x")) == ["1.json"]
