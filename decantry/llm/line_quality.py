@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACES, UPPER, text_of, words_of
+from .common import LOWER, SPACES, UPPER, join_unique, text_of, words_of
 
 SYMBOLS = "#*$%&|<>"
 
@@ -110,9 +110,33 @@ def judge(
     name. Each row is judged, repeated ones alike; ids play no part. An empty table has
     no rows.
     """
+    judged = _judged_alone(docs, host, text, limits, keep)
+    seen = _lines(docs, host, text)
+    removed = (
+        seen.join(boilerplate(docs, host, text, limits).select("host", "line"), ["host", "line"])
+        .groupBy("host", "text_hash")
+        .agg(F.sum("words").alias("n_boilerplate_words"))
+    )
+    return (
+        judged.join(removed, ["host", "text_hash"], "left")
+        .withColumn("n_boilerplate_words", F.coalesce("n_boilerplate_words", F.lit(0)))
+        .withColumn("kept", ~F.col("base_failed") & ~_depleted(limits))
+        .drop("host", "text_hash")
+    )
+
+
+def _depleted(limits: Limits) -> Column:
+    left = F.col("n_words") - F.col("n_boilerplate_words")
+    return (left < limits.min_words) | (left < limits.min_left * F.col("n_words"))
+
+
+def _judged_alone(
+    docs: DataFrame, host: str, text: str, limits: Limits, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """Rows with host, text hash and counts, and the verdict of the rules on single texts."""
     long = lambda c: c.cast("long")
     lines = F.filter(F.split("body", "\n"), has_word)
-    judged = (
+    return (
         docs.select(
             F.struct(*(F.col(f"`{c}`") for c in keep or docs.columns)).alias("row"),
             *_host_and_text(F.col(host), F.col(text)),
@@ -137,20 +161,6 @@ def judge(
             | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
         )
     )
-    seen = _lines(docs, host, text)
-    removed = (
-        seen.join(boilerplate(docs, host, text, limits).select("host", "line"), ["host", "line"])
-        .groupBy("host", "text_hash")
-        .agg(F.sum("words").alias("n_boilerplate_words"))
-    )
-    left = F.col("n_words") - F.col("n_boilerplate_words")
-    depleted = (left < limits.min_words) | (left < limits.min_left * F.col("n_words"))
-    return (
-        judged.join(removed, ["host", "text_hash"], "left")
-        .withColumn("n_boilerplate_words", F.coalesce("n_boilerplate_words", F.lit(0)))
-        .withColumn("kept", ~F.col("base_failed") & ~depleted)
-        .drop("host", "text_hash")
-    )
 
 
 def _host_and_text(host: Column, text: Column) -> list[Column]:
@@ -235,3 +245,47 @@ def without_boilerplate(
             for c in docs.columns
         )
     )
+
+
+def cleaned(
+    docs: DataFrame,
+    host: str = "source",
+    text: str = "text",
+    limits: Limits = Limits(),
+    n_removed: str = "n_boilerplate_words",
+) -> DataFrame:
+    """The documents that ``judge`` keeps, without their lines above the limits, and how
+    many words these had.
+
+    As ``judge`` and ``without_boilerplate`` together, with the texts that pass the rules
+    on single texts shuffled once. A text that loses no line is as it was.
+    """
+    listed = boilerplate(docs, host, text, limits).select(F.struct("host", "line").alias("named"))
+    seen = _lines(docs, host, text).withColumn("named", F.struct("host", "line"))
+    gone = (
+        join_unique(seen, listed, "named")
+        .groupBy(F.struct("host", "text_hash").alias("of"))
+        .agg(F.sum("words").alias("n_boilerplate_words"), F.collect_set("at").alias("gone"))
+    )
+    alone = _judged_alone(docs, host, text, limits).filter(~F.col("base_failed"))
+    alone = alone.select("row", "n_words", F.struct("host", "text_hash").alias("of"))
+    joined = join_unique(alone, gone, "of", "left").withColumn(
+        "n_boilerplate_words", F.coalesce("n_boilerplate_words", F.lit(0))
+    )
+    own = F.col(f"row.`{text}`")
+    left = let(
+        F.split(own, "\n"),
+        lambda lines: F.transform(
+            F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone")), lambda i: F.get(lines, i)
+        ),
+    )
+    return joined.filter(~_depleted(limits)).select(
+        *(
+            F.when(F.col("gone").isNull(), own).otherwise(F.array_join(left, "\n")).alias(c)
+            if c == text
+            else F.col(f"row.`{c}`").alias(c)
+            for c in docs.columns
+            if c != n_removed
+        ),
+        F.col("n_boilerplate_words").alias(n_removed),
+    )

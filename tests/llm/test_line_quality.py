@@ -1,8 +1,10 @@
 from collections import Counter, defaultdict
 
 import pytest
-from decantry.llm.line_quality import Limits, judge, without_boilerplate
+from decantry.llm.line_quality import Limits, boilerplate as listed_lines
+from decantry.llm.line_quality import cleaned, judge, without_boilerplate
 from helpers import corpus, docs, words
+from pyspark.sql import functions as F
 
 SYMBOLS = set("#*$%&|<>")
 
@@ -91,3 +93,19 @@ def test_columns_stay_and_empty_tables_pass(spark):
 def test_no_python_runs(spark):
     plan = judge(docs(spark, corpus(1)))._jdf.queryExecution().executedPlan().toString()
     assert "Eval" not in plan and "InArrow" not in plan and "InPandas" not in plan
+
+
+@pytest.mark.parametrize("limits", [Limits(), Limits(documents=2, share=0.0, min_words=5, min_left=0.3)])
+def test_cleaned_is_what_is_kept_without_its_lines(spark, limits):
+    rows = corpus(3) + [(91, "Some words\n" * 3 + "this line stands in many documents, number 1", None)]
+    rows += [rows[5], rows[5], (None, rows[6][1], "a")]
+    table = docs(spark, rows, clashing=True).withColumn("of", F.lit("x"))
+    got = cleaned(table, limits=limits)
+    kept = judge(table, limits=limits).filter("kept").select("row.*", "n_boilerplate_words")
+    want = without_boilerplate(kept, limits=limits, listed=listed_lines(table, limits=limits))
+    assert got.columns == want.columns
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+    assert limits == Limits() or got.filter("n_boilerplate_words > 0").count() > 3
+    assert cleaned(table.limit(0)).count() == 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Eval" not in plan and "InArrow" not in plan and "InPandas" not in plan
