@@ -32,10 +32,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Lines that their host repeats above the limits go, and documents that the rules reject."""
     ship(spark)
     words = free_name("n_boilerplate_words", docs)
-    kept = line_quality.judge(docs).filter("kept").select("row.*", F.col("n_boilerplate_words").alias(words))
     # The limits are of all documents, those that are rejected as well.
-    left = line_quality.without_boilerplate(kept, listed=line_quality.boilerplate(docs))
-    return _counted(left, words, docs.columns)
+    return _counted(line_quality.cleaned(docs, n_removed=words), words, docs.columns)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
