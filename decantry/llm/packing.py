@@ -5,8 +5,8 @@ a rest of ``n`` tokens goes into a window filled to level ``h``, or a new one (l
 such that the sum over all levels of the squared count of windows filled to that level
 grows least. Counts per level are all the rule looks at; windows leave when full.
 
-Documents are dealt by a hash into shards of a bounded number of rows, each packed on
-its own. At a shard's end its windows that are still open are laid end to end and cut
+Pieces are dealt by a hash into shards of a bounded number of documents and bytes, each
+packed on its own. At a shard's end its windows that are still open are laid end to end and cut
 anew, so that each shard leaves at most one window with padding beyond ``slack``.
 """
 
@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from .byte_bpe import encoder
 from .common import in_chunks
 
-SHARD_ROWS = 4096  # documents a shard has on average
+SHARD_ROWS = 4096  # documents a shard has on average,
+SHARD_BYTES = 1 << 24  # or as many bytes of text, if that is less
 PIECES = (
     "doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long, ids binary"
@@ -74,18 +75,21 @@ def pack_shard(rows: pd.DataFrame, size: int, slack: int) -> pd.DataFrame:
     for i, window in zip(short, placed, strict=True):
         inside.setdefault(window, []).append(i)
 
-    out: list[tuple[int, int, bytes, int, int]] = []  # row, start, ids, sequence, offset
+    # Row, start, length, ids, their crc, sequence, offset. Pieces that are not cut anew
+    # are as they came, also without ids.
+    crcs = list(rows["ids_crc32"])
+    out: list[tuple[int, int, int, bytes | None, int, int, int]] = []
     sequence = 0
     for i, n in enumerate(lengths):
         if n == size:
-            out.append((i, starts[i], ids[i], sequence, 0))
+            out.append((i, starts[i], n, ids[i], crcs[i], sequence, 0))
             sequence += 1
     for window, members in inside.items():
         if window in loose:
             continue
         offset = 0
         for i in members:
-            out.append((i, starts[i], ids[i], sequence, offset))
+            out.append((i, starts[i], lengths[i], ids[i], crcs[i], sequence, offset))
             offset += int(lengths[i])
         sequence += 1
     offset = 0
@@ -94,7 +98,7 @@ def pack_shard(rows: pd.DataFrame, size: int, slack: int) -> pd.DataFrame:
             start, left = starts[i], ids[i]
             while left:
                 part = left[: 4 * (size - offset)]
-                out.append((i, start, part, sequence, offset))
+                out.append((i, start, len(part) // 4, part, crc(part), sequence, offset))
                 start, left = start + len(part) // 4, left[len(part) :]
                 offset += len(part) // 4
                 if offset == size:
@@ -104,39 +108,47 @@ def pack_shard(rows: pd.DataFrame, size: int, slack: int) -> pd.DataFrame:
         {
             "doc_id": rows["doc_id"].take(at).array,
             "start": [x[1] for x in out],
-            "length": [len(x[2]) // 4 for x in out],
-            "ids_crc32": [crc(x[2]) for x in out],
+            "length": [x[2] for x in out],
+            "ids_crc32": [x[4] for x in out],
             "doc_tokens": rows["doc_tokens"].take(at).array,
-            "sequence_id": [x[3] for x in out],
-            "offset": [x[4] for x in out],
-            "ids": [x[2] for x in out],
+            "sequence_id": [x[5] for x in out],
+            "offset": [x[6] for x in out],
+            "ids": [x[3] for x in out],
         }
     )
 
 
-def tokenized(docs: DataFrame, path: str, size: int, end_id: int, doc_id: str, text: str) -> DataFrame:
-    """Pieces of at most ``size`` ids of each document with ``end_id`` at its end."""
+def tokenized(
+    docs: DataFrame, path: str, size: int, end_id: int, doc_id: str, text: str, with_ids: bool = True
+) -> DataFrame:
+    """Pieces of at most ``size`` ids of each document with ``end_id`` at its end; without
+    ``with_ids`` full ones go without their ids."""
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_texts = encoder(path, offsets=False)
+        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for first, last in in_chunks(texts):
-                row, start, total, pieces = [], [], [], []
+                row, start, total, length, crcs, pieces = [], [], [], [], [], []
                 for i, ids in enumerate(encode_texts(texts[first:last])[0], first):
-                    whole = np.append(ids, end_id).astype("<u4").tobytes()
-                    for at in range(0, len(whole), 4 * size):
+                    whole = ids.tobytes() + end
+                    n = len(whole) // 4
+                    for at in range(0, n, size):
+                        part = whole[4 * at : 4 * (at + size)]
                         row.append(i)
-                        start.append(at // 4)
-                        total.append(len(whole) // 4)
-                        pieces.append(whole[at : at + 4 * size])
+                        start.append(at)
+                        total.append(n)
+                        length.append(len(part) // 4)
+                        crcs.append(crc(part))
+                        pieces.append(part if with_ids or n - at < size else None)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(row, pa.int64())),
                         pa.array(start, pa.int64()),
-                        pa.array([len(x) // 4 for x in pieces], pa.int64()),
-                        pa.array([crc(x) for x in pieces], pa.int64()),
+                        pa.array(length, pa.int64()),
+                        pa.array(crcs, pa.int64()),
                         pa.array(total, pa.int64()),
                         pa.array(pieces, pa.binary()),
                     ],
@@ -159,9 +171,12 @@ def pack(
     shard_rows: int = SHARD_ROWS,
     doc_id: str = "doc_id",
     text: str = "text",
+    with_ids: bool = True,
 ) -> DataFrame:
     """One row per piece, with its ids (unsigned, 4 bytes each, little-endian).
 
+    A caller without use for the ids leaves them out, and they are not shuffled.
+
     Every id of every document, with ``end_id`` at its end, lies in exactly one piece;
     ``sequence_id`` and ``offset`` say where. A window with at most ``slack`` free places
     at the end of a shard stays as it is.
@@ -171,8 +186,9 @@ def pack(
     table gives no pieces. Other columns are left out.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
-    shards = max(1, -(-docs.count() // shard_rows))
-    pieces = tokenized(docs, path, size, end_id, doc_id, text)
+    texts = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length(F.col(text))).alias("bytes")).first()
+    shards = max(1, -(-texts["n"] // shard_rows), -(-(texts["bytes"] or 0) // SHARD_BYTES))
+    pieces = tokenized(docs, path, size, end_id, doc_id, text, with_ids)
     # A rest's crc has all its ids in it, so rows that share an id go to many shards.
     dealt = pieces.withColumn(
         "shard", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(shards))
@@ -183,4 +199,5 @@ def pack(
         out["sequence_id"] = out["sequence_id"] * shards + int(key[0])
         return out
 
-    return dealt.groupBy("shard").applyInPandas(work, PIECES.format(kind=kind))
+    packed = dealt.groupBy("shard").applyInPandas(work, PIECES.format(kind=kind))
+    return packed if with_ids else packed.drop("ids")

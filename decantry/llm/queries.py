@@ -327,7 +327,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packing.pack(docs, vocabulary(BPE_JSON), size=1024, end_id=0).drop("ids")
+    return packing.pack(docs, vocabulary(BPE_JSON), size=1024, end_id=0, with_ids=False)
 
 
 @query()

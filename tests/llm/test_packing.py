@@ -78,6 +78,15 @@ def test_every_id_is_in_one_place(spark, size, shard_rows):
     assert padding <= size * shards + 8 * got["sequence_id"].nunique()
 
 
+def test_without_ids_and_in_small_shards_all_else_is_the_same(spark, monkeypatch):
+    monkeypatch.setattr("decantry.llm.packing.SHARD_BYTES", 10_000)
+    table = docs(spark, corpus(9))
+    packed = [pack(table, vocabulary(BPE_JSON), size=64, with_ids=w) for w in (True, False)]
+    assert "ids" not in packed[1].columns
+    a, b = (sorted(map(tuple, p.drop("ids").collect())) for p in packed)
+    assert a == b
+
+
 def test_repeated_and_unnamed_rows_and_empty_tables(spark):
     rows = [(1, "a b c")] * 3 + [(None, "x"), (2, None), (3, "")]
     got = pack(docs(spark, rows), vocabulary(BPE_JSON), size=64)
