@@ -7,7 +7,9 @@ their own rows first, and where only some copies of a row are new they are made
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import labels as L
@@ -29,20 +31,18 @@ def _small(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
-def stored_copies(
-    scratch: Scratch, wanted: DataFrame, n_wanted: int, stored: DataFrame
-) -> tuple[DataFrame, int]:
-    """How many copies ``stored`` has of each digest of ``wanted`` that it has, and of how
-    many digests that is.
+def _within(counts: DataFrame, n_rows: int, stored: DataFrame) -> DataFrame:
+    """The digests of ``stored`` that ``counts`` has, one row per copy.
 
-    Of ``stored`` one column is scanned. Up to 64 MB of digests, by their number, go to
-    where it lies; more are shuffled with it.
+    One column is scanned. Up to 64 MB of digests, by their number, go to where it lies;
+    more are shuffled with it.
     """
-    digests = wanted.select(L.ROW_DIGEST).distinct()
-    present = stored.select(L.ROW_DIGEST).join(
-        _small(digests, _few(n_wanted)), L.ROW_DIGEST, "left_semi"
-    )
-    return scratch.keep(present.groupBy(L.ROW_DIGEST).agg(F.count(F.lit(1)).alias(_HAVE)))
+    wanted = _small(counts.select(L.ROW_DIGEST), _few(n_rows))
+    return stored.select(L.ROW_DIGEST).join(wanted, L.ROW_DIGEST, "left_semi")
+
+
+def _copies(rows: DataFrame, name: str) -> DataFrame:
+    return rows.groupBy(L.ROW_DIGEST).agg(F.count(F.lit(1)).alias(name))
 
 
 def beyond(scratch: Scratch, rows: DataFrame, n_rows: int, stored: DataFrame | None) -> DataFrame:
@@ -52,22 +52,22 @@ def beyond(scratch: Scratch, rows: DataFrame, n_rows: int, stored: DataFrame | N
     """
     if stored is None or not n_rows:
         return rows
-    have, found = stored_copies(scratch, rows, n_rows, stored)
+    counts = _copies(rows, "__n")
+    have = _copies(_within(counts, n_rows, stored), _HAVE)
+    more = (F.col("__n") - F.col(_HAVE)).alias(_MORE)
+    known = have.join(counts, L.ROW_DIGEST).select(L.ROW_DIGEST, more)
+    known, found, partly = scratch.keep(known, F.col(_MORE) > 0)
     if not found:
         return rows
-    small = _few(found)
-    unknown = rows.join(_small(have, small), L.ROW_DIGEST, "left_anti")
-    again = rows.select(L.ROW_DIGEST).join(_small(have, small), L.ROW_DIGEST)
-    more = (F.count(F.lit(1)) - F.col(_HAVE)).alias(_MORE)
-    short, partly = scratch.keep(again.groupBy(L.ROW_DIGEST, _HAVE).agg(more).filter(F.col(_MORE) > 0))
-    unknown = unknown.select(*(column_ref(c) for c in rows.columns))
+    names = [column_ref(c) for c in rows.columns]
+    unknown = rows.join(_small(known, _few(found)), L.ROW_DIGEST, "left_anti").select(*names)
     if not partly:
         return unknown
-    one = F.first(F.struct(*(column_ref(c) for c in rows.columns))).alias(_ROW)
+    short = _small(known.filter(F.col(_MORE) > 0), _few(partly))
     copies = (
-        rows.join(_small(short.drop(_HAVE), _few(partly)), L.ROW_DIGEST)
+        rows.join(short, L.ROW_DIGEST)
         .groupBy(column_ref(L.ROW_DIGEST).alias("__digest"), _MORE)
-        .agg(one)
+        .agg(F.first(F.struct(*names)).alias(_ROW))
         .select(_ROW, F.explode(F.sequence(F.lit(1), F.col(_MORE))))
     )
     return unknown.unionByName(copies.select(f"{_ROW}.*"))
@@ -90,41 +90,45 @@ def still_missing(
     """
     if not n_rows:
         return rows
-    counts = rows.groupBy(L.ROW_DIGEST).agg(F.count(F.lit(1)).alias("__n"))
-    for name, other in (("__stored", stored), ("__source", source)):
-        if other is None:
-            counts = counts.withColumn(name, F.lit(None).cast("long"))
-        else:
-            have, found = stored_copies(scratch, rows, n_rows, other)
-            have = have.withColumnRenamed(_HAVE, name)
-            counts = counts.join(_small(have, _few(found)), L.ROW_DIGEST, "left")
-    lacking = F.col("__source") - F.coalesce("__stored", F.lit(0))
-    more = F.least(F.col("__n"), F.coalesce(lacking, F.col("__n")))
-    needed = counts.select(L.ROW_DIGEST, "__n", more.alias(_MORE)).filter(F.col(_MORE) > 0)
-    needed, digests = scratch.keep(needed)
+    counts = _copies(rows, "__n")
+    here = [
+        _within(counts, n_rows, other).withColumn("__from", F.lit(name))
+        for name, other in (("stored", stored), ("source", source))
+        if other is not None
+    ]
+    needed = counts.withColumn(_MORE, F.col("__n"))
+    if here:
+        found = reduce(DataFrame.union, here).groupBy(L.ROW_DIGEST).agg(
+            F.count_if(F.col("__from") == "stored").alias("__stored"),
+            F.count_if(F.col("__from") == "source").alias("__source"),
+        )
+        limit = F.when(F.col("__source") > 0, F.col("__source")).otherwise(F.col("__n"))
+        lacking = F.coalesce(limit - F.col("__stored"), F.col("__n"))
+        needed = counts.join(found, L.ROW_DIGEST, "left").withColumn(_MORE, F.least("__n", lacking))
+    some = F.col(_MORE) < F.col("__n")
+    needed = needed.filter(F.col(_MORE) > 0).select(L.ROW_DIGEST, "__n", _MORE)
+    needed, digests, partly = scratch.keep(needed, some)
 
     # A struct as key leaves the rows of a frequent digest to be split over tasks.
     match = F.struct(L.ROW_DIGEST)
     names = [column_ref(c) for c in rows.columns]
     keyed = rows.withColumn(_ROW, match)
-    whole = _of(needed.filter(F.col(_MORE) == F.col("__n")), match)
+    whole = needed.filter(~some).select(match.alias(_ROW))
     taken = keyed.join(_small(whole, _few(digests)), _ROW).select(*names)
-    some, partly = scratch.keep(needed.filter(F.col(_MORE) < F.col("__n")))
     if not partly:
         return taken
+    in_part = _small(needed.filter(some).drop("__n"), _few(partly))
     if run:
-        per_run = rows.join(_small(some, _few(partly)), L.ROW_DIGEST).groupBy(L.ROW_DIGEST, _MORE, run)
+        per_run = rows.join(in_part, L.ROW_DIGEST).groupBy(L.ROW_DIGEST, _MORE, run)
         fitting = per_run.agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") == F.col(_MORE))
         last = fitting.groupBy(L.ROW_DIGEST).agg(F.max(run).alias("__run"))
         last, runs = scratch.keep(last)
-        of_run = keyed.join(_small(_of(last, match, "__run"), _few(runs)), _ROW)
+        of_run = keyed.join(_small(last.select(match.alias(_ROW), "__run"), _few(runs)), _ROW)
         taken = taken.unionByName(of_run.filter(F.col(run) == F.col("__run")).select(*names))
-        some = some.join(_small(last, _few(runs)), L.ROW_DIGEST, "left_anti")
+        if runs == partly:
+            return taken
+        in_part = in_part.join(_small(last, _few(runs)), L.ROW_DIGEST, "left_anti")
     # No run fits: one died half-way, or the source has lost copies.
     place = F.row_number().over(Window.partitionBy(L.ROW_DIGEST).orderBy(L.QUARANTINE_ID))
-    ranked = rows.join(_small(some.drop("__n"), _few(partly)), L.ROW_DIGEST).withColumn("__place", place)
+    ranked = rows.join(in_part, L.ROW_DIGEST).withColumn("__place", place)
     return taken.unionByName(ranked.filter(F.col("__place") <= F.col(_MORE)).select(*names))
-
-
-def _of(digests: DataFrame, match: Column, *columns: str) -> DataFrame:
-    return digests.select(match.alias(_ROW), *columns)

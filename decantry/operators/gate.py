@@ -48,6 +48,24 @@ def split(df: DataFrame, rules: RuleSet) -> tuple[DataFrame, DataFrame]:
     return clean(df, rules), quarantine(df, rules)
 
 
+def judged(
+    df: DataFrame,
+    rules: RuleSet,
+    pipeline_version: str = "v1",
+    run_ts: dt.datetime | Column | None = None,
+) -> DataFrame:
+    """All rows, those that fail with verdict and audit columns, which are NULL for the others."""
+    both = audit(validate(df, rules).withColumn(L.DUE_ON, rules.due), pipeline_version, run_ts)
+    failed = ~F.coalesce(rules.passed, F.lit(False))
+    own = set(df.columns)
+    return both.select(
+        *(
+            column_ref(c) if c in own else F.when(failed, column_ref(c)).alias(c)
+            for c in both.columns
+        )
+    )
+
+
 def with_reason(df: DataFrame, rules: RuleSet) -> DataFrame:
     """Rejected rows with nothing but their reason added."""
     return df.filter(rules.rejected).withColumn(L.REJECT_REASON, rules.reasons)

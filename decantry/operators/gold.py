@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,10 +13,16 @@ from ..functions.typed import column_ref, numeric_value
 
 
 def group_totals(
-    df: DataFrame, group: str, amount: str, total: str = L.TOTAL_CONTRACTED
+    df: DataFrame,
+    group: str,
+    amount: str,
+    total: str = L.TOTAL_CONTRACTED,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Sum of ``amount`` per ``group``; rows without a group form one of their own.
 
+    With ``by`` there is one sum for each value of these columns as well.
+
     Sums are doubles, except that a decimal amount keeps its exact type. Every
     task sums its own rows first, so a shuffle carries one row per group and
     task however unevenly rows are spread over the groups.
@@ -22,7 +30,8 @@ def group_totals(
     value = numeric_value(df, amount)
     if not isinstance(df.schema[amount].dataType, T.DecimalType):
         value = value.cast("double")
-    return df.groupBy(column_ref(group).alias(group)).agg(F.sum(value).alias(total))
+    keys = [column_ref(c).alias(c) for c in (*by, group)]
+    return df.groupBy(*keys).agg(F.sum(value).alias(total))
 
 
 def top_n(df: DataFrame, measure: str, tie_breaker: str, n: int = 10) -> DataFrame:

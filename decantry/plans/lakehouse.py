@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from .. import files
 from .. import labels as L
 from ..operators.attempts import ATTEMPT_SCHEMA, with_attempts
-from .. import files
 from ..sources.commits import CommitLog
 from ..sources.tables import State, Table, new_write
 
@@ -115,6 +116,12 @@ class Lakehouse:
     def gold(self) -> Table:
         return Table(f"{self.root}/gold/{self.gold_table}", self.fmt, known=self.known)
 
+    def gold_parts(self, group: str, amount: str) -> Table:
+        """Totals of the writes of silver, from which those of gold are added up."""
+        of = hashlib.sha256(f"{group}\n{amount}".encode()).hexdigest()[:12]
+        path = f"{self.root}/gold/{self.gold_table}_parts_{of}"
+        return Table(path, self.fmt, known=self.known)
+
     def _layer_path(self, layer: str) -> str:
         return {
             "bronze": self.bronze,
@@ -162,6 +169,22 @@ class Lakehouse:
         self._record(spark, layer, "overwrite", rows, [table.folder(spark)])
         return rows
 
+    def overwrite_split(
+        self,
+        spark: SparkSession,
+        layer: str,
+        df: DataFrame,
+        kept: Column,
+        columns: Sequence[str],
+        counts: Sequence[Column] = (),
+        taken: Sequence[str] = (),
+    ) -> tuple[DataFrame, dict[str, int]]:
+        """Replace a layer by the rows that are ``kept``; the others come back, see ``Table``."""
+        table: Table = getattr(self, layer)
+        apart, got = table.overwrite_split(df, kept, columns, counts, taken)
+        self._record(spark, layer, "overwrite", got["kept"], [table.folder(spark)])
+        return apart, got
+
     def replace_writes(
         self,
         spark: SparkSession,

@@ -10,13 +10,14 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import files
 from .. import labels as L
 from ..functions.names import resolve_column
 from ..functions.rules import RuleSet, full_rules, simple_rules
 from ..operators.attempts import merge_attempts
-from ..operators.gate import audit, clean, quarantine
-from ..operators.gold import top_groups
 from ..operators.copies import beyond, still_missing
+from ..operators.gate import audit, clean, judged, quarantine
+from ..operators.gold import group_totals, top_groups, top_n
 from ..operators.identity import with_identity
 from ..operators.ingest import with_ingest_metadata
 from ..operators.matching import without_matches_in_large
@@ -280,15 +281,35 @@ def _whole(spark: SparkSession, table: Table, rows: DataFrame) -> tuple[DataFram
 
 
 def _refine_all(spark: SparkSession, job: Refinement, clock: Clock) -> Summary:
+    """Both sides of the gate from one scan: a single job deals the rows of bronze into
+    silver's new version and next to it, from where the rejects go to quarantine."""
     lake = job.lake
     bronze, taken = _whole(spark, lake.bronze, lake.bronze.read(spark, writes=True))
     if not lake.bronze.complete(spark):
         bronze = with_identity(bronze)
     rules = job.rules.full(bronze, clock.as_of)
-    kept = lake.overwrite(spark, "silver", _accepted(bronze, rules), taken=taken)
-    rejects = _rejects(job, bronze, rules, clock)
-    rejected = lake.append(spark, "quarantine", rejects, compact=L.QUARANTINE_ID)
-    return _summary(job, kept + rejected, kept)
+    if lake.fmt != "parquet":
+        kept = lake.overwrite(spark, "silver", _accepted(bronze, rules))
+        rejects = _rejects(job, bronze, rules, clock)
+        rejected = lake.append(spark, "quarantine", rejects, compact=L.QUARANTINE_ID)
+        return _summary(job, kept + rejected, kept)
+    rows = judged(bronze, rules, job.pipeline_version, clock.run_ts)
+    codes = sorted([r.code for r in rules.rules] + [rules.undecided_code])
+    rejects, counts = lake.overwrite_split(
+        spark,
+        "silver",
+        rows,
+        F.coalesce(rules.passed, F.lit(False)),
+        [*bronze.columns, L.CODE, L.QUARANTINE_ID],
+        [F.count_if(F.col(L.CODE) == c).alias(c) for c in codes],
+        taken,
+    )
+    rejects = rejects.select(*(F.col(f"`{c}`") for c in rows.columns))
+    lake.append(spark, "quarantine", rejects, compact=L.QUARANTINE_ID)
+    lake.silver.drop_apart(spark)
+    found = ", ".join(f"{c} {counts[c]}" for c in codes if counts[c])
+    LOG.info("rejected by code: %s", found or "none")
+    return _summary(job, counts["rows"], counts["kept"])
 
 
 def _refine_once(spark: SparkSession, job: Refinement, clock: Clock) -> Summary:
@@ -361,13 +382,47 @@ def reprocess(
 
 
 def refresh_gold(
-    spark: SparkSession, job: Refinement, group: str = L.DEPARTMENT, n: int = 10
+    spark: SparkSession,
+    job: Refinement,
+    group: str = L.DEPARTMENT,
+    n: int = 10,
+    by_parts: bool = False,
 ) -> int:
-    """Write the groups with the largest totals over silver."""
+    """Write the groups with the largest totals over silver.
+
+    With ``by_parts`` the totals of each write of silver are kept, and only writes that are
+    new since the last refresh are read. What silver no longer has, or has anew under the
+    same name, goes out of the totals.
+    """
     job = job.opened()
     silver = job.lake.silver.read(spark)
     price = resolve_column(silver, *job.rules.price)
-    return job.lake.overwrite(spark, "gold", top_groups(silver, group, price, n))
+    if by_parts and job.lake.silver.state(spark):
+        top = top_n(part_totals(spark, job.lake, group, price), L.TOTAL_CONTRACTED, group, n)
+        top = top.withColumn(L.TOTAL_CONTRACTED, F.col(L.TOTAL_CONTRACTED).cast("double"))
+    else:
+        top = top_groups(silver, group, price, n)
+    return job.lake.overwrite(spark, "gold", top)
+
+
+def part_totals(spark: SparkSession, lake: Lakehouse, group: str, price: str) -> DataFrame:
+    """Total per group, added up from those of each write of silver."""
+    silver, parts = lake.silver, lake.gold_parts(group, price)
+    # A part is named after the write and its files, so one that was replaced is another.
+    current = {f"{w}.{silver.mark(spark, w)}": w for w in silver.writes(spark)}
+    held = set(parts.writes(spark))
+    for name in held - current.keys():
+        files.delete(spark, parts.write_folder(spark, name))
+    new = {w: name for name, w in current.items() if name not in held}
+    if new or parts.state(spark) is None:
+        rows = silver.read(spark, writes=True).filter(F.col(L.WRITE).isin(list(new)))
+        totals = group_totals(rows, group, price, by=[L.WRITE])
+        names = F.create_map(*(F.lit(x) for pair in new.items() for x in pair)) if new else F.lit(None)
+        named = names[F.col(L.WRITE)] if new else names.cast("string")
+        parts.replace_writes(totals.withColumn(L.WRITE, named), list(new.values()))
+    kept = parts.read(spark)
+    total = F.sum(L.TOTAL_CONTRACTED).alias(L.TOTAL_CONTRACTED)
+    return kept.groupBy(F.col(f"`{group}`").alias(group)).agg(total)
 
 
 def _as_silver(spark: SparkSession, lake: Lakehouse, rows: DataFrame) -> DataFrame:

@@ -80,12 +80,16 @@ class Scratch:
         self.spark = spark
         self.folders: list[str] = []
 
-    def keep(self, df: DataFrame) -> tuple[DataFrame, int]:
-        """``df`` as it is stored, and its number of rows."""
+    def keep(self, df: DataFrame, *conditions: Column) -> tuple[DataFrame, int, ...]:
+        """``df`` as it is stored, its number of rows, and how many of them meet each
+        condition."""
         folder, written = work_folder(self.spark), Observation()
         self.folders.append(folder)
-        df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
-        return self.spark.read.schema(df.schema).parquet(folder), written.get["rows"]
+        counts = [F.count(F.lit(1)), *(F.count_if(c) for c in conditions)]
+        df.observe(written, *(c.alias(f"n{i}") for i, c in enumerate(counts))).write.parquet(folder)
+        got = written.get
+        stored = self.spark.read.schema(df.schema).parquet(folder)
+        return stored, *(got[f"n{i}"] for i in range(len(counts)))
 
     def __enter__(self) -> Scratch:
         return self

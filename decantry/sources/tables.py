@@ -10,6 +10,7 @@ partition of its own, it can be read, measured and replaced alone.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import logging
 import time
@@ -180,6 +181,9 @@ class State:
         return cls(d["version"], schema, tuple(d["folders"]), d["complete"], tuple(d["taken"]))
 
 
+# The two sides of a split are folders of one version.
+_SIDE = "_side"
+
 # Of the files that name a version, so many stay.
 _STATES_KEPT = 5
 
@@ -257,6 +261,11 @@ class Table:
         found = files.names(spark, self.folder(spark)) if self.state(spark) else []
         return [n[len(mark) :] for n in found if n.startswith(mark)]
 
+    def mark(self, spark: SparkSession, write: str) -> str:
+        """What tells a write from another of its name: its files, by their unique names."""
+        listed = "\n".join(files.names(spark, self.write_folder(spark, write)))
+        return hashlib.sha256(listed.encode()).hexdigest()[:12]
+
     def complete(self, spark: SparkSession) -> bool:
         """Whether every row is known to have the table's key."""
         state = self.state(spark)
@@ -356,12 +365,12 @@ class Table:
         taken = before.taken if before else ()
         self._switch(spark, State(version, _plain(schema), folders, complete, taken))
 
-    def _switch(self, spark: SparkSession, state: State) -> None:
-        before = self.state(spark)
+    def _switch(self, spark: SparkSession, state: State, before: State | None = None) -> None:
+        before = before or self.state(spark)
         self._put(spark, state)
         if before is not None:
             for name in files.names(spark, self.path):
-                if name < before.version:
+                if name < before.version.split("/")[0]:
                     files.delete(spark, f"{self.path}/{name}")
 
     def replace_writes(self, df: DataFrame, writes: Sequence[str], compact: bool | str = False) -> int:
@@ -386,6 +395,54 @@ class Table:
             self._put(spark, State(version, _plain(schema), folders, complete))
         return rows
 
+    def overwrite_split(
+        self,
+        df: DataFrame,
+        kept: Column,
+        columns: Sequence[str],
+        counts: Sequence[Column] = (),
+        taken: Sequence[str] = (),
+    ) -> tuple[DataFrame, dict[str, int]]:
+        """Replace the table by the rows of ``df`` that are ``kept``, and set the others apart.
+
+        One job deals the rows by that condition as it goes through ``df`` once. Returns the
+        others, which are stored until ``drop_apart``, and what was counted on the way: all
+        ``rows``, the ``kept`` ones and the given ``counts``. The table gets ``columns``,
+        all others are for the rows apart.
+        """
+        spark = df.sparkSession
+        own = merged_schema(df.select(*map(column_ref, columns)), self.schema or T.StructType())
+        more = [f for f in df.schema if f.name not in columns]
+        df = align_to(df, T.StructType([*own.fields, *more]))
+        version, name = new_write(), new_write()
+        rest = F.when(kept, F.lit("kept")).otherwise(F.lit("apart"))
+        sided = df.select("*", rest.alias(_SIDE), F.lit(name).alias(WRITE))
+        written = Observation()
+        counts = [F.count(F.lit(1)).alias("rows"), F.count_if(kept).alias("kept"), *counts]
+        if self.key is not None and self.key in df.columns:
+            counts.append(F.count(column_ref(self.key)).alias("keys"))
+        folder = f"{self.path}/{version}"
+        # With as many open files per task as sides, rows need not be sorted by side.
+        _deal(sided.observe(written, *counts), folder, (_SIDE, WRITE), "overwrite")
+        got = written.get
+        complete = got.get("keys") == got["rows"]
+        before = self.state(spark)
+        side = f"{folder}/{_SIDE}=kept"
+        if not files.exists(spark, side):
+            _deal(sided.filter(F.lit(False)).drop(_SIDE, WRITE), f"{side}/{WRITE}={name}", (), "overwrite")
+        self._switch(spark, State(f"{version}/{_SIDE}=kept", _plain(own), (), complete, tuple(taken)), before)
+        apart = T.StructType([*_plain(df.schema).fields, T.StructField(WRITE, T.StringType())])
+        path = f"{folder}/{_SIDE}=apart"
+        if not files.exists(spark, path):
+            return df.filter(F.lit(False)), got
+        return spark.read.schema(apart).parquet(path).drop(WRITE), got
+
+    def drop_apart(self, spark: SparkSession) -> None:
+        """Remove what the last ``overwrite_split`` has set apart."""
+        state = self.state(spark)
+        if state is not None and "/" in state.version:
+            files.delete(spark, f"{self.path}/{state.version.split('/')[0]}/{_SIDE}=apart")
+
     def take(self, spark: SparkSession, writes: Sequence[str]) -> None:
         """Remember that the table has taken in these writes of another one."""
         state = self.state(spark)
@@ -421,6 +478,22 @@ class Table:
         return got["rows"], keyed and got["keys"] == got["rows"]
 
 
+def _deal(df: DataFrame, folder: str, by: tuple[str, ...], mode: str) -> None:
+    """Write Parquet dealt by columns, without sorting rows by them where they have few values."""
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    spark = df.sparkSession
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "16")
+    try:
+        writer = df.write.mode(mode)
+        (writer.partitionBy(*by) if by else writer).parquet(folder)
+    finally:
+        if before is None:
+            spark.conf.unset(setting)
+        else:
+            spark.conf.set(setting, before)
+
+
 def _plain(schema: T.StructType) -> T.StructType:
     """Without the marks of columns that are never NULL: a table gains rows without them."""
     return T.StructType([T.StructField(f.name, f.dataType) for f in schema])

@@ -14,7 +14,7 @@ from ..functions.rules import full_rules, simple_rules
 from ..operators import audit, clean, quarantine, sample_rejects, with_attempts, with_ingest_metadata
 from ..operators import layer_balance as balance
 from ..operators import layer_comparison as comparison
-from ..plans import Lakehouse, Refinement, Rules, refine, refine_simple, reprocess
+from ..plans import Lakehouse, Refinement, Rules, refine, refine_simple, refresh_gold, reprocess
 from ..plans.runs import ingest_rows
 from ..session import one_row, work_folder
 from ..sources import Table
@@ -45,8 +45,7 @@ def _filled_lake(spark: SparkSession, sf_dir: str, table: str = "orders", **opti
     orders = corrupt_orders(spark, sf_dir)
     contract = orders.drop("o_orderdate").schema
     lake = Lakehouse(work_folder(spark), table, contract=contract, **options)
-    rows = with_ingest_metadata(orders.drop("o_orderdate"), "orders", instant(RUN_TEXT))
-    lake.append(spark, "bronze", rows)
+    ingest_rows(spark, _job(lake), orders.drop("o_orderdate"), "orders")
     return lake
 
 
@@ -409,6 +408,29 @@ def quarantine_gains_a_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.select("o_orderkey", L.PRICE_POSITIVE, "priority_known")
 
 
+@query(
+    GATED
+    + f"""
+select o_custkey % 97 as grp, cast(sum(cast(abs(price) as decimal(14, 2))) as double) as total_contratado
+from v where price is not null and sdate <= date '{LATER}' group by 1 order by 2 desc, 1 limit 10
+"""
+)
+def gold_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals refreshed after a delivery, another, one of corrected prices, and a reprocessing."""
+    orders = corrupt_orders(spark, sf_dir).drop("o_orderdate").withColumns(
+        {"grp": F.expr("o_custkey % 97"), "price": F.col("price").cast("decimal(14,2)")}
+    )
+    lake = Lakehouse(work_folder(spark), "orders", contract=orders.schema)
+    corrected = orders.filter("price < 0").withColumn("price", F.abs("price"))
+    for delivery in (orders.filter("o_orderkey % 2 = 0"), orders.filter("o_orderkey % 2 = 1"), corrected):
+        ingest_rows(spark, _job(lake), delivery, "orders")
+        refine(spark, _job(lake), new_only=True)
+        refresh_gold(spark, _job(lake), "grp", by_parts=True)
+    reprocess(spark, _job(lake, LATER), due_only=True)
+    refresh_gold(spark, _job(lake, LATER), "grp", by_parts=True)
+    return lake.gold.read(spark)
+
+
 @query(GATED + "select o_orderkey, price from v where ok")
 def overwrite_from_itself(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table replaced by rows that are derived from it, and appended to by name twice."""

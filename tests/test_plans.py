@@ -1,5 +1,6 @@
 import datetime as dt
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,9 +18,10 @@ from decantry.plans import (
     reprocess,
 )
 from decantry.operators.identity import with_identity
-from decantry.operators.copies import beyond, stored_copies
+from decantry.operators.copies import beyond
 from decantry.plans.runs import Summary, _as_silver, _identified, _settled_ids
 from decantry.session import Scratch
+from decantry.sources import tables
 from decantry.sources import CONTRACT_SCHEMA, Table, commit_metrics, read_contracts
 
 from contract_rows import HEADER, contract_line
@@ -325,8 +327,6 @@ def test_a_match_scans_the_digests_of_bronze_and_nothing_else(spark, lake, mixed
     scan = [x for x in plan_of(present).splitlines() if "FileScan parquet" in x]
     assert len(scan) == 1 and f"ReadSchema: struct<{L.ROW_DIGEST}:string>" in scan[0]
     with Scratch(spark) as scratch:
-        have, found = stored_copies(scratch, rows, 5, stored)
-        assert found == 5 and {r["__have"] for r in have.collect()} == {1}
         assert beyond(scratch, rows, 5, stored).count() == 0
         twice = rows.unionAll(rows).unionAll(rows.filter("Entidad = 'sound'"))
         got = beyond(scratch, twice, 11, stored)
@@ -518,3 +518,48 @@ def test_a_path_with_quotes_and_two_lakehouses_in_one_catalog(spark, tmp_path, m
     found = [lake.register(spark, namespace=f"lake_{i}") for i, lake in enumerate(lakes)]
     counts = [spark.sql(f"select count(*) from {names[0]}").first()[0] for names in found]
     assert counts == [5, 10] and found[0][0] == "`lake_0_bronze`.`quoted`"
+
+
+def test_both_sides_come_from_one_scan(spark, lake, mixed_csv, caplog):
+    ingest(spark, job(lake), mixed_csv)
+    seen = []
+    write = tables._deal
+    tables._deal = lambda df, *options: (seen.append(plan_of(df)), write(df, *options))
+    try:
+        with caplog.at_level("INFO", "decantry.plans.runs"):
+            out = refine(spark, job(lake))
+    finally:
+        tables._deal = write
+    assert (out.total, out.clean, out.quarantine) == (5, 1, 4)
+    assert "E001 1, E002 2, E003 1" in caplog.text
+    # One job reads bronze; what it has set apart is gone when it is in quarantine.
+    assert len(seen) == 1 and seen[0].count("FileScan") == 1 and "Sort" not in seen[0]
+    folder = Path(lake.silver.folder(spark))
+    assert folder.name == "_side=kept" and [p.name for p in folder.parent.iterdir() if p.is_dir()] == [folder.name]
+    only_bad = write_csv(Path(lake.root).parent / "bad.csv", ("x", "A", "", "1"))
+    other = Lakehouse(lake.root + "2", contract=CONTRACT_SCHEMA)
+    assert refine(spark, job(other), only_bad).clean == 0
+    assert other.silver.read(spark).count() == 0 and other.quarantine.read(spark).count() == 1
+
+
+def test_gold_reads_what_is_new_in_silver(spark, lake, tmp_path):
+    later = job(lake, dt.date(2024, 6, 2))
+    rows = [("a", "N", "2024-01-01", "1"), ("b", "S", "2024-06-02", "10"), ("c", "", "2024-01-01", "5")]
+    for i, row in enumerate(rows):
+        ingest(spark, job(lake), write_csv(tmp_path / f"{i}.csv", row))
+        refine(spark, job(lake), new_only=True)
+        refresh_gold(spark, job(lake), by_parts=True)
+    parts = lake.gold_parts(L.DEPARTMENT, "Precio_Base")
+    before = parts.writes(spark)
+    assert len(before) == 2
+    reprocess(spark, later, due_only=True)
+    refresh_gold(spark, later, by_parts=True)
+    assert set(before) < set(parts.writes(spark)) and len(parts.writes(spark)) == 3
+    totals = {r[0]: r[1] for r in lake.gold.read(spark).collect()}
+    assert totals == {"N": 1.0, "S": 10.0, None: 5.0}
+    # Silver rebuilt, with a row replaced under the name of its write.
+    refine(spark, later)
+    lake.silver.append(lake.silver.read(spark).limit(0).unionByName(lake.silver.read(spark).filter("Entidad = 'a'")))
+    refresh_gold(spark, later, by_parts=True)
+    assert {r[0]: r[1] for r in lake.gold.read(spark).collect()} == {"N": 2.0, "S": 10.0, None: 5.0}
+    assert not set(before) & set(parts.writes(spark))
