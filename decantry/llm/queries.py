@@ -118,7 +118,7 @@ known as (
 learnt as (
   select t.has, k.bad from tokens t join known k on t.page_id = k.doc_id where t.url is not null
 ),
-limits as (select greatest(ceil(0.01 * count(*)), 20) as least from learnt),
+limits as (select 20 as least),
 learnt_sets as (
   select bad, list_filter(has, lambda x, i: (mask >> (i - 1)) % 2 = 1) as s
   from (select *, unnest(range(1, 1 << len(has))) as mask from learnt)

@@ -19,7 +19,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, stored
+from .common import LOWER, UPPER, join_unique, stored
 
 BLOCK = "=block"
 
@@ -44,12 +44,13 @@ class Rule:
 
 @dataclass(frozen=True)
 class Mining:
-    """A mined rule holds for at least ``support`` of the labelled URLs and at least
-    ``pages`` of them, and ``confidence`` of the URLs it fits are to be blocked."""
+    """A mined rule holds for at least ``pages`` labelled URLs, however many there are in
+    all, and ``confidence`` of the URLs it fits are to be blocked. A ``support`` asks for a
+    share of all labelled URLs as well."""
 
-    support: float = 0.01
     pages: int = 20
     confidence: float = 0.5
+    support: float = 0.0
 
 
 def _after_scheme(url: Column) -> Column:
@@ -100,49 +101,84 @@ def verdict_of(rule: Column, rules: Sequence[Rule]) -> Column:
 
 
 def mine(labelled: DataFrame, mining: Mining = Mining()) -> DataFrame:
-    """``tokens`` (sorted) and ``confidence`` of the rules. ``labelled`` has ``url`` and
-    ``block``, a boolean; rows with a NULL there teach nothing. Repeated URLs each count."""
-    items = stored(
+    """The rules: ``groups``, of each of which a URL must have a token, and ``confidence``.
+
+    ``labelled`` has ``url`` and ``block``, a boolean; rows with a NULL there teach nothing.
+    Repeated URLs each count. Tokens of fewer URLs than a rule needs are left out before
+    mining, and those that always occur together are one item there: the 2^n sets of n of
+    them hold for the same URLs. For a URL to be judged any of them will do, as each is a
+    rule of its own. ``tokens`` has the first one of each group.
+    """
+    rows = stored(
         labelled.filter(F.col("url").isNotNull() & F.col("block").isNotNull()).select(
-            F.concat(
-                tokens_of(F.col("url")), F.when(F.col("block"), F.array(F.lit(BLOCK))).otherwise(F.array())
-            ).alias("items")
+            F.monotonically_increasing_id().alias("id"), tokens_of(F.col("url")).alias("tokens"), "block"
         )
     )
-    n = items.count()
+    n = rows.count()
     least = max(math.ceil(mining.support * n), mining.pages)
     if n < least:
-        none = items.select(F.col("items").alias("tokens"), F.lit(0.0).alias("confidence"))
+        none = rows.select("tokens", F.array("tokens").alias("groups"), F.lit(0.0).alias("confidence"))
         return none.filter(F.lit(False))
+    each = rows.select("id", F.explode("tokens").alias("token"))
+    # Tokens of the same rows, told by two hashes of 64 bits over them.
+    together = stored(
+        each.groupBy("token")
+        .agg(
+            F.count("*").alias("n"),
+            F.bit_xor(F.xxhash64("id")).alias("one"),
+            F.bit_xor(F.xxhash64(F.lit("two"), "id")).alias("two"),
+        )
+        .filter(F.col("n") >= least)
+        .groupBy("n", "one", "two")
+        .agg(F.array_sort(F.collect_list("token")).alias("group"))
+        .select(F.col("group")[0].alias("item"), "group")
+    )
+    named = together.select("item", F.explode("group").alias("token"))
+    found = join_unique(each, named, "token").groupBy("id").agg(F.collect_set("item").alias("items"))
+    block = F.when(F.col("block"), F.array(F.lit(BLOCK))).otherwise(F.array())
+    items = rows.join(found, "id", "left").select(
+        F.concat(F.coalesce("items", F.array().cast("array<string>")), block).alias("items")
+    )
     # Half a row below, so that rounding can't ask for one row more.
     model = FPGrowth(
         itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=mining.confidence
-    ).fit(items)
-    return model.associationRules.filter(F.col("consequent")[0] == BLOCK).select(
+    ).fit(stored(items))
+    rules = model.associationRules.filter(F.col("consequent")[0] == BLOCK).select(
         F.array_sort("antecedent").alias("tokens"), "confidence"
     )
+    return (
+        rules.select("tokens", "confidence", F.explode("tokens").alias("item"))
+        .join(together, "item")
+        .groupBy("tokens", "confidence")
+        .agg(F.collect_list("group").alias("groups"))
+        .select("tokens", "groups", "confidence")
+    )
 
 
 def fitted(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """The distinct ``url`` values that some rule fits."""
     tokens = urls.select("url").distinct().select("url", tokens_of(F.col("url")).alias("has"))
-    listed = rules.select("tokens", F.explode("tokens").alias("token"))
+    listed = rules.select("tokens", "groups", F.explode("groups").alias("group"))
+    single = listed.select("tokens", "groups", "group", F.explode("group").alias("token"))
     frequency = (
         tokens.select(F.explode("has").alias("token"))
-        .join(listed.select("token").distinct(), "token", "left_semi")
+        .join(single.select("token").distinct(), "token", "left_semi")
         .groupBy("token")
         .agg(F.count("*").alias("n"))
     )
     index = (
-        listed.join(frequency, "token")  # a rule with a token of no URL fits none
-        .groupBy("tokens")
-        .agg(F.min_by("token", F.struct("n", "token")).alias("token"), F.count("*").alias("known"))
-        .filter(F.col("known") == F.size("tokens"))
+        single.join(frequency, "token")  # a rule with a group of no URL fits none
+        .groupBy("tokens", "groups", "group")
+        .agg(F.sum("n").alias("n"))
+        .groupBy("tokens", "groups")
+        .agg(F.min_by("group", F.struct("n", "group")).alias("group"), F.count("*").alias("known"))
+        .filter(F.col("known") == F.size("groups"))
+        .select("groups", F.explode("group").alias("token"))
     )
     return (
         tokens.select("url", "has", F.explode("has").alias("token"))
-        .join(index.select("token", "tokens"), "token")
-        .filter(F.size(F.array_intersect("has", "tokens")) == F.size("tokens"))
+        .join(index, "token")
+        .filter(F.forall("groups", lambda group: F.arrays_overlap(group, F.col("has"))))
         .select("url")
         .distinct()
     )

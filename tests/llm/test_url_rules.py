@@ -10,7 +10,7 @@ def pages(spark, urls):
 
 
 def no_rules(spark):
-    return spark.sql("select array('x') as tokens, 1.0D as confidence where false")
+    return spark.sql("select array('x') as tokens, array(array('x')) as groups, 1.0D as confidence where false")
 
 
 def test_given_rules(spark):
@@ -57,7 +57,7 @@ def test_rules_are_mined_and_fit(spark):
     want = {
         r.url
         for r in new.withColumn("t", tokens_of(F.col("url"))).collect()
-        if any(set(s) <= set(r.t) for s in sets)
+        if any(all(set(g) & set(r.t) for g in rule.groups) for rule in mined.collect())
     }
     assert got == want and "http://spam9.org/casino/x" in got
     verdicts = judge(new, URL_RULES, mined).orderBy("page_id").collect()
@@ -65,6 +65,25 @@ def test_rules_are_mined_and_fit(spark):
                                              [x.url for x in new.orderBy("page_id").collect()]]
 
 
+def test_support_is_the_same_however_many_urls_there_are(spark):
+    bad = [(f"http://rare{i % 3}.net/x", True) for i in range(20)]
+    good = [(f"http://site{chr(97 + i % 20)}.org/{i}", False) for i in range(5000)]
+    for rows in (bad, bad + good):
+        mined = mine(spark.createDataFrame(rows, "url string, block boolean"))
+        got = fitted(pages(spark, ["http://rare9.net/", "http://sitea.org/1"]), mined).collect()
+        assert [r.url for r in got] == ["http://rare9.net/"]
+
+
+def test_tokens_that_always_occur_together_are_one_item(spark):
+    names = "&".join(f"p{chr(97 + k)}{chr(97 + k)}=1" for k in range(25))
+    rows = [(f"http://long.org/?{names}", True)] * 25 + [("http://long.org/", False)] * 3
+    mined = mine(spark.createDataFrame(rows, "url string, block boolean"))
+    rules = {tuple(sorted(map(len, r.groups))) for r in mined.collect()}
+    assert rules == {(25,), (2,), (2, 25)}  # the names; the host's two parts; both
+    new = pages(spark, ["http://x.net/?pcc=2", "http://y.net/?q=1"])
+    assert [r.url for r in fitted(new, mined).collect()] == ["http://x.net/?pcc=2"]
+
+
 def test_few_labels_give_no_rules_and_repeated_rows_stay(spark):
     labelled = spark.createDataFrame([("http://a/b", True)] * 5, "url string, block boolean")
     assert mine(labelled).count() == 0
