@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -63,15 +64,29 @@ _SHARED = WordHashes()
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
+@lru_cache(2)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the factor and of its inverse modulo 2^64, from 0 on."""
+    up, down = np.full(size, _FACTOR), np.full(size, np.uint64(pow(int(_FACTOR), -1, 1 << 64)))
+    up[:1] = down[:1] = 1
+    return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+
+
 def rolling(words: np.ndarray, length: int) -> np.ndarray:
-    """A hash of each run of ``length`` words, for each row of word hashes."""
-    n = words.shape[1] - length + 1
+    """A hash of each run of ``length`` words, for each row of word hashes.
+
+    A run's polynomial is the difference of two sums from the start, moved to the run's
+    own place by a power of the factor; all of it is modulo 2^64.
+    """
+    size = words.shape[1]
+    n = size - length + 1
     if n <= 0:
         return np.zeros((words.shape[0], 0), np.uint64)
-    total = np.zeros((words.shape[0], n), np.uint64)
-    for i in range(length):
-        total = total * _FACTOR + words[:, i : i + n]
-    return mix64(total)
+    # Rounded up, so that few sizes are ever made.
+    up, down = _powers(1 << max(size, 1024).bit_length())
+    sums = np.zeros((words.shape[0], size + 1), np.uint64)
+    np.cumsum(words * down[:size], axis=1, out=sums[:, 1:])
+    return mix64((sums[:, length:] - sums[:, :n]) * up[length - 1 : length - 1 + n])
 
 
 def smallest_place(values: np.ndarray, width: int) -> np.ndarray:
@@ -209,11 +224,16 @@ def _asking(rows: DataFrame, window: int) -> DataFrame:
 
 def first_documents(packed: list[bytes], documents: np.ndarray, window: int) -> list[np.ndarray]:
     """For each string, the smallest document of each of its windows in the bucket."""
-    hashes = [rolling(_SHARED(p.split(b" ")), window) for p in packed]
-    sizes = [h.shape[1] for h in hashes]
     if len(packed) == 1:
-        return [np.full(sizes[0], documents[0])]
-    h1, h2 = np.concatenate(hashes, axis=1)
+        return [np.full(packed[0].count(b" ") + 2 - window, documents[0])]
+    words = [p.split(b" ") for p in packed]
+    counts = np.array([len(w) for w in words])
+    sizes = counts - window + 1
+    # Windows of all strings at once, without those that reach into the next one.
+    h1, h2 = rolling(_SHARED([w for ws in words for w in ws]), window)
+    first = np.cumsum(counts) - counts
+    inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(first, sizes)
+    h1, h2 = h1[inside], h2[inside]
     owner = np.repeat(documents, sizes)
     order = np.lexsort((owner, h2, h1))
     a, b = h1[order], h2[order]
