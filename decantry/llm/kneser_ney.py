@@ -44,7 +44,6 @@ SAMPLE_ROWS = 20_000
 FEATURES = 10
 STEPS = 2 * ORDER
 CLASSES = ("toxic", "ordinary")
-BROADCAST_KEYS = 1 << 20
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -343,17 +342,14 @@ def _with_rest(rows: DataFrame, shared: Broadcast, ratios: DataFrame) -> DataFra
             "*", none.cast("array<long>").alias("keys"), none.cast("array<float>").alias("ratios")
         )
     asked = rows.select(hashed, "text").mapInArrow(ask, "text_hash long, code long").distinct()
-    found = stored(
+    # At every size alike: the texts are shuffled once, by their hash.
+    found = (
         join_unique(asked, ratios.select("code", "ratio"), "code")
         .groupBy("text_hash")
         .agg(F.collect_list(F.struct("code", "ratio")).alias("found"))
         .select("text_hash", F.col("found.code").alias("keys"), F.col("found.ratio").alias("ratios"))
     )
-    n = found.agg(F.coalesce(F.sum(F.size("keys") + 8), F.lit(0))).first()[0]
-    rows = rows.select("*", hashed)
-    if n <= BROADCAST_KEYS:
-        return rows.join(F.broadcast(found), "text_hash", "left").drop("text_hash")
-    return join_unique(rows, found, "text_hash", "left").drop("text_hash")
+    return join_unique(rows.select("*", hashed), found, "text_hash", "left").drop("text_hash")
 
 
 @dataclass(frozen=True)
