@@ -7,8 +7,7 @@ no public call for them, so this module alone goes through its Hadoop client.
 
 from __future__ import annotations
 
-import uuid
-
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -42,17 +41,34 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def write_new(spark: SparkSession, path: str, text: str) -> None:
-    """Write a file that nobody sees before it is complete; one that exists is left alone."""
+    """Write a file under a name of its own, which nobody sees before it is complete."""
+    store, location = _at(spark, path)
+    draft = _at(spark, f"{path}.tmp")[1]
+    _fill(store.create(draft, True), text)
+    if not store.rename(draft, location):
+        raise OSError(f"cannot rename {path}.tmp")
+
+
+def claim(spark: SparkSession, path: str, text: str) -> None:
+    """Write a file that only one writer can: for all others it exists already.
+
+    Readers may see it before its text is there, and a writer that dies leaves it so.
+    """
     store, location = _at(spark, path)
-    draft = _at(spark, f"{path}.{uuid.uuid4().hex}.tmp")[1]
-    out = store.create(draft, True)
+    try:
+        out = store.create(location, False)
+    except Py4JJavaError as e:
+        if store.exists(location):
+            raise FileExistsError(path) from e
+        raise
+    _fill(out, text)
+
+
+def _fill(out, text: str) -> None:
     try:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
-    if store.exists(location) or not store.rename(draft, location):
-        store.delete(draft, False)
-        raise FileExistsError(path)
 
 
 def delete(spark: SparkSession, path: str) -> None:

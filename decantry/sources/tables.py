@@ -162,6 +162,8 @@ class State:
     folders: tuple[str, ...] = ()
     complete: bool = False
     taken: tuple[str, ...] = ()
+    # Its place in the order of states, which is the name of its file.
+    number: int = field(default=-1, compare=False)
 
     def to_json(self) -> str:
         return json.dumps(
@@ -172,7 +174,7 @@ class State:
                 "complete": self.complete,
                 "taken": list(self.taken),
             }
-        )
+        ) + _END
 
     @classmethod
     def from_json(cls, text: str) -> State:
@@ -181,6 +183,9 @@ class State:
         return cls(d["version"], schema, tuple(d["folders"]), d["complete"], tuple(d["taken"]))
 
 
+# What a complete file of a state ends with.
+_END = "\n"
+
 # The two sides of a split are folders of one version.
 _SIDE = "_side"
 
@@ -216,23 +221,44 @@ class Table:
             return None
         if self.known is not None and self.path in self.known:
             return self.known[self.path]
-        numbers = [n for n in files.names(spark, self._states) if n.endswith(".json")]
         state = None
-        if numbers:
-            state = State.from_json(files.read_text(spark, f"{self._states}/{numbers[-1]}"))
+        for number in reversed(self._numbers(spark)):
+            text = files.read_text(spark, self._state_path(number))
+            if text.endswith(_END):
+                state = replace(State.from_json(text), number=number)
+                break
+            # Somebody is writing it, or has died at it.
         if self.known is not None:
             self.known[self.path] = state
         return state
 
-    def _put(self, spark: SparkSession, state: State) -> None:
-        """Make ``state`` count. If another writer was faster this raises."""
-        numbers = [n for n in files.names(spark, self._states) if n.endswith(".json")]
-        number = int(numbers[-1].split(".")[0]) + 1 if numbers else 0
-        files.write_new(spark, f"{self._states}/{number:020d}.json", state.to_json())
+    def _numbers(self, spark: SparkSession) -> list[int]:
+        found = files.names(spark, self._states)
+        return [int(n.split(".")[0]) for n in found if n.endswith(".json")]
+
+    def _state_path(self, number: int) -> str:
+        return f"{self._states}/{number:020d}.json"
+
+    def _put(self, spark: SparkSession, state: State, before: State | None) -> None:
+        """Make ``state`` count after ``before``; raises if another one has done so meanwhile."""
+        numbers = self._numbers(spark)
+        self._check_unchanged(spark, before, numbers)
+        # A number without a whole state behind it is of a writer that died.
+        state = replace(state, number=numbers[-1] + 1 if numbers else 0)
+        files.claim(spark, self._state_path(state.number), state.to_json())
         if self.known is not None:
             self.known[self.path] = state
-        for name in numbers[: 1 - _STATES_KEPT]:
-            files.delete(spark, f"{self._states}/{name}")
+        for number in numbers[: 1 - _STATES_KEPT]:
+            files.delete(spark, self._state_path(number))
+
+    def _check_unchanged(self, spark: SparkSession, before: State | None, numbers: list[int]) -> None:
+        """Rows belong to the version that their writer has seen; if there is another one by
+        now they would be lost in silence."""
+        if not numbers or numbers[-1] == (before.number if before else -1):
+            return
+        now = replace(self, known=None).state(spark)
+        if now is not None and now.number != (before.number if before else -1):
+            raise RuntimeError(f"another run has changed {self.path} meanwhile")
 
     def layout(self, spark: SparkSession) -> T.StructType | None:
         """The columns by declaration and by what was written; None if neither tells."""
@@ -315,7 +341,7 @@ class Table:
             version, folders = new_write(), self._folders(shaped)
             folder = f"{self.path}/{version}/{WRITE}={name}"
             rows, complete = self._write(shaped, folder, "overwrite", compact, folders)
-            self._put(spark, State(version, _plain(shaped.schema), folders, complete))
+            self._put(spark, State(version, _plain(shaped.schema), folders, complete), None)
             return rows
         self._widen(spark, state, shaped)
         folder = self.write_folder(spark, name)
@@ -330,12 +356,14 @@ class Table:
         complete = state.complete and (self.key is None or self.key in shaped.columns)
         after = replace(state, schema=_plain(shaped.schema), complete=complete)
         if after != state:
-            self._put(spark, after)
+            self._put(spark, after, state)
 
     def _settle(self, spark: SparkSession, complete: bool) -> None:
+        """After rows have been added: the version they went to must be the one that counts."""
         state = self.state(spark)
+        self._check_unchanged(spark, state, self._numbers(spark) if self.known is not None else [])
         if state.complete and not complete:
-            self._put(spark, replace(state, complete=False))
+            self._put(spark, replace(state, complete=False), state)
 
     def overwrite(
         self, df: DataFrame, compact: bool | str = False, taken: Sequence[str] = (), write: str | None = None
@@ -367,7 +395,7 @@ class Table:
 
     def _switch(self, spark: SparkSession, state: State, before: State | None = None) -> None:
         before = before or self.state(spark)
-        self._put(spark, state)
+        self._put(spark, state, before)
         if before is not None:
             for name in files.names(spark, self.path):
                 if name < before.version.split("/")[0]:
@@ -392,7 +420,7 @@ class Table:
         if state:
             self._settle(spark, complete)
         else:
-            self._put(spark, State(version, _plain(schema), folders, complete))
+            self._put(spark, State(version, _plain(schema), folders, complete), None)
         return rows
 
     def overwrite_split(
@@ -446,7 +474,7 @@ class Table:
     def take(self, spark: SparkSession, writes: Sequence[str]) -> None:
         """Remember that the table has taken in these writes of another one."""
         state = self.state(spark)
-        self._put(spark, replace(state, taken=tuple(sorted({*state.taken, *writes}))))
+        self._put(spark, replace(state, taken=tuple(sorted({*state.taken, *writes}))), state)
 
     def _folders(self, df: DataFrame) -> tuple[str, ...]:
         return tuple(c for c in self.partition_by if c in df.columns)

@@ -220,11 +220,39 @@ def test_versions_and_writes(spark, tmp_path):
     assert table.append(rows.filter("k > 5")) == 0 and len(table.writes(spark)) == 1
 
 
-def test_two_writers_of_a_state_do_not_lose_each_other(spark, tmp_path):
+def test_two_runs_do_not_lose_each_others_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    Table(path).append(spark.range(1).toDF("a"))
+    one, other = (Table(path, known={}) for _ in range(2))
+    assert one.state(spark) == other.state(spark)
+    one.overwrite(spark.range(5).toDF("a"))
+    for late in (lambda: other.append(spark.range(2).toDF("a")), lambda: other.overwrite(spark.range(2).toDF("a"))):
+        with pytest.raises(RuntimeError, match="another run"):
+            late()
+    assert Table(path).read(spark).count() == 5
+    # Appends of two runs are both kept.
+    one, other = (Table(path, known={}) for _ in range(2))
+    one.append(spark.range(1).toDF("a")), other.append(spark.range(1).toDF("a"))
+    assert Table(path).read(spark).count() == 7
+
+
+def test_a_state_that_was_left_half_written_does_not_count(spark, tmp_path):
     table = Table(str(tmp_path / "t"))
-    table.append(spark.range(1).toDF("a"))
-    files.write_new(spark, str(tmp_path / "x" / "1.json"), "{}")
+    table.append(spark.range(3).toDF("a"))
+    state = table.state(spark)
+    (tmp_path / "t.state" / f"{state.number + 1:020d}.json").write_text('{"version": "x", "sch')
+    assert table.state(spark) == state and table.read(spark).count() == 3
+    table.overwrite(spark.range(1).toDF("a"))
+    assert table.state(spark).number == state.number + 2 and table.read(spark).count() == 1
+
+
+def test_files(spark, tmp_path):
+    path = str(tmp_path / "x" / "1.json")
+    files.claim(spark, path, "{é}")
     with pytest.raises(FileExistsError):
-        files.write_new(spark, str(tmp_path / "x" / "1.json"), "{}")
-    assert files.read_text(spark, str(tmp_path / "x" / "1.json")) == "{}"
-    assert files.names(spark, str(tmp_path / "x")) == ["1.json"]
+        files.claim(spark, path, "")
+    assert files.read_text(spark, path) == "{é}" and files.names(spark, str(tmp_path / "x")) == ["1.json"]
+    files.write_new(spark, str(tmp_path / "x" / "2.json"), "b")
+    assert files.names(spark, str(tmp_path / "x")) == ["1.json", "2.json"]
+    files.delete(spark, path)
+    assert not files.exists(spark, path) and files.names(spark, path) == []
