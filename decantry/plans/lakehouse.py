@@ -6,14 +6,14 @@ import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .. import files
 from .. import labels as L
 from ..operators.attempts import ATTEMPT_SCHEMA, with_attempts
 from ..sources.commits import CommitLog
-from ..sources.tables import State, Table, new_write
+from ..sources.tables import Split, State, Table, new_write
 
 _INGESTION = [
     T.StructField(L.INGESTED_AT, T.TimestampType()),
@@ -169,21 +169,11 @@ class Lakehouse:
         self._record(spark, layer, "overwrite", rows, [table.folder(spark)])
         return rows
 
-    def overwrite_split(
-        self,
-        spark: SparkSession,
-        layer: str,
-        df: DataFrame,
-        kept: Column,
-        columns: Sequence[str],
-        counts: Sequence[Column] = (),
-        taken: Sequence[str] = (),
-    ) -> tuple[DataFrame, dict[str, int]]:
-        """Replace a layer by the rows that are ``kept``; the others come back, see ``Table``."""
+    def adopt(self, spark: SparkSession, layer: str, split: Split, taken: Sequence[str] = ()) -> None:
+        """Replace a layer by the kept rows of a split, see ``Table.split``."""
         table: Table = getattr(self, layer)
-        apart, got = table.overwrite_split(df, kept, columns, counts, taken)
-        self._record(spark, layer, "overwrite", got["kept"], [table.folder(spark)])
-        return apart, got
+        table.adopt(spark, split, taken)
+        self._record(spark, layer, "overwrite", split.counts["kept"], [table.folder(spark)])
 
     def replace_writes(
         self,

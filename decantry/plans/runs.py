@@ -295,18 +295,17 @@ def _refine_all(spark: SparkSession, job: Refinement, clock: Clock) -> Summary:
         return _summary(job, kept + rejected, kept)
     rows = judged(bronze, rules, job.pipeline_version, clock.run_ts)
     codes = sorted([r.code for r in rules.rules] + [rules.undecided_code])
-    rejects, counts = lake.overwrite_split(
-        spark,
-        "silver",
+    split = lake.silver.split(
         rows,
         F.coalesce(rules.passed, F.lit(False)),
         [*bronze.columns, L.CODE, L.QUARANTINE_ID],
         [F.count_if(F.col(L.CODE) == c).alias(c) for c in codes],
-        taken,
     )
-    rejects = rejects.select(*(F.col(f"`{c}`") for c in rows.columns))
+    # Rejects first: what silver has taken in is not gated again by a run over new writes.
+    rejects = split.apart.select(*(F.col(f"`{c}`") for c in rows.columns))
     lake.append(spark, "quarantine", rejects, compact=L.QUARANTINE_ID)
-    lake.silver.drop_apart(spark)
+    lake.adopt(spark, "silver", split, taken)
+    counts = split.counts
     found = ", ".join(f"{c} {counts[c]}" for c in codes if counts[c])
     LOG.info("rejected by code: %s", found or "none")
     return _summary(job, counts["rows"], counts["kept"])
@@ -317,28 +316,26 @@ def _refine_once(spark: SparkSession, job: Refinement, clock: Clock) -> Summary:
     bronze, taken = _whole(spark, lake.bronze, _identified(spark, lake.bronze, writes=True))
     rules = job.rules.full(bronze, clock.as_of)
     _settle_attempts(spark, lake, clock)
-    accepted = _accepted(bronze, rules)
-    moved_earlier = _moved_earlier(spark, job, accepted)
-    silver_rows = accepted if moved_earlier is None else accepted.unionByName(moved_earlier)
-    lake.overwrite(spark, "silver", silver_rows, taken=taken)
-
-    rejects = quarantine(bronze, rules)
     # What is appended differs from what is judged. The two sides of the gate are
-    # complementary, so the rows of bronze and the clean ones in silver tell.
-    # Neither count reads more than footers and a column of NULLs.
-    total = bronze.count()
-    kept = lake.silver.read(spark).filter(F.col(L.QUARANTINE_ID).isNull()).count()
+    # complementary, so the rows of bronze and those of one side tell.
+    rejects = quarantine(bronze, rules)
+    total, rejected = bronze.count(), rejects.count()
     with Scratch(spark) as scratch:
         held = _identified(spark, lake.quarantine)
-        new = beyond(scratch, rejects.withColumn(L.DUE_ON, rules.due), total - kept, held)
+        new = beyond(scratch, rejects.withColumn(L.DUE_ON, rules.due), rejected, held)
         lake.append(
             spark,
             "quarantine",
             audit(new, job.pipeline_version, clock.run_ts),
             compact=L.QUARANTINE_ID,
-            judged=total - kept,
+            judged=rejected,
         )
-    return _summary(job, total, kept)
+    # Then silver: what it has taken in is not gated again by a run over new writes.
+    accepted = _accepted(bronze, rules)
+    moved_earlier = _moved_earlier(spark, job, accepted)
+    silver_rows = accepted if moved_earlier is None else accepted.unionByName(moved_earlier)
+    lake.overwrite(spark, "silver", silver_rows, taken=taken)
+    return _summary(job, total, total - rejected)
 
 
 def reprocess(

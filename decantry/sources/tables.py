@@ -189,6 +189,15 @@ _END = "\n"
 # The two sides of a split are folders of one version.
 _SIDE = "_side"
 
+@dataclass(frozen=True)
+class Split:
+    """A version that does not count yet, the rows set apart from it, and what was counted."""
+
+    state: State
+    apart: DataFrame
+    counts: dict[str, int]
+
+
 # Of the files that name a version, so many stay.
 _STATES_KEPT = 5
 
@@ -393,8 +402,8 @@ class Table:
         taken = before.taken if before else ()
         self._switch(spark, State(version, _plain(schema), folders, complete, taken))
 
-    def _switch(self, spark: SparkSession, state: State, before: State | None = None) -> None:
-        before = before or self.state(spark)
+    def _switch(self, spark: SparkSession, state: State) -> None:
+        before = self.state(spark)
         self._put(spark, state, before)
         if before is not None:
             for name in files.names(spark, self.path):
@@ -423,28 +432,22 @@ class Table:
             self._put(spark, State(version, _plain(schema), folders, complete), None)
         return rows
 
-    def overwrite_split(
-        self,
-        df: DataFrame,
-        kept: Column,
-        columns: Sequence[str],
-        counts: Sequence[Column] = (),
-        taken: Sequence[str] = (),
-    ) -> tuple[DataFrame, dict[str, int]]:
-        """Replace the table by the rows of ``df`` that are ``kept``, and set the others apart.
-
-        One job deals the rows by that condition as it goes through ``df`` once. Returns the
-        others, which are stored until ``drop_apart``, and what was counted on the way: all
-        ``rows``, the ``kept`` ones and the given ``counts``. The table gets ``columns``,
-        all others are for the rows apart.
+    def split(
+        self, df: DataFrame, kept: Column, columns: Sequence[str], counts: Sequence[Column] = ()
+    ) -> Split:
+        """Write a next version of the rows of ``df`` that are ``kept``, and set the others apart.
+
+        One job deals the rows by that condition as it goes through ``df`` once, and counts
+        all ``rows``, the ``kept`` ones and the given ``counts`` on the way. The table gets
+        ``columns``, all others are for the rows apart. Nothing counts before ``adopt``.
         """
         spark = df.sparkSession
         own = merged_schema(df.select(*map(column_ref, columns)), self.schema or T.StructType())
         more = [f for f in df.schema if f.name not in columns]
         df = align_to(df, T.StructType([*own.fields, *more]))
         version, name = new_write(), new_write()
-        rest = F.when(kept, F.lit("kept")).otherwise(F.lit("apart"))
-        sided = df.select("*", rest.alias(_SIDE), F.lit(name).alias(WRITE))
+        side = F.when(kept, F.lit("kept")).otherwise(F.lit("apart"))
+        sided = df.select("*", side.alias(_SIDE), F.lit(name).alias(WRITE))
         written = Observation()
         counts = [F.count(F.lit(1)).alias("rows"), F.count_if(kept).alias("kept"), *counts]
         if self.key is not None and self.key in df.columns:
@@ -453,23 +456,21 @@ class Table:
         # With as many open files per task as sides, rows need not be sorted by side.
         _deal(sided.observe(written, *counts), folder, (_SIDE, WRITE), "overwrite")
         got = written.get
-        complete = got.get("keys") == got["rows"]
-        before = self.state(spark)
-        side = f"{folder}/{_SIDE}=kept"
-        if not files.exists(spark, side):
-            _deal(sided.filter(F.lit(False)).drop(_SIDE, WRITE), f"{side}/{WRITE}={name}", (), "overwrite")
-        self._switch(spark, State(f"{version}/{_SIDE}=kept", _plain(own), (), complete, tuple(taken)), before)
-        apart = T.StructType([*_plain(df.schema).fields, T.StructField(WRITE, T.StringType())])
-        path = f"{folder}/{_SIDE}=apart"
-        if not files.exists(spark, path):
-            return df.filter(F.lit(False)), got
-        return spark.read.schema(apart).parquet(path).drop(WRITE), got
-
-    def drop_apart(self, spark: SparkSession) -> None:
-        """Remove what the last ``overwrite_split`` has set apart."""
-        state = self.state(spark)
-        if state is not None and "/" in state.version:
-            files.delete(spark, f"{self.path}/{state.version.split('/')[0]}/{_SIDE}=apart")
+        if not got["kept"]:
+            none = df.filter(F.lit(False))
+            _deal(none, f"{folder}/{_SIDE}=kept/{WRITE}={name}", (), "overwrite")
+        state = State(f"{version}/{_SIDE}=kept", _plain(own), (), got.get("keys") == got["rows"])
+        apart = df.filter(F.lit(False))
+        if got["kept"] < got["rows"]:
+            schema = T.StructType([*_plain(df.schema).fields, T.StructField(WRITE, T.StringType())])
+            apart = spark.read.schema(schema).parquet(f"{folder}/{_SIDE}=apart").drop(WRITE)
+        return Split(state, apart, got)
+
+    def adopt(self, spark: SparkSession, split: Split, taken: Sequence[str] = ()) -> None:
+        """Make a split's kept rows the table, and remove those apart."""
+        self._switch(spark, replace(split.state, taken=tuple(taken)))
+        version = split.state.version.split("/")[0]
+        files.delete(spark, f"{self.path}/{version}/{_SIDE}=apart")
 
     def take(self, spark: SparkSession, writes: Sequence[str]) -> None:
         """Remember that the table has taken in these writes of another one."""

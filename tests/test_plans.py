@@ -563,3 +563,18 @@ def test_gold_reads_what_is_new_in_silver(spark, lake, tmp_path):
     refresh_gold(spark, later, by_parts=True)
     assert {r[0]: r[1] for r in lake.gold.read(spark).collect()} == {"N": 2.0, "S": 10.0, None: 5.0}
     assert not set(before) & set(parts.writes(spark))
+
+
+@pytest.mark.parametrize("once", [False, True])
+def test_rejects_of_a_run_that_dies_reach_quarantine(spark, lake, mixed_csv, monkeypatch, once):
+    ingest(spark, job(lake, once=once), mixed_csv)
+    monkeypatch.setattr(Table, "_switch", lambda *_: (_ for _ in ()).throw(OSError("driver lost")))
+    with pytest.raises(OSError, match="driver lost"):
+        refine(spark, job(lake, once=once))
+    monkeypatch.undo()
+    out = refine(spark, job(lake, once=once), new_only=True)
+    assert (out.total, out.clean) == (5, 1)
+    held = entities(lake.quarantine.read(spark))
+    assert set(held) == {"next year", "no date", "no price", "tomorrow"}
+    assert reprocess(spark, job(lake, dt.date(2024, 6, 2))) == 1
+    assert entities(lake.silver.read(spark)) == ["sound", "tomorrow"]
