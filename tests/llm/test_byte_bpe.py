@@ -49,6 +49,62 @@ def test_ids_of_the_library_file_whatever_the_batch():
         assert ids.tolist() == want == encode([text])[0][0].tolist()
 
 
+class Watched:
+    """The library's tokenizer, and the texts that it is given to cut."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.cut = tokenizer, []
+
+    def __getattr__(self, name):
+        return getattr(self.tokenizer, name)
+
+    def encode_batch_fast(self, texts, **options):
+        self.cut += texts
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_words_go_to_the_model_without_being_cut():
+    encode = B.Encoder(vocabulary(BPE_JSON), None, False)
+    encode.tokenizer = watched = Watched(encode.tokenizer)
+    rng = random.Random(8)
+    words = ["one", "über", "漢字", "Ñandú", "ǅ", "don't", "x's.", "a_b", "'tis", "v2", "²", "ां", "é́a"]
+    ends = ["", "", ",", ".", "'", "'s", "###", "_", "?!", "…", "&&&"]
+    text = "first " + " ".join(rng.choice(words) + rng.choice(ends) for _ in range(3000)) + " \n\nend"
+    got = encode([text])[0][0].tolist()
+    assert got == watched.encode(text, add_special_tokens=False).ids
+    assert " don't" in watched.cut and " v2" in watched.cut
+    assert not {" one", " über,", " 漢字###", " Ñandú'", " ǅ_", " a"} & set(watched.cut)
+
+
+def test_letters_are_those_that_the_library_keeps_together():
+    cut = B.Encoder(vocabulary(BPE_JSON), None, False).tokenizer.pre_tokenizer.pre_tokenize_str
+    letters = [c for c in map(chr, range(0x110000)) if c.isalpha()]
+    assert len(cut("".join(letters))) == 1
+    assert all(len(cut("a" + c)) == 2 for c in B.string.punctuation)
+    assert len(cut(B.string.punctuation)) == 1
+
+
+def test_a_tokenizer_that_changes_or_cuts_words_gets_them_all(tmp_path):
+    from tokenizers import AddedToken, Tokenizer, normalizers, pre_tokenizers
+
+    def lower(t):
+        t.normalizer = normalizers.Lowercase()
+
+    def cut_more(t):
+        t.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Punctuation(), t.pre_tokenizer])
+
+    def added(t):
+        t.add_tokens([AddedToken("tok", normalized=False)])
+
+    for change in (lower, cut_more, added):
+        own = Tokenizer.from_file(vocabulary(BPE_JSON))
+        change(own)
+        own.save(str(tmp_path / change.__name__))
+        encode = B.Encoder(str(tmp_path / change.__name__), None, False)
+        text = "Some token, Words!? and more###"
+        assert encode([text])[0][0].tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_kept_parts_are_bounded(monkeypatch):
     monkeypatch.setattr(B, "KEPT_PARTS", 50)
     encode = B.Encoder(vocabulary(BPE_JSON), None, True)
