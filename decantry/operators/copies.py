@@ -45,6 +45,29 @@ def _copies(rows: DataFrame, name: str) -> DataFrame:
     return rows.groupBy(L.ROW_DIGEST).agg(F.count(F.lit(1)).alias(name))
 
 
+def _in_both(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """The digests that both sides have, and how many copies each has of them.
+
+    One grouping of both together, so that each side is shuffled once, and by the 32 bytes
+    that a digest writes as 64 letters; what is not such a digest stays as it is.
+    """
+    sides = [
+        side.select(L.ROW_DIGEST, F.lit(new).alias("__new"))
+        for side, new in ((rows, True), (stored, False))
+    ]
+    raw, digest = F.unhex(L.ROW_DIGEST), F.col(L.ROW_DIGEST)
+    raw = F.when(F.lower(F.hex(raw)) == digest, raw)
+    return (
+        sides[0]
+        .union(sides[1])
+        .filter(digest.isNotNull())
+        .groupBy(raw.alias("__raw"), F.when(raw.isNull(), digest).alias("__text"))
+        .agg(F.count_if("__new").alias("__n"), F.count_if(~F.col("__new")).alias(_HAVE))
+        .filter((F.col("__n") > 0) & (F.col(_HAVE) > 0))
+        .withColumn(L.ROW_DIGEST, F.coalesce(F.lower(F.hex("__raw")), F.col("__text")))
+    )
+
+
 def beyond(scratch: Scratch, rows: DataFrame, n_rows: int, stored: DataFrame | None) -> DataFrame:
     """The rows, copies of one another included, that are more than ``stored`` has of them.
 
@@ -52,10 +75,13 @@ def beyond(scratch: Scratch, rows: DataFrame, n_rows: int, stored: DataFrame | N
     """
     if stored is None or not n_rows:
         return rows
-    counts = _copies(rows, "__n")
-    have = _copies(_within(counts, n_rows, stored), _HAVE)
-    more = (F.col("__n") - F.col(_HAVE)).alias(_MORE)
-    known = have.join(counts, L.ROW_DIGEST).select(L.ROW_DIGEST, more)
+    if _few(n_rows):
+        counts = _copies(rows, "__n")
+        have = _copies(_within(counts, n_rows, stored), _HAVE)
+        both = have.join(counts, L.ROW_DIGEST)
+    else:
+        both = _in_both(rows, stored)
+    known = both.select(L.ROW_DIGEST, (F.col("__n") - F.col(_HAVE)).alias(_MORE))
     known, found, partly = scratch.keep(known, F.col(_MORE) > 0)
     if not found:
         return rows

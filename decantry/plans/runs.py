@@ -154,14 +154,15 @@ def ingest_rows(
     for name in job.row_key or ():
         resolve_column(rows, name)
     rows = with_identity(with_ingest_metadata(rows, source, clock.run_ts))
-    if not job.keeps_once:
+    stored = _identified(spark, job.lake.bronze, writes=True) if job.keeps_once else None
+    if stored is None:
+        # There is nothing to match it with: the delivery goes to bronze as it is read.
         written = job.lake.append(spark, "bronze", rows, write=write)
     else:
         with Scratch(spark) as scratch:
             # The delivery is read and digested once.
             rows, n = scratch.keep(rows)
-            stored = _identified(spark, job.lake.bronze, writes=True)
-            if write and stored is not None and L.WRITE in stored.columns:
+            if write and L.WRITE in stored.columns:
                 stored = stored.filter(F.col(L.WRITE) != write)
             written = job.lake.append(spark, "bronze", beyond(scratch, rows, n, stored), write=write)
             if written < n:

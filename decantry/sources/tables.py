@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from ..functions.typed import column_ref
 from .. import files
 from ..labels import WRITE
+from ..session import COMPRESSION
 
 LOG = logging.getLogger(__name__)
 
@@ -498,6 +499,8 @@ class Table:
         if keyed:
             counts.append(F.count(column_ref(self.key)).alias("keys"))
         writer = df.observe(written, *counts).write.format(self.fmt).mode(mode)
+        if self.fmt == "parquet":
+            writer = writer.option("compression", COMPRESSION)
         if self.fmt == "delta":
             writer = writer.option("mergeSchema", True)
         if folders:
@@ -515,7 +518,7 @@ def _deal(df: DataFrame, folder: str, by: tuple[str, ...], mode: str) -> None:
     spark.conf.set(setting, "16")
     try:
         writer = df.write.mode(mode)
-        (writer.partitionBy(*by) if by else writer).parquet(folder)
+        (writer.partitionBy(*by) if by else writer).parquet(folder, compression=COMPRESSION)
     finally:
         if before is None:
             spark.conf.unset(setting)
